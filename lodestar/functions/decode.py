@@ -110,11 +110,14 @@ def decode_lines(df: DataFrame, text_col: str = "value", schema: T.StructType =
                  keep: tuple[str, ...] = (), separator: str = FIELD_SEPARATOR) -> DataFrame:
     """Annotated decode: ``keep`` columns, the typed fields, ``error``, ``error_field``.
 
-    Two projections: the split is computed once into ``_parts`` and every
-    field reads from it.
+    The split is computed once into ``_parts`` and every field reads from it.
+    It is produced by a one-element ``explode`` on purpose: a later filter
+    on ``error`` would otherwise be pushed below a plain projection with the
+    split inlined into each field's parse, running the quote-aware regex
+    once per field instead of once per line.
     """
     split = df.select(*keep, F.col(text_col).alias("_text"),
-                      quoted_split(F.col(text_col), separator).alias("_parts"))
+                      F.explode(F.array(quoted_split(F.col(text_col), separator))).alias("_parts"))
     return split.select(*keep, *decode_columns("_parts", schema), "_text")
 
 

@@ -8,7 +8,7 @@ large shuffle is the mosaic's group-by on grid cells.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
@@ -19,17 +19,56 @@ from lodestar.operators.grid import GridSpec, frame_grid, frame_index, pixel_to_
 from lodestar.operators.mosaic import frame_summary, mosaic_fill, threshold_cells
 
 
-@dataclass
 class MineralMap:
-    index: DataFrame        # valid index pixels (scene, x, y, ..., v)
-    scene_extents: DataFrame
-    extent: DataFrame       # one row
-    frames: DataFrame
-    frame_index: DataFrame
-    placed: DataFrame       # index pixels with grid cell and frame
-    mosaic: DataFrame       # one row per covered cell
-    binary: DataFrame       # mosaic + bit
-    summary: DataFrame      # one row per frame
+    """The stages of one mapping plan. Each stage is built on first access,
+    so asking for the frames does not analyse the mosaic."""
+
+    def __init__(self, pixels: DataFrame, spec: GridSpec, index: Column | None, mask: Column | None,
+                 overlap: str, order: Sequence[str], threshold: float, scene: str,
+                 pixel_size: float, extent: DataFrame | None, keep: list[str], index_dir: str):
+        self.pixels, self.spec = pixels, spec
+        self._index_expr, self._mask_expr = index, mask
+        self.overlap, self.order, self.threshold = overlap, tuple(order), threshold
+        self.scene, self.pixel_size, self._given_extent = scene, pixel_size, extent
+        self.keep, self.index_dir = keep, index_dir
+
+    @cached_property
+    def index(self) -> DataFrame:
+        """Valid index pixels: keep columns + ``v``."""
+        return apply_index(self.pixels, index=self._index_expr, mask=self._mask_expr, keep=self.keep)
+
+    @cached_property
+    def scene_extents(self) -> DataFrame:
+        return scene_extent(self.pixels, scene=self.scene, pixel_size=self.pixel_size)
+
+    @cached_property
+    def extent(self) -> DataFrame:
+        """One row: the given extent, or the union of the scene extents."""
+        return self._given_extent if self._given_extent is not None else extent_union(self.scene_extents)
+
+    @cached_property
+    def frames(self) -> DataFrame:
+        return frame_grid(self.extent, self.spec)
+
+    @cached_property
+    def frame_index(self) -> DataFrame:
+        return frame_index(self.frames, self.index_dir)
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        return pixel_to_frame(self.index, self.extent, self.spec)
+
+    @cached_property
+    def mosaic(self) -> DataFrame:
+        return mosaic_fill(self.placed, self.spec, policy=self.overlap, order=self.order)
+
+    @cached_property
+    def binary(self) -> DataFrame:
+        return threshold_cells(self.mosaic, self.threshold)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return frame_summary(self.binary)
 
 
 def mineral_map(pixels: DataFrame, spec: GridSpec = GridSpec(), *,
@@ -51,13 +90,5 @@ def mineral_map(pixels: DataFrame, spec: GridSpec = GridSpec(), *,
     pixel_size = float(spec.res if pixel_size is None else pixel_size)
     keep = list(keep) if keep is not None else [scene, "x", "y", *[c for c in order if c != scene]]
     keep = list(dict.fromkeys(keep))
-    idx = apply_index(pixels, index=index, mask=mask, keep=keep)
-    extents = scene_extent(pixels, scene=scene, pixel_size=pixel_size)
-    union = extent if extent is not None else extent_union(extents)
-    frames = frame_grid(union, spec)
-    placed = pixel_to_frame(idx, union, spec)
-    mosaic = mosaic_fill(placed, spec, policy=overlap, order=order)
-    binary = threshold_cells(mosaic, threshold)
-    return MineralMap(index=idx, scene_extents=extents, extent=union, frames=frames,
-                      frame_index=frame_index(frames, index_dir), placed=placed,
-                      mosaic=mosaic, binary=binary, summary=frame_summary(binary))
+    return MineralMap(pixels, spec, index, mask, overlap, order, threshold, scene,
+                      pixel_size, extent, keep, index_dir)

@@ -293,10 +293,8 @@ def jdbc_append_q(spark, sf_dir):
 def tolerant_write_q(spark, sf_dir):
     lines = X.catalog_lines(_t(spark, sf_dir))
     res = tolerant_write(lines, text_col="line", key=("data_url",), keep=("line_id",))
-    acc = res.accepted.select("line_id", F.lit("accepted").alias("status"),
-                              F.lit(None).cast("string").alias("reason"))
-    rej = res.rejected.select("line_id", F.lit("rejected").alias("status"), "reason")
-    return acc.unionByName(rej)
+    status = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+    return res.flagged.select("line_id", status.alias("status"), "reason")
 
 
 def frame_sink_q(spark, sf_dir):

@@ -16,9 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lodestar.functions.decode import decode_lines
+from lodestar.functions.decode import append_constants, decode_lines
 from lodestar.schema import CATALOG_SCHEMA, STORED_SCHEMA
-from lodestar.functions.decode import append_constants
 
 STORED_COLUMNS = tuple(f.name for f in STORED_SCHEMA.fields)
 
@@ -56,48 +55,63 @@ def jdbc_append(stored: DataFrame, url: str, table: str, *, user: str | None = N
 
 @dataclass
 class TolerantResult:
-    accepted: DataFrame   # stored rows (17 columns + keep columns)
+    flagged: DataFrame    # every line: keep columns, stored columns, line, reason (NULL = accepted)
+    accepted: DataFrame   # stored rows (keep columns + 17 columns)
     rejected: DataFrame   # keep columns, line, reason
 
 
 def tolerant_write(lines: DataFrame, text_col: str = "value", key: Sequence[str] = (),
                    keep: Sequence[str] = (), existing_keys: DataFrame | None = None) -> TolerantResult:
-    """Split catalog lines into rows that can be stored and rejects with a reason.
-
-    Reasons: ``arity`` / ``type:<field>`` (decode), ``null key``,
-    ``duplicate key`` (all but one record per key; the kept one is the
-    least record, so the choice is deterministic), ``key exists`` (found in
-    ``existing_keys``). The duplicate check is an aggregate per key with a
-    map-side partial step, so a key shared by a third of all rows does not
-    land in one task; the join back is an equi-join AQE can split on skew.
+    """Flag every catalog line as storable or rejected with a reason.
+
+    Reasons, first match wins: ``arity`` / ``type:<field>`` (decode),
+    ``null key``, ``duplicate key`` (all but one record per key; the kept
+    one is the least record, so the choice is deterministic), ``key exists``
+    (found in ``existing_keys``).
+
+    The duplicate check is an aggregate per key with a map-side partial
+    step, so a key shared by a third of all rows does not land in one task;
+    joining the winners back is an equi-join that AQE can split on skew.
+    ``flagged`` is one frame; write it once (see :func:`write_catalog`) and
+    split it, rather than re-running the decode for each side.
     """
     keep, key = tuple(keep), tuple(key)
     fields = [f.name for f in CATALOG_SCHEMA.fields]
     ann = decode_lines(lines, text_col=text_col, keep=keep)
-    rejects = [ann.filter(F.col("error").isNotNull()).select(
-        *keep, F.col("_text").alias("line"),
-        F.concat_ws(":", "error", "error_field").alias("reason"))]
-    good = ann.filter(F.col("error").isNull())
+    reason = F.when(F.col("error").isNotNull(), F.concat_ws(":", "error", "error_field"))
     if key:
         null_key = F.lit(False)
         for k in key:
             null_key = null_key | F.col(k).isNull()
-        rejects.append(good.filter(null_key).select(*keep, F.col("_text").alias("line"),
-                                                    F.lit("null key").alias("reason")))
-        good = good.filter(~null_key)
         rec = F.struct(*[F.col(c) for c in fields + list(keep) + ["_text"]])
-        winners = good.groupBy(*key).agg(F.min(rec).alias("_win"))
-        flagged = good.join(winners, list(key), "inner").withColumn("_is_win", rec == F.col("_win"))
-        rejects.append(flagged.filter(~F.col("_is_win")).select(
-            *keep, F.col("_text").alias("line"), F.lit("duplicate key").alias("reason")))
-        good = flagged.filter(F.col("_is_win")).drop("_win", "_is_win")
+        cand = ann.filter(F.col("error").isNull() & ~null_key)
+        winners = cand.groupBy(*key).agg(F.min(rec).alias("_win"))
+        ann = ann.join(winners, list(key), "left")
+        reason = (reason.when(null_key, F.lit("null key"))
+                  .when(rec != F.col("_win"), F.lit("duplicate key")))
         if existing_keys is not None:
-            ek = existing_keys.select(*key)
-            rejects.append(good.join(ek, list(key), "left_semi").select(
-                *keep, F.col("_text").alias("line"), F.lit("key exists").alias("reason")))
-            good = good.join(ek, list(key), "left_anti")
-    accepted = append_constants(good.select(*keep, *fields)).select(*keep, *STORED_COLUMNS)
-    rejected = rejects[0]
-    for r in rejects[1:]:
-        rejected = rejected.unionByName(r)
-    return TolerantResult(accepted=accepted, rejected=rejected)
+            ek = existing_keys.select(*key).distinct().withColumn("_exists", F.lit(True))
+            ann = ann.join(ek, list(key), "left")
+            reason = reason.when(F.col("_exists"), F.lit("key exists"))
+    flagged = append_constants(ann).select(
+        *keep, *STORED_COLUMNS, F.col("_text").alias("line"), reason.alias("reason"))
+    accepted = flagged.filter(F.col("reason").isNull()).select(*keep, *STORED_COLUMNS)
+    rejected = flagged.filter(F.col("reason").isNotNull()).select(*keep, "line", "reason")
+    return TolerantResult(flagged=flagged, accepted=accepted, rejected=rejected)
+
+
+def write_catalog(lines: DataFrame, url: str, table: str, rejects_path: str, *,
+                  text_col: str = "value", key: Sequence[str] = (),
+                  existing_keys: DataFrame | None = None, **jdbc_options) -> dict:
+    """Catalog load into a database: decode and flag once, stage the flagged
+    rows as a table in the shared folder, append the accepted rows over
+    JDBC, and keep the rejects as Parquet. Returns the counts."""
+    from lodestar.sinks.frames import materialise
+
+    res = tolerant_write(lines, text_col=text_col, key=key, existing_keys=existing_keys)
+    staged = materialise(res.flagged, how="parquet", name="catalog-staged")
+    staged.filter(F.col("reason").isNotNull()).select("line", "reason").write.mode("append").parquet(rejects_path)
+    written = jdbc_append(staged.filter(F.col("reason").isNull()), url, table, **jdbc_options)
+    counts = staged.agg(F.count(F.lit(1)).alias("attempted"),
+                        F.count("reason").alias("rejected")).first()
+    return {"attempted": counts["attempted"], "rejected": counts["rejected"], **written}
