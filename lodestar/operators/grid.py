@@ -95,11 +95,15 @@ def frame_grid(extent: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
 def empty_frames(frames: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
     """Every cell of every frame with its centre and a NULL value (a blank raster).
 
-    Generated in the executors by two explodes per frame; only build this
-    when a dense output is really wanted.
+    Generated in the executors by two explodes per frame, after spreading
+    the (small) frame list over the cluster; only build this when a dense
+    output is really wanted.
     """
     res = F.lit(float(spec.res))
-    cells = frames.select(
+    # frames come out of one task (they are exploded from the one-row
+    # extent); spread them so the cells are generated on every core
+    n = frames.sparkSession.sparkContext.defaultParallelism
+    cells = frames.repartition(n, *FRAME_KEYS).select(
         "frame_row", "frame_col", "minx", "maxy",
         F.explode(F.sequence(F.lit(0), F.lit(spec.height - 1))).alias("cell_row"))
     cells = cells.select(

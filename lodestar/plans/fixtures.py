@@ -12,13 +12,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.session import spread
+
 Reader = Callable[[str], DataFrame]
 
 
+# Natural key of each driver table, used to spread an under-partitioned scan.
+TABLE_KEYS = {
+    "orders": ("o_orderkey",), "lineitem": ("l_orderkey",), "events": ("event_id",),
+    "pages": ("page_id",), "documents": ("doc_id",), "labels": ("doc_id",),
+    "conversations": ("conv_id",), "customer": ("c_custkey",), "part": ("p_partkey",),
+    "supplier": ("s_suppkey",), "embeddings": ("vec_id",), "benchmark": ("item_id",),
+}
+
+
 def reader(spark: SparkSession, sf_dir: str) -> Reader:
+    """``name -> DataFrame`` over ``<sf_dir>/<name>.parquet``."""
     return lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(table: Reader, name: str) -> DataFrame:
+    """A table spread over the cores when it arrives as fewer splits than
+    cores -- for inputs whose per-row work (regex decode) outweighs a shuffle."""
+    return spread(table(name), TABLE_KEYS.get(name, ()))
+
+
 def _s(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -38,7 +56,7 @@ def catalog_lines(table: Reader) -> DataFrame:
         F.lit(",img"), _s("o_custkey"), F.lit(",p,name,"), bands, F.lit(',VNIR,"'),
         _s("o_custkey"), F.lit(" "), _s(k), F.lit(","), _s(F.col("o_custkey") + 1), F.lit(" "), _s(k),
         F.lit('"'), cloud)
-    return table("orders").select(k.alias("line_id"), line.alias("line"))
+    return spread_table(table, "orders").select(k.alias("line_id"), line.alias("line"))
 
 
 def short_lines(table: Reader) -> DataFrame:

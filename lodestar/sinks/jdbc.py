@@ -66,7 +66,7 @@ def tolerant_write(lines: DataFrame, text_col: str = "value", key: Sequence[str]
 
     Reasons, first match wins: ``arity`` / ``type:<field>`` (decode),
     ``null key``, ``duplicate key`` (all but one record per key; the kept
-    one is the least record, so the choice is deterministic), ``key exists``
+    one has the least raw line, so the choice is deterministic), ``key exists``
     (found in ``existing_keys``).
 
     The duplicate check is an aggregate per key with a map-side partial
@@ -83,7 +83,9 @@ def tolerant_write(lines: DataFrame, text_col: str = "value", key: Sequence[str]
         null_key = F.lit(False)
         for k in key:
             null_key = null_key | F.col(k).isNull()
-        rec = F.struct(*[F.col(c) for c in fields + list(keep) + ["_text"]])
+        # the decoded fields are a function of the raw line, so the line (then
+        # the keep columns) orders records fully -- a narrow aggregate buffer
+        rec = F.struct(F.col("_text"), *[F.col(c) for c in keep])
         cand = ann.filter(F.col("error").isNull() & ~null_key)
         winners = cand.groupBy(*key).agg(F.min(rec).alias("_win"))
         ann = ann.join(winners, list(key), "left")
