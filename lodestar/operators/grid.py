@@ -7,7 +7,7 @@ rows count downwards, frame columns to the right. Every frame holds
 
 Nothing here builds lists on the driver: frames come from
 ``explode(sequence(...))`` over the one-row extent, and pixels are placed by
-arithmetic against that one broadcast row, not by a range join.
+arithmetic against that row, read as a scalar subquery -- no join at all.
 """
 
 from __future__ import annotations
@@ -61,6 +61,17 @@ def grid_shape(extent: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
     )
 
 
+def grid_scalar(extent: DataFrame, spec: GridSpec = GridSpec()) -> Column:
+    """The one-row extent and its grid counts as a scalar-subquery struct column.
+
+    Spark runs the subquery once and reuses it wherever a field is read, so
+    pixels need no join with the extent. ``scalar()`` also enforces the size
+    bound: an extent with more than one row fails the query.
+    """
+    shape = grid_shape(extent, spec)
+    return shape.select(F.struct(*shape.columns).alias("grid")).scalar()
+
+
 def frame_name(row: Column | str = "frame_row", col: Column | str = "frame_col") -> Column:
     """Frame label ``r{row}_c{col}``."""
     row = F.col(row) if isinstance(row, str) else row
@@ -137,11 +148,10 @@ def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFr
     linear in the number of scene-frame pairs.
     """
     fw, fh = F.lit(spec.frame_w), F.lit(spec.frame_h)
-    g = F.broadcast(grid_shape(extent, spec).select(
-        F.col("minx").alias("_gx0"), F.col("maxy").alias("_gy0"),
-        "n_frame_cols", "n_frame_rows"))
+    g = grid_scalar(extent, spec)
     s = scene_extents.select(scene, *[F.col(c).alias("s_" + c) for c in ("minx", "maxx", "miny", "maxy")])
-    s = s.crossJoin(g)
+    s = s.withColumns({"_gx0": g.getField("minx"), "_gy0": g.getField("maxy"),
+                       "n_frame_cols": g.getField("n_frame_cols"), "n_frame_rows": g.getField("n_frame_rows")})
     c_lo = F.greatest(F.lit(0), F.floor((F.col("s_minx") - F.col("_gx0")) / fw).cast("int") - 1)
     c_hi = F.least(F.col("n_frame_cols") - 1, F.ceil((F.col("s_maxx") - F.col("_gx0")) / fw).cast("int"))
     r_lo = F.greatest(F.lit(0), F.floor((F.col("_gy0") - F.col("s_maxy")) / fh).cast("int") - 1)
@@ -160,21 +170,18 @@ def pixel_to_frame(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridSp
                    x: str = "x", y: str = "y") -> DataFrame:
     """Place each pixel in the grid: ``gx, gy`` (global cell), frame and cell in frame.
 
-    Pure arithmetic against the one broadcast extent row -- no join with the
-    frame table. Pixels outside the extent are dropped; a pixel exactly on
+    Pure arithmetic against the extent, read once as a scalar subquery --
+    no join with the extent or with the frame table. Pixels outside the extent are dropped; a pixel exactly on
     the max-x or min-y edge goes to the last cell.
     """
     res = F.lit(float(spec.res))
-    g = F.broadcast(grid_shape(extent, spec).select(
-        F.col("minx").alias("_gminx"), F.col("maxx").alias("_gmaxx"),
-        F.col("miny").alias("_gminy"), F.col("maxy").alias("_gmaxy"),
-        F.col("n_cells_x").alias("_ncx"), F.col("n_cells_y").alias("_ncy")))
+    g = grid_scalar(extent, spec)
     px, py = F.col(x), F.col(y)
-    inside = (px >= F.col("_gminx")) & (px <= F.col("_gmaxx")) & (py >= F.col("_gminy")) & (py <= F.col("_gmaxy"))
-    gx = F.least(F.floor((px - F.col("_gminx")) / res).cast("int"), F.col("_ncx") - 1)
-    gy = F.least(F.floor((F.col("_gmaxy") - py) / res).cast("int"), F.col("_ncy") - 1)
-    placed = pixels.crossJoin(g).filter(inside).withColumns({"gx": gx, "gy": gy})
-    return placed.drop("_gminx", "_gmaxx", "_gminy", "_gmaxy", "_ncx", "_ncy").withColumns(cell_of(spec))
+    inside = ((px >= g.getField("minx")) & (px <= g.getField("maxx"))
+              & (py >= g.getField("miny")) & (py <= g.getField("maxy")))
+    gx = F.least(F.floor((px - g.getField("minx")) / res).cast("int"), g.getField("n_cells_x") - 1)
+    gy = F.least(F.floor((g.getField("maxy") - py) / res).cast("int"), g.getField("n_cells_y") - 1)
+    return pixels.filter(inside).withColumns({"gx": gx, "gy": gy}).withColumns(cell_of(spec))
 
 
 def cell_of(spec: GridSpec = GridSpec(), gx: str = "gx", gy: str = "gy") -> dict[str, Column]:

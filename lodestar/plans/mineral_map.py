@@ -1,7 +1,7 @@
 """Alteration mapping end to end: index -> extents -> grid -> mosaic -> binary map.
 
 One lazy DataFrame plan. The only global step is the extent union (a
-one-row partial/final aggregate, broadcast back as one row); the only
+one-row partial/final aggregate, read back as a scalar subquery); the only
 large shuffle is the mosaic's group-by on grid cells.
 """
 

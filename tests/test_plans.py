@@ -20,13 +20,18 @@ def test_no_python_udf(spark, name):
         assert node not in plan, f"{name}: {node}"
 
 
-def test_mosaic_broadcasts_only_the_extent_row(spark):
+def test_mosaic_reads_extent_as_subquery_without_joins(spark):
     df = E.queries()["mosaic_fill"](spark, SF)
     plan = _plan(df)
-    assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
-    # the broadcast side is fed by a global (one-row) aggregate, never by the pixels
-    formatted = df._jdf.queryExecution().simpleString()
-    assert "CartesianProduct" not in formatted
+    for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "BroadcastHashJoin", "SortMergeJoin"):
+        assert node not in plan
+    assert "Subquery" in plan
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_BUILD))
+def test_no_cross_join(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
 
 
 def test_band_export_prunes_parquet_columns(spark):
