@@ -135,3 +135,14 @@ def page_names(table: Reader) -> DataFrame:
     path = F.regexp_replace(F.col("url"), r"[?#].*$", "")
     return table("pages").select("page_id", "url",
                                  F.regexp_extract(path, r"([^/]*)$", 1).alias("name"))
+
+
+def raster_tiles(table: Reader) -> DataFrame:
+    """The embedding vectors as 8 x 8 single-band tiles (``value``), laid out
+    16 tiles per row from the top-left: ``vec_id, scene, tile_minx, tile_maxy, value``."""
+    e = table("embeddings")
+    return e.select(
+        "vec_id", F.col("label").alias("scene"),
+        ((F.col("vec_id") % 16) * F.lit(4000.0)).alias("tile_minx"),
+        (F.lit(400000.0) - F.floor(F.col("vec_id") / F.lit(16)) * F.lit(4000.0)).alias("tile_maxy"),
+        F.col("embedding").alias("value"))

@@ -84,6 +84,12 @@ PAGE_NAMES = """page_names as (
   from pages)"""
 
 
+TILES = """tiles as (
+  select vec_id, label as scene, (vec_id % 16) * 4000.0::DOUBLE as tile_minx,
+         400000.0::DOUBLE - floor(vec_id / 16) * 4000.0::DOUBLE as tile_maxy, embedding as value
+  from embeddings)"""
+
+
 def split_cte(name: str, src: str, text: str) -> str:
     """Quote-aware comma split (``p``): a comma splits when an even number of
     double quotes follows it to the end of the text."""
@@ -314,6 +320,15 @@ tl as (select event_id, list_filter(regexp_split_to_array(txt, '\\s+'), lambda t
 select event_id, cast(unnest(range(1, len(q) + 1)) as int) as pos, unnest(q) as token from tl""",
     "suffix_filter": f"with {PAGE_NAMES}\nselect page_id, url, name from page_names where ends_with(name, '.html')",
     "binary_threshold": f"{obs_map()}\nselect gx, gy, frame_row, frame_col, v, bit from bin",
+    "tile_pixels": f"""with {TILES},
+tp as (select vec_id, scene, tile_minx, tile_maxy, unnest(range(0, len(value))) as pos, unnest(value) as value
+       from tiles)
+select vec_id, scene, tile_minx + ((pos % 8) + 0.5::DOUBLE) * 500.0::DOUBLE as x,
+       tile_maxy - (floor(pos / 8) + 0.5::DOUBLE) * 500.0::DOUBLE as y, value
+from tp where pos < 64""",
+    "tile_kernel": """select vec_id, round(list_avg(list_transform(embedding, lambda v: cast(v as double))), 6) as mean_value,
+       cast(list_max(embedding) as double) - cast(list_min(embedding) as double) as value_range
+from embeddings""",
     "export_vnir": f"with {OBS}\nselect scene, x, y, acq, l_orderkey, b2, b3 from obs",
     "export_swir": f"with {OBS}\nselect scene, x, y, acq, l_orderkey, b4, b6 from obs",
     "coregister": f"""with {VNIR}, {SWIR},

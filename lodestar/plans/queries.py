@@ -27,6 +27,7 @@ from lodestar.sinks.frames import frame_sink, read_frames
 from lodestar.sinks.jdbc import jdbc_frame, tolerant_write
 from lodestar.sources.scenes import scene_listing
 from lodestar.sources.text import catalog_scan
+from lodestar.sources.tiles import apply_tile_kernel, tile_pixels
 
 SPEC = GridSpec()
 # Overlap order of the obs pixels: acquisition time, then line key, then scene.
@@ -180,6 +181,40 @@ def binary_threshold_q(spark, sf_dir):
     return _obs_map(spark, sf_dir).binary.select("gx", "gy", "frame_row", "frame_col", "v", "bit")
 
 
+# ---- tiles ---------------------------------------------------------------------
+
+def tile_pixels_q(spark, sf_dir):
+    tiles = X.raster_tiles(_t(spark, sf_dir))
+    return tile_pixels(tiles, ["value"], 8, 8, 500.0, keys=("vec_id", "scene"))
+
+
+def _tile_stats(batch):
+    """Per-tile mean and spread of the band values, vectorised over the batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    values = batch.column("value")
+    flat = values.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    offsets = values.offsets.to_numpy()
+    lengths = np.diff(offsets)
+    idx = np.repeat(np.arange(len(lengths)), lengths)
+    sums = np.bincount(idx, weights=flat, minlength=len(lengths))
+    means = sums / np.maximum(lengths, 1)
+    lo = np.full(len(lengths), np.inf)
+    hi = np.full(len(lengths), -np.inf)
+    np.minimum.at(lo, idx, flat)
+    np.maximum.at(hi, idx, flat)
+    return pa.RecordBatch.from_arrays(
+        [batch.column("vec_id"), pa.array(np.round(means, 6)), pa.array(hi - lo)],
+        names=["vec_id", "mean_value", "value_range"])
+
+
+def tile_kernel_q(spark, sf_dir):
+    """A caller's per-tile kernel (numpy on Arrow batches) through ``mapInArrow``."""
+    tiles = X.raster_tiles(_t(spark, sf_dir)).select("vec_id", "value")
+    return apply_tile_kernel(tiles, _tile_stats, "vec_id long, mean_value double, value_range double")
+
+
 # ---- bands and index ---------------------------------------------------------
 
 def export_vnir_q(spark, sf_dir):
@@ -340,6 +375,9 @@ QUERIES = {
     # predicates
     "suffix_filter": suffix_filter_q,
     "binary_threshold": binary_threshold_q,
+    # tiles
+    "tile_pixels": tile_pixels_q,
+    "tile_kernel": tile_kernel_q,
     # bands
     "export_vnir": export_vnir_q,
     "export_swir": export_swir_q,

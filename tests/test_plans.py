@@ -13,7 +13,10 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_BUILD))
+PYTHON_ON_PURPOSE = {"tile_kernel"}  # the caller-kernel escape hatch (mapInArrow)
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_BUILD - PYTHON_ON_PURPOSE))
 def test_no_python_udf(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
@@ -55,3 +58,8 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) >= 1
     assert df.columns == ["frame_row", "frame_col", "n_cells", "hot_cells", "max_v"]
+
+
+def test_tile_kernel_runs_on_arrow_batches(spark):
+    plan = _plan(E.queries()["tile_kernel"](spark, SF))
+    assert "MapInArrow" in plan and "BatchEvalPython" not in plan

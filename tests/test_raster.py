@@ -192,3 +192,17 @@ def test_band_groups_and_coregistration(spark):
 def test_scene_extent_half_pixel(spark):
     r = scene_extent(_pixels(spark), pixel_size=500.0).filter("scene = 's1'").first()
     assert (r["minx"], r["maxx"], r["miny"], r["maxy"]) == (0.0, 1500.0, 0.0, 500.0)
+
+
+def test_tile_pixels_layout(spark):
+    from lodestar.sources.tiles import tile_pixels
+    tiles = spark.createDataFrame(
+        [("s", 0.0, 20.0, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], [0.0] * 6)],
+        "scene string, tile_minx double, tile_maxy double, a array<double>, b array<double>")
+    got = sorted((r["x"], r["y"], r["a"], r["b"]) for r in
+                 tile_pixels(tiles, ["a", "b"], width=3, height=2, res=10.0).collect())
+    # 3 x 2 tile: values 1..6 row-major from the top-left; the 7th is beyond the tile
+    assert [(x, y, a) for x, y, a, _ in got] == [
+        (5.0, 5.0, 4.0), (5.0, 15.0, 1.0), (15.0, 5.0, 5.0), (15.0, 15.0, 2.0),
+        (25.0, 5.0, 6.0), (25.0, 15.0, 3.0)]
+    assert all(b == 0.0 for *_, b in got)
