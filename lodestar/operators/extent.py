@@ -85,3 +85,14 @@ def extent_format(order: str = "plain", integral: bool = False, prefix: str = ""
         c = F.col(prefix + name)
         cols.append((c.cast("bigint") if integral else c).cast("string"))
     return F.concat_ws(EXTENT_SEPARATOR, *cols)
+
+
+def require_extent(extent: DataFrame, what: str = "pixels") -> DataFrame:
+    """The extent, failing the query when it is empty (all NULL: no valid input).
+
+    Lazy: the check runs in the executors when the extent is first
+    evaluated, no extra job.
+    """
+    missing = F.col("minx").isNull() | F.col("maxx").isNull() | F.col("miny").isNull() | F.col("maxy").isNull()
+    guard = F.when(missing, F.raise_error(F.lit(f"empty extent: no valid {what} to map")))
+    return extent.select(*[F.coalesce(guard.cast("double"), F.col(c)).alias(c) for c in EXTENT_COLS])

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 
 from lodestar.functions.raster import DEFAULT_THRESHOLD
 from lodestar.operators.bands import apply_index
-from lodestar.operators.extent import extent_union, scene_extent
+from lodestar.operators.extent import extent_union, require_extent, scene_extent
 from lodestar.operators.grid import GridSpec, frame_grid, frame_index, pixel_to_frame
 from lodestar.operators.mosaic import frame_summary, mosaic_fill, threshold_cells
 
@@ -43,8 +43,12 @@ class MineralMap:
 
     @cached_property
     def extent(self) -> DataFrame:
-        """One row: the given extent, or the union of the scene extents."""
-        return self._given_extent if self._given_extent is not None else extent_union(self.scene_extents)
+        """One row: the given extent, or the union of the scene extents.
+
+        An empty extent (no valid pixels) fails the query instead of
+        silently mapping nothing."""
+        ext = self._given_extent if self._given_extent is not None else extent_union(self.scene_extents)
+        return require_extent(ext)
 
     @cached_property
     def frames(self) -> DataFrame:

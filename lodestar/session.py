@@ -26,6 +26,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # building a plan would otherwise record a Python call site (several
+        # JVM round trips) for every Column function; only error text uses it
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

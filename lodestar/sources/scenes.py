@@ -27,15 +27,17 @@ def scene_listing(spark: SparkSession, directory: str, suffix: str = SCENE_SUFFI
     Uses the ``binaryFile`` source but selects metadata only, so file
     contents are never read. Listing runs in parallel on executors for large
     directories (``spark.sql.sources.parallelPartitionDiscovery.threshold``).
-    Files in subdirectories are left out.
+    Files in subdirectories are left out. A plain file as ``directory`` is
+    an error.
     """
+    root = _qualified_dir(spark, directory)
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", "*" + _glob_escape(suffix))
              .option("recursiveFileLookup", "true")
              .load(directory)
              .select("path", "length", "modificationTime"))
     top = F.col("path").endswith(suffix)
-    depth_ok = parent_dir("path") == F.lit(_qualified_dir(spark, directory))
+    depth_ok = parent_dir("path") == F.lit(root)
     return files.filter(top & depth_ok).select(
         base_name("path").alias("name"), "path", "length",
         F.col("modificationTime").alias("modification_time"))
@@ -49,8 +51,11 @@ def _glob_escape(s: str) -> str:
 
 
 def _qualified_dir(spark: SparkSession, directory: str) -> str:
-    """The directory as the file source reports it (scheme-qualified, no trailing slash)."""
+    """The directory as the file source reports it (scheme-qualified, no
+    trailing slash); raises ``ValueError`` for a plain file."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(directory)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.isFile(hpath):
+        raise ValueError(f"scene_listing needs a directory, got a file: {directory}")
     return fs.makeQualified(hpath).toString().rstrip("/")

@@ -206,3 +206,12 @@ def test_tile_pixels_layout(spark):
         (5.0, 5.0, 4.0), (5.0, 15.0, 1.0), (15.0, 5.0, 5.0), (15.0, 15.0, 2.0),
         (25.0, 5.0, 6.0), (25.0, 15.0, 3.0)]
     assert all(b == 0.0 for *_, b in got)
+
+
+def test_empty_input_fails_the_map(spark):
+    # empty at run time (a literal false filter is folded away by the optimizer);
+    # raised inside the extent subquery, so it may surface as a wrapped JVM error
+    empty = _pixels(spark).filter(F.col("x") < F.lit(-1e30))
+    with pytest.raises(Exception) as err:
+        mineral_map(empty, SPEC, order=("acq",)).summary.collect()
+    assert "empty extent" in str(err.value)

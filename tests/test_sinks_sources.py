@@ -25,6 +25,8 @@ def test_scene_listing_top_level_suffix_only(spark):
             fh.write("hdf")
     df = scene_listing(spark, d)
     assert sorted(r["name"] for r in df.collect()) == ["a.hdf", "a2.hdf"]
+    with pytest.raises(ValueError):
+        scene_listing(spark, os.path.join(d, "a.hdf"))
     assert "content" not in df._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
 
 
