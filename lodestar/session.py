@@ -41,13 +41,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set -- local runs and tests -- a fresh local folder is created
-    and registered as the checkpoint dir, so ``DataFrame.checkpoint()`` works
-    too. Returns ``<root>/<parts...>``.
+    neither is set in local mode -- local runs and tests -- a fresh local
+    folder is created and registered as the checkpoint dir, so
+    ``DataFrame.checkpoint()`` works too; on a cluster that is an error.
+    Returns ``<root>/<parts...>``.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster job needs a shared "
+                               "folder for checkpoints and staged tables")
         root = tempfile.mkdtemp(prefix="lodestar-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
