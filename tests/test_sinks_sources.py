@@ -86,3 +86,18 @@ def test_materialise(spark, how):
     df = spark.range(100).withColumn("y", F.col("id") * 2)
     m = materialise(df, how)
     assert m.agg(F.sum("y")).first()[0] == 9900
+
+
+def test_write_catalog_stages_then_reaches_jdbc(spark):
+    """Everything up to the database connection runs; no database exists here,
+    so the append fails for want of a driver -- after the rejects are kept."""
+    from lodestar.sinks.jdbc import write_catalog
+    lines = [GOOD, "a,b", _line(band_count="n/a")]
+    df = spark.createDataFrame([(l,) for l in lines], "value string")
+    rejects = os.path.join(tempfile.mkdtemp(prefix="rejects-"), "r")
+    with pytest.raises(Exception) as err:
+        write_catalog(df, "jdbc:nosuchdb://nowhere/x", "fx_raster", rejects, key=("data_url",),
+                      batchsize=500, max_connections=4)
+    assert "driver" in str(err.value).lower()
+    got = sorted(r["reason"] for r in spark.read.parquet(rejects).collect())
+    assert got == ["arity", "type:band_count"]
