@@ -66,18 +66,23 @@ def tolerant_write(lines: DataFrame, text_col: str = "value", key: Sequence[str]
 
     Reasons, first match wins: ``arity`` / ``type:<field>`` (decode),
     ``null key``, ``duplicate key`` (all but one record per key; the kept
-    one has the least raw line, so the choice is deterministic), ``key exists``
-    (found in ``existing_keys``).
+    one has the least raw line, so the choice is deterministic), ``key
+    exists`` (found in ``existing_keys``).
+    """
+    return flag_rows(decode_lines(lines, text_col=text_col, keep=keep), key, keep, existing_keys)
+
+
+def flag_rows(ann: DataFrame, key: Sequence[str] = (), keep: Sequence[str] = (),
+              existing_keys: DataFrame | None = None) -> TolerantResult:
+    """:func:`tolerant_write` over an annotated decode (``decode_lines`` output).
 
     The duplicate check is an aggregate per key with a map-side partial
     step, so a key shared by a third of all rows does not land in one task;
     joining the winners back is an equi-join that AQE can split on skew.
-    ``flagged`` is one frame; write it once (see :func:`write_catalog`) and
-    split it, rather than re-running the decode for each side.
+    Both sides read ``ann``: pass a staged table (see :func:`write_catalog`)
+    so the lines are decoded once.
     """
     keep, key = tuple(keep), tuple(key)
-    fields = [f.name for f in CATALOG_SCHEMA.fields]
-    ann = decode_lines(lines, text_col=text_col, keep=keep)
     reason = F.when(F.col("error").isNotNull(), F.concat_ws(":", "error", "error_field"))
     if key:
         null_key = F.lit(False)
@@ -105,12 +110,17 @@ def tolerant_write(lines: DataFrame, text_col: str = "value", key: Sequence[str]
 def write_catalog(lines: DataFrame, url: str, table: str, rejects_path: str, *,
                   text_col: str = "value", key: Sequence[str] = (),
                   existing_keys: DataFrame | None = None, **jdbc_options) -> dict:
-    """Catalog load into a database: decode and flag once, stage the flagged
-    rows as a table in the shared folder, append the accepted rows over
-    JDBC, and keep the rejects as Parquet. Returns the counts."""
+    """Catalog load into a database.
+
+    Decode once into a staged table in the shared folder, flag duplicates
+    and existing keys from that table, stage the flagged rows, then append
+    the accepted rows over JDBC and keep the rejects as Parquet. Staging
+    makes each step restartable after a lost executor and keeps the regex
+    decode to one pass. Returns the counts."""
     from lodestar.sinks.frames import materialise
 
-    res = tolerant_write(lines, text_col=text_col, key=key, existing_keys=existing_keys)
+    ann = materialise(decode_lines(lines, text_col=text_col), how="parquet", name="catalog-decoded")
+    res = flag_rows(ann, key=key, existing_keys=existing_keys)
     staged = materialise(res.flagged, how="parquet", name="catalog-staged")
     staged.filter(F.col("reason").isNotNull()).select("line", "reason").write.mode("append").parquet(rejects_path)
     written = jdbc_append(staged.filter(F.col("reason").isNull()), url, table, **jdbc_options)
