@@ -24,3 +24,21 @@ def test_stream_matches_batch_and_resumes(spark):
     q.awaitTermination(300)
     total = spark.read.parquet(acc).count() + spark.read.parquet(rej).count()
     assert total == lines.count() + 10
+
+
+def test_stream_accepted_sink_sees_each_batch(spark):
+    root = tempfile.mkdtemp(prefix="stream2-")
+    src = os.path.join(root, "src")
+    lines = X.catalog_lines(X.reader(spark, "/root/testdata/sf0.001")).select("line")
+    lines.write.text(os.path.join(src, "a"))
+    seen = []
+
+    def sink(df, batch_id):
+        seen.append((batch_id, df.count()))
+
+    q = start_catalog_ingest(spark, os.path.join(src, "*"), os.path.join(root, "acc"),
+                             os.path.join(root, "rej"), checkpoint=os.path.join(root, "ck"),
+                             accepted_sink=sink, max_files_per_trigger=1)
+    q.awaitTermination(300)
+    assert sum(n for _, n in seen) == load_catalog(lines, text_col="line").stored.count()
+    assert len(seen) >= 1
