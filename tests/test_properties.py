@@ -14,7 +14,7 @@ from lodestar.functions import strings as S
 from lodestar.schema import CATALOG_SCHEMA
 
 SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-texts = st.lists(st.text(alphabet='ab,"\t \x01', max_size=24), min_size=1, max_size=150)
+texts = st.lists(st.text(alphabet='ab,"\t \x01\x00', max_size=24), min_size=1, max_size=150)
 CTRL = "".join(chr(i) for i in range(0x21))
 
 
@@ -33,6 +33,14 @@ def test_split_matches_python_regex(spark, values):
     assert _run(spark, values, S.quoted_split) == [_py_split(v) for v in values]
 
 
+@SETTINGS
+@given(values=st.lists(st.text(alphabet='ab;"|', max_size=24), min_size=1, max_size=100))
+def test_split_other_separators(spark, values):
+    for sep in (";", "\\|"):
+        want = [re.split(sep + S.QUOTE_AWARE_LOOKAHEAD, v) for v in values]
+        assert _run(spark, values, lambda c: S.quoted_split(c, sep)) == want
+
+
 @SETTINGS
 @given(values=texts)
 def test_split_nonempty_matches_definition(spark, values):
