@@ -28,7 +28,8 @@ def scene_listing(spark: SparkSession, directory: str, suffix: str = SCENE_SUFFI
     contents are never read. Listing runs in parallel on executors for large
     directories (``spark.sql.sources.parallelPartitionDiscovery.threshold``).
     Files in subdirectories are left out. A plain file as ``directory`` is
-    an error.
+    an error. Zero-byte files are not listed (Spark's file scan skips empty
+    files); a scene file is never empty.
     """
     root = _qualified_dir(spark, directory)
     files = (spark.read.format("binaryFile")
