@@ -113,8 +113,8 @@ def decode_lines(df: DataFrame, text_col: str = "value", schema: T.StructType =
     The split is computed once into ``_parts`` and every field reads from it.
     It is produced by a one-element ``explode`` on purpose: a later filter
     on ``error`` would otherwise be pushed below a plain projection with the
-    split inlined into each field's parse, running the quote-aware regex
-    once per field instead of once per line.
+    split inlined into each field's parse, splitting the line once per field
+    instead of once.
     """
     split = df.select(*keep, F.col(text_col).alias("_text"),
                       F.explode(F.array(quoted_split(F.col(text_col), separator))).alias("_parts"))

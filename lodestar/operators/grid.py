@@ -171,8 +171,9 @@ def pixel_to_frame(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridSp
     """Place each pixel in the grid: ``gx, gy`` (global cell), frame and cell in frame.
 
     Pure arithmetic against the extent, read once as a scalar subquery --
-    no join with the extent or with the frame table. Pixels outside the extent are dropped; a pixel exactly on
-    the max-x or min-y edge goes to the last cell.
+    no join with the extent or with the frame table. Pixels outside the
+    extent are dropped; a pixel exactly on the max-x or min-y edge goes to
+    the last cell.
     """
     res = F.lit(float(spec.res))
     g = grid_scalar(extent, spec)
