@@ -96,7 +96,7 @@ def test_write_catalog_stages_then_reaches_jdbc(spark):
     df = spark.createDataFrame([(l,) for l in lines], "value string")
     rejects = os.path.join(tempfile.mkdtemp(prefix="rejects-"), "r")
     with pytest.raises(Exception) as err:
-        write_catalog(df, "jdbc:nosuchdb://nowhere/x", "fx_raster", rejects, key=("data_url",),
+        write_catalog(df, "jdbc:nosuchdb://nowhere/x", "raster_catalog", rejects, key=("data_url",),
                       batchsize=500, max_connections=4)
     assert "driver" in str(err.value).lower()
     got = sorted(r["reason"] for r in spark.read.parquet(rejects).collect())
