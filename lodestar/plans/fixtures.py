@@ -61,7 +61,7 @@ def catalog_lines(table: Reader) -> DataFrame:
 
 def short_lines(table: Reader) -> DataFrame:
     """``event_id, l``: short lines with one quoted comma-bearing field."""
-    return table("events").select(
+    return spread_table(table, "events").select(
         "event_id",
         F.concat(_s("event_id"), F.lit(',"'), _s("event_type"), F.lit(","), _s("user_id"),
                  F.lit('",'), _s("props"), F.lit(","), _s("value")).alias("l"))
