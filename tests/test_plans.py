@@ -65,3 +65,12 @@ def test_entry_smoke(spark):
 def test_tile_kernel_runs_on_arrow_batches(spark):
     plan = _plan(E.queries()["tile_kernel"](spark, SF))
     assert "MapInArrow" in plan and "BatchEvalPython" not in plan
+
+
+def test_spread_adds_no_shuffle_to_large_inputs(spark):
+    from lodestar.session import spread
+    many = spark.range(10_000).repartition(64)
+    assert spread(many, ("id",)) is many            # already split: untouched
+    few = spark.range(10_000).coalesce(1)
+    spread_plan = _plan(spread(few, ("id",)))
+    assert "hashpartitioning(id" in spread_plan      # one split on 8 cores: spread
