@@ -21,3 +21,16 @@ def test_cli_map_and_list(spark, capsys):
             fh.write("scene")
     assert main(["list-scenes", root]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"scenes": ["x.hdf"]}
+
+
+def test_cli_load_catalog_reaches_jdbc(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="cli-load-")
+    src = os.path.join(root, "lines")
+    X.catalog_lines(X.reader(spark, "/root/testdata/sf0.001")).select("line").write.text(src)
+    rejects = os.path.join(root, "rejects")
+    with pytest.raises(Exception) as err:
+        main(["load-catalog", src, "--url", "jdbc:nosuchdb://nowhere/x", "--table", "raster_catalog",
+              "--rejects", rejects, "--key", "data_url", "--max-connections", "2"])
+    assert "driver" in str(err.value).lower()
+    assert spark.read.parquet(rejects).count() > 0   # rejects kept before the database step
