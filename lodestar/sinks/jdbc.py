@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lodestar.functions.decode import append_constants, decode_lines
-from lodestar.schema import CATALOG_SCHEMA, STORED_SCHEMA
+from lodestar.schema import STORED_SCHEMA
 
 STORED_COLUMNS = tuple(f.name for f in STORED_SCHEMA.fields)
 

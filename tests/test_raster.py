@@ -1,7 +1,6 @@
 """Projection, extents, grid placement, mosaic policies and thresholds."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +10,6 @@ from lodestar.operators.bands import apply_index, coregister, export_swir, expor
 from lodestar.operators.extent import extent_format, extent_union, parse_extent, scene_extent
 from lodestar.operators.grid import (GridSpec, empty_frames, frame_grid, pixel_to_frame,
                                      scene_frame_join)
-from lodestar.operators.mosaic import mosaic_fill
 from lodestar.plans.mineral_map import mineral_map
 
 SPEC = GridSpec()
