@@ -213,3 +213,15 @@ def test_empty_input_fails_the_map(spark):
     with pytest.raises(Exception) as err:
         mineral_map(empty, SPEC, order=("acq",)).summary.collect()
     assert "empty extent" in str(err.value)
+
+
+def test_given_extent_matches_computed_and_must_be_one_row(spark):
+    px = _pixels(spark)
+    computed = mineral_map(px, SPEC, order=("acq",))
+    ext_row = computed.extent.first()
+    given = _extent(spark, ext_row["minx"], ext_row["maxx"], ext_row["miny"], ext_row["maxy"])
+    m = mineral_map(px, SPEC, order=("acq",), extent=given)
+    assert sorted(map(tuple, m.mosaic.collect())) == sorted(map(tuple, computed.mosaic.collect()))
+    two = given.unionByName(given)
+    with pytest.raises(Exception):
+        mineral_map(px, SPEC, order=("acq",), extent=two).mosaic.collect()
