@@ -86,39 +86,56 @@ def arity_ok(parts: ColumnOrName, schema: T.StructType = CATALOG_SCHEMA) -> Colu
     return F.size(_col(parts)) == F.lit(len(schema.fields))
 
 
-def decode_columns(parts: ColumnOrName, schema: T.StructType = CATALOG_SCHEMA) -> list[Column]:
-    """Typed field columns plus ``error`` and ``error_field`` for a ``parts`` array."""
+def parsed_columns(parts: ColumnOrName, schema: T.StructType = CATALOG_SCHEMA) -> list[Column]:
+    """Step 1 of the decode: ``_arity`` plus each field's parsed value ``_v<i>``
+    (NULL when the text does not parse; strings as they are)."""
     parts = _col(parts)
-    gate = arity_ok(parts, schema)
+    out = [arity_ok(parts, schema).alias("_arity")]
+    for i, field in enumerate(schema.fields):
+        value, _, _ = parse_field(F.try_element_at(parts, F.lit(i + 1)), field)
+        out.append(value.alias(f"_v{i}"))
+    return out
+
+
+def gated_columns(schema: T.StructType = CATALOG_SCHEMA) -> list[Column]:
+    """Step 2: typed fields with first-failure gating, plus ``error`` and ``error_field``.
+
+    Reads the ``_v<i>`` columns of :func:`parsed_columns`, so every field is
+    parsed once however many later gates depend on it.
+    """
+    arity = F.col("_arity")
+    gate = arity
     out, failures = [], []
     for i, field in enumerate(schema.fields):
-        text = F.try_element_at(parts, F.lit(i + 1))
-        value, ok, default = parse_field(text, field)
-        gate = gate & ok
-        out.append(F.when(gate, value).otherwise(default).cast(field.dataType).alias(field.name))
-        if isinstance(field.dataType, (*_INTEGRAL, *_FRACTIONAL)):
-            failures.append(F.when(~ok, F.lit(field.name)))
-    arity = arity_ok(parts, schema)
+        v = F.col(f"_v{i}")
+        numeric = isinstance(field.dataType, (*_INTEGRAL, *_FRACTIONAL))
+        if numeric:
+            gate = gate & v.isNotNull()
+            failures.append(F.when(v.isNull(), F.lit(field.name)))
+        _, _, default = parse_field(F.lit(None).cast("string"), field)
+        out.append(F.when(gate, v).otherwise(default).cast(field.dataType).alias(field.name))
     first_bad = F.coalesce(*failures) if failures else F.lit(None).cast("string")
     error = (F.when(~arity, F.lit(ERROR_ARITY))
              .when(first_bad.isNotNull(), F.lit(ERROR_TYPE)))
-    error_field = F.when(arity, first_bad)
-    return out + [error.alias("error"), error_field.alias("error_field")]
+    return out + [error.alias("error"), F.when(arity, first_bad).alias("error_field")]
 
 
 def decode_lines(df: DataFrame, text_col: str = "value", schema: T.StructType = CATALOG_SCHEMA,
                  keep: tuple[str, ...] = (), separator: str = FIELD_SEPARATOR) -> DataFrame:
     """Annotated decode: ``keep`` columns, the typed fields, ``error``, ``error_field``.
 
-    The split is computed once into ``_parts`` and every field reads from it.
-    It is produced by a one-element ``explode`` on purpose: a later filter
-    on ``error`` would otherwise be pushed below a plain projection with the
-    split inlined into each field's parse, splitting the line once per field
-    instead of once.
+    Three narrow steps in one stage: split, parse every field once, gate.
+    The split is produced by a one-element ``explode`` on purpose: a later
+    filter on ``error`` would otherwise be pushed below a plain projection
+    with the split inlined into each field's parse, splitting the line once
+    per field instead of once. The parse step stays a projection of its own
+    because collapsing it would copy each (regex-checked) parse into every
+    later field's gate.
     """
     split = df.select(*keep, F.col(text_col).alias("_text"),
                       F.explode(F.array(quoted_split(F.col(text_col), separator))).alias("_parts"))
-    return split.select(*keep, *decode_columns("_parts", schema), "_text")
+    parsed = split.select(*keep, "_text", *parsed_columns("_parts", schema))
+    return parsed.select(*keep, *gated_columns(schema), "_text")
 
 
 @dataclass
