@@ -36,6 +36,12 @@ def jdbc_append(stored: DataFrame, url: str, table: str, *, user: str | None = N
     ``max_connections`` caps concurrent connections (Spark coalesces to that
     many write tasks); each task inserts in batches of ``batchsize``. The
     count is observed in the same pass as the write.
+
+    Executor loss: Spark commits each write task's rows in one transaction
+    (on databases with transactions), so a task lost mid-way rolls back and
+    its retry writes the partition again. A task lost after its commit but
+    before reporting back is replayed too; give the table a primary key
+    (and flag with ``key=``) so such a replay is refused, not duplicated.
     """
     opts = {"url": url, "dbtable": table, "batchsize": str(batchsize)}
     if user is not None:
