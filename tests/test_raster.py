@@ -225,3 +225,25 @@ def test_given_extent_matches_computed_and_must_be_one_row(spark):
     two = given.unionByName(given)
     with pytest.raises(Exception):
         mineral_map(px, SPEC, order=("acq",), extent=two).mosaic.collect()
+
+
+def test_hot_cell_latest_is_global_max(spark):
+    """A third of the pixels land in one cell, spread over many partitions:
+    the latest policy still picks the single greatest (order, v)."""
+    rows = []
+    t = dt.datetime(2020, 1, 1)
+    for i in range(3000):
+        hot = i % 3 == 0
+        x = 250.0 if hot else 250.0 + 500.0 * (i % 40)
+        y = 250.0 if hot else 250.0 + 500.0 * (i // 40)
+        rows.append((f"s{i % 5}", x, y, t + dt.timedelta(seconds=i % 997), 1.0, 1.0, 2.0 + i % 7, 1.0))
+    px = spark.createDataFrame(rows, "scene string, x double, y double, acq timestamp, "
+                                     "b2 double, b3 double, b4 double, b6 double").repartition(16)
+    m = mineral_map(px, SPEC, order=("acq", "scene"))
+    top = max((r for r in rows if r[1] == 250.0 and r[2] == 250.0),
+              key=lambda r: (r[3], r[0], (r[6] - r[7]) / (r[6] + r[7])))
+    ext = m.extent.first()
+    gy_hot = int((ext["maxy"] - 250.0) // 500.0)
+    cell = [r for r in m.mosaic.collect() if r["gx"] == 0 and r["gy"] == gy_hot][0]
+    assert cell["n"] == sum(1 for r in rows if r[1] == 250.0 and r[2] == 250.0)
+    assert cell["v"] == (top[6] - top[7]) / (top[6] + top[7])

@@ -101,3 +101,17 @@ def test_write_catalog_stages_then_reaches_jdbc(spark):
     assert "driver" in str(err.value).lower()
     got = sorted(r["reason"] for r in spark.read.parquet(rejects).collect())
     assert got == ["arity", "type:band_count"]
+
+
+def test_hot_duplicate_key_keeps_exactly_one(spark):
+    """A third of all lines share one key: one is stored, the rest are duplicates."""
+    n = 300
+    lines = [(i, _line(data_url="http://x/hot" if i % 3 == 0 else f"http://x/{i}", image_id=f"img{i}"))
+             for i in range(n)]
+    df = spark.createDataFrame(lines, "id int, value string").repartition(7)
+    res = tolerant_write(df, key=("data_url",), keep=("id",))
+    flagged = res.flagged.collect()
+    hot = [r for r in flagged if r["data_url"] == "http://x/hot" or (r["reason"] == "duplicate key")]
+    assert sum(1 for r in hot if r["reason"] is None) == 1
+    assert sum(1 for r in flagged if r["reason"] == "duplicate key") == n // 3 - 1
+    assert res.accepted.count() == n - (n // 3 - 1)
