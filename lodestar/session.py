@@ -78,6 +78,6 @@ def spread(df, keys: tuple[str, ...] = (), min_partitions: int | None = None):
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if df.rdd.getNumPartitions() >= want:  # partition count from the plan; no RDD work runs
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
