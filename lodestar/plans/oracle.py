@@ -374,6 +374,7 @@ pa as (select o.scene, o.x, o.y, o.acq, o.l_orderkey,
 pb as (select *, cast(floor(gy / {H}) as int) as frame_row, cast(floor(gx / {W}) as int) as frame_col from pa)
 select *, gy - frame_row * {H} as cell_row, gx - frame_col * {W} as cell_col from pb""",
     "mosaic_fill": f"{obs_map()}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
+    "mosaic_fill_first": f"{obs_map(agg='min_by(v, row(acq, l_orderkey, scene, v))')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
     "mosaic_fill_mean": f"{obs_map(agg='avg(v)')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, round(v, 9) as v, n from mosaic",
     "row_count": f"with {LINES} select count(*) as n from lines",
     "sum_reduce": f"""{_dec()}

@@ -298,6 +298,10 @@ def mosaic_fill_q(spark, sf_dir):
     return _obs_map(spark, sf_dir).mosaic
 
 
+def mosaic_fill_first_q(spark, sf_dir):
+    return _obs_map(spark, sf_dir, overlap="first").mosaic
+
+
 def mosaic_fill_mean_q(spark, sf_dir):
     m = _obs_map(spark, sf_dir, overlap="mean").mosaic
     return m.withColumn("v", F.round("v", 9))
@@ -395,6 +399,7 @@ QUERIES = {
     "scene_frame_join": scene_frame_join_q,
     "pixel_to_frame": pixel_to_frame_q,
     "mosaic_fill": mosaic_fill_q,
+    "mosaic_fill_first": mosaic_fill_first_q,
     "mosaic_fill_mean": mosaic_fill_mean_q,
     # aggregations
     "row_count": row_count_q,
