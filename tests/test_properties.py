@@ -78,3 +78,18 @@ def test_decode_inverts_encode(spark, rows):
     back = D.apply_error_policy(D.decode_lines(enc), "keep").collect()
     assert sorted(map(tuple, back), key=repr) == sorted(rows, key=repr)
     assert all(not (isinstance(x, float) and math.isnan(x)) for r in back for x in r)
+
+
+@SETTINGS
+@given(pts=st.lists(st.tuples(st.floats(0, 3), st.floats(-75, 75)), min_size=1, max_size=100))
+def test_projection_is_symmetric_about_the_central_meridian(spark, pts):
+    from lodestar.functions.raster import project_utm
+    rows = [(45.0 + d, lat, 45.0 - d) for d, lat in pts]
+    df = spark.createDataFrame(rows, "lon_e double, lat double, lon_w double")
+    ee, ne = project_utm("lon_e", "lat")
+    ew, nw = project_utm("lon_w", "lat")
+    c, _ = project_utm(F.lit(45.0), "lat")
+    for r in df.select(ee.alias("ee"), ne.alias("ne"), ew.alias("ew"), nw.alias("nw"), c.alias("c")).collect():
+        assert abs((r["ee"] - 500000.0) + (r["ew"] - 500000.0)) < 1e-6
+        assert abs(r["ne"] - r["nw"]) < 1e-6
+        assert abs(r["c"] - 500000.0) < 1e-9
