@@ -37,8 +37,9 @@ def quoted_split(c: ColumnOrName, separator: str = ",") -> Column:
     the original API does.
 
     For a one-character literal separator the split is linear: cut the
-    text at every quote; segment ``k`` has ``quotes - k`` quotes after it, so
-    its separators split exactly when that number is even. Those are marked,
+    text at every quote; counted from the end, a segment's index is the
+    number of quotes after it, so its separators split exactly when that
+    index is even. Those are marked,
     the segments re-joined, and the text split at the marks. The look-ahead
     regex gives the same parts but rescans the rest of the line at every
     separator -- quadratic, and minutes instead of a second on lines with a
@@ -48,11 +49,13 @@ def quoted_split(c: ColumnOrName, separator: str = ",") -> Column:
     by_regex = F.split(c, separator + QUOTE_AWARE_LOOKAHEAD, -1)
     if len(separator) != 1 or separator in _REGEX_META or separator == '"':
         return by_regex
-    segments = F.split(c, '"', -1)
-    n_quotes = F.size(segments) - 1
-    marked = F.transform(segments, lambda seg, k: F.when(
-        ((n_quotes - k) % 2) == 0, F.replace(seg, F.lit(separator), F.lit(_MARK))).otherwise(seg))
-    linear = F.split(F.array_join(marked, '"'), _MARK, -1)
+    # counted from the end, the index of a segment is the number of quotes
+    # after it, so the lambda needs only its own index (nothing per element
+    # that would re-split the line)
+    from_end = F.reverse(F.split(c, '"', -1))
+    marked = F.transform(from_end, lambda seg, j: F.when(
+        (j % 2) == 0, F.replace(seg, F.lit(separator), F.lit(_MARK))).otherwise(seg))
+    linear = F.split(F.array_join(F.reverse(marked), '"'), _MARK, -1)
     return F.when(F.instr(c, _MARK) > 0, by_regex).otherwise(linear)
 
 

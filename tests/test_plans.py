@@ -74,3 +74,16 @@ def test_spread_adds_no_shuffle_to_large_inputs(spark):
     few = spark.range(10_000).coalesce(1)
     spread_plan = _plan(spread(few, ("id",)))
     assert "hashpartitioning(id" in spread_plan      # one split on 8 cores: spread
+
+
+def test_decode_splits_each_line_once(spark):
+    """The filter on decode errors must not drag copies of the split into itself.
+    One split expression holds three split() calls (quote cut, mark split,
+    regex fallback); a pushed-down copy per field would multiply them."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = _plan(E.queries()["jdbc_append"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("split(") <= 3
+    assert "Generate explode" in plan
