@@ -4,20 +4,68 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestar.llm.common import read_table
+from lodestar.llm.common import read_table, shuffle_width, staged, word_count
+from lodestar.llm.embed_dedup import near_duplicate_vectors
+from lodestar.llm.minhash import fingerprint_report
+from lodestar.llm.mixing import curriculum
+from lodestar.llm.packing import pack_documents
+from lodestar.llm.sharding import balanced_shards
+from lodestar.llm.simhash import near_duplicates
 from lodestar.llm.token_count import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op2_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = balanced_shards(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, public_tokenizers.path(TOKENIZER)).drop("text")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    mixed = curriculum(staged(docs, "mix-sizes"), F.col("size"))
+    parts = shuffle_width(spark)
+    out = mixed.select("doc.doc_id", "size", "source_size", "target", "taken",
+                       F.try_element_at("positions", F.lit(1)).alias("position"), "key")
+    # documents that are not taken follow in the order of their hash
+    late = F.lit(1.0) + F.conv(F.substring("key", 1, 8), 16, 10).cast("double")
+    return (out.repartitionByRange(parts, F.coalesce("position", late), "key")
+            .sortWithinPartitions(F.coalesce("position", late), "key").drop("key"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_balanced_shards": op2_balanced_shards,
+    "op3_pack": op3_pack,
     "op4_token_count": op4_token_count,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_mix": op9_mix,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE: dict[str, str] = {}
