@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.llm import langid, quality
 from lodestar.llm.common import read_table, shuffle_width, staged, word_count
 from lodestar.llm.embed_dedup import near_duplicate_vectors
+from lodestar.llm.license_scan import scan_licenses
 from lodestar.llm.minhash import fingerprint_report
 from lodestar.llm.mixing import curriculum
 from lodestar.llm.packing import pack_documents
@@ -18,6 +20,10 @@ from lodestar.llm.token_count import token_counts
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op2_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = balanced_shards(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -37,6 +43,22 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", (quality.fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT).alias("held_out"), "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", langid.language(F.col("text"), langid.fit(docs)).alias("found"))
+    return found.select(
+        "doc_id", (quality.fold(F.col("doc_id"), langid.FOLDS) == langid.HELD_OUT).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -59,10 +81,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_balanced_shards": op2_balanced_shards,
     "op3_pack": op3_pack,
     "op4_token_count": op4_token_count,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_mix": op9_mix,
     "op10_minhash": op10_minhash,
