@@ -75,11 +75,11 @@ class SubwordModel:
                 found = known.get(word)
                 if found is None:
                     found = word_features(word)
-                    if len(known) < 200_000:
+                    if len(known) < 50_000:
                         known[word] = found
                 feats += found
             feats += REPEAT * repeats(words)
-            ids, counts = np.unique(np.asarray(feats, np.int64), return_counts=True)
+            ids, counts = np.unique(np.asarray(feats, np.int32), return_counts=True)
             documents.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
         epochs = -(-steps // max(1, len(texts)))
         steps, done = max(1, epochs * len(texts)), 0

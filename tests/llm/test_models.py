@@ -1,0 +1,154 @@
+import json
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lodestar.llm import langid, quality
+from lodestar.llm.license_scan import TEMPLATES, Scanner, align, scan_licenses, words_of
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    return docs, quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet")), langid.fit(docs)
+
+
+def test_folds_are_crc32(spark):
+    ids = [0, 1, 17, 123456789, None]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    got = [r.f for r in df.select(quality.fold(F.col("doc_id"), 5).alias("f")).collect()]
+    assert got == [zlib.crc32(str("" if i is None else i).encode()) % 5 for i in ids]
+
+
+def test_quality_on_held_out_labels(spark, learned):
+    docs, model, _ = learned
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = (quality.scored(docs, model).join(labels, "doc_id")
+            .where(quality.fold(F.col("doc_id"), 5) == 0).select("score", "quality").collect())
+    assert len(rows) > 50
+    assert np.mean([(r.score >= quality.CUT) == r.quality for r in rows]) >= 0.97
+
+
+def test_quality_of_awkward_rows(spark, awkward, nothing, learned):
+    out = quality.scored(awkward, learned[1]).collect()
+    assert len(out) == awkward.count() and all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if not (r.text or "").strip()}) == 1
+    assert quality.scored(nothing, learned[1]).count() == 0
+    none = quality.train(nothing.select("doc_id", "text"), spark.createDataFrame([], "doc_id long, quality int"))
+    assert {r.score for r in quality.scored(awkward, none).collect()} == {0.5}
+
+
+def test_score_is_the_softmax_of_the_average():
+    texts, labels = ["good words here", "bad bad bad", "good good words", "bad here bad bad"], [1, 0, 1, 0]
+    model = quality.SubwordModel(texts, labels, steps=200)
+    weights, bias = model.weights()
+    sums = quality._WordSums(weights)
+    for text, label in zip(texts, labels):
+        words = text.split()
+        feats = [f for w in words for f in quality.word_features(w)] + quality.REPEAT * quality.repeats(words)
+        p = model._softmax(model.vectors[feats].mean(axis=0))[1]
+        total = sums.of(words)
+        assert abs(1 / (1 + np.exp(-(total.real / total.imag + bias))) - p) < 1e-4
+        assert (p >= 0.5) == label
+
+
+def test_language_on_held_out_documents(learned):
+    docs, _, model = learned
+    rows = (docs.where(quality.fold(F.col("doc_id"), 4) == 2)
+            .select("lang", langid.language(F.col("text"), model).alias("found")).collect())
+    assert len(rows) > 200
+    assert np.mean([r.lang == r.found.lang for r in rows if r.lang]) >= 0.98
+
+
+def test_language_of_awkward_rows(awkward, nothing, learned):
+    _, _, model = learned
+    out = {r.doc_id: r.f for r in awkward.select("doc_id", langid.language(F.col("text"), model).alias("f")).collect()}
+    assert all(out[i].lang == "und" and out[i].score == 0 for i in (1, 2, 3))
+    assert all(0 <= f.score <= 1 for f in out.values()) and out[7].lang in model[0]
+    assert nothing.select(langid.language(F.col("text"), model)).count() == 0
+    names, logs = langid.fit(nothing)
+    assert names == []
+    assert {r.f.lang for r in awkward.select(langid.language(F.col("text"), (names, logs)).alias("f")).collect()} == {"und"}
+
+
+def test_mixture_shares_follow_the_texts(learned):
+    docs, _, (names, logs) = learned
+    by = {lang: " ".join(r.text for r in docs.where(F.col("lang") == lang).limit(12).collect()).split()
+          for lang in ("en", "fr", "de")}
+    text = " ".join(by["en"][:600] + by["fr"][:250] + by["de"][:150])
+    best, score = langid.infer([text, text[:0], None], logs)
+    assert names[best[0]] == "en" and abs(score[0] - 0.6) < 0.08 and best[1] == best[2] == -1
+
+
+def test_trigrams_of_a_block_equal_single_texts():
+    texts = ["Éan ab", "", None, "x", "a1b c", "word " * 5 + "z" * 40]
+    whole = langid._trigrams(texts)
+    for i, t in enumerate(texts):
+        bucket, start, _ = langid._trigrams([t])
+        mine = whole[2] == i
+        assert (whole[0][mine] == bucket).all() and (whole[1][mine] == start).all()
+
+
+def test_counts_cover_all_learning_documents(spark, learned):
+    docs = learned[0]
+    got = {r["lang"]: r.n for r in langid.trigram_counts(docs).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    want = {}
+    for r in docs.where(quality.fold(F.col("doc_id"), 4) != 2).collect():
+        if r.lang:
+            want[r.lang] = want.get(r.lang, 0) + sum(c.isalpha() for c in r.text.lower())
+    assert got == want
+
+
+def common_subsequence(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_alignment_is_a_common_subsequence():
+    rng = np.random.default_rng(3)
+    template = words_of(TEMPLATES["Apache-2.0"])
+    for _ in range(30):
+        text = [w for w in template if rng.random() > 0.1]
+        for _ in range(5):
+            text.insert(rng.integers(0, len(text)), "other")
+        pairs = align(template, text)
+        assert all(template[x] == text[y] for x, y in pairs)
+        assert all(x < x2 and y < y2 for (x, y), (x2, y2) in zip(pairs, pairs[1:]))
+        best = common_subsequence(template, text)
+        assert 0.95 * best <= len(pairs) <= best
+
+
+def test_license_lines_of_the_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    short = {k: v for k, v in TEMPLATES.items() if k.endswith("(short)")}
+    want = sorted((r.doc_id, k) for r in docs.collect() for k, v in short.items() for _ in range(r.text.count(v)))
+    got = sorted((r.doc_id, r.license) for r in scan_licenses(docs).where("coverage = 1").collect())
+    assert want and got == want
+
+
+def test_licenses_altered_repeated_and_absent(spark, awkward, nothing):
+    mit = TEMPLATES["MIT"]
+    altered = mit.replace("hereby", "now").replace("free of charge", "gratis").upper()
+    texts = [f"foo {altered} bar", f"{TEMPLATES['MIT (short)']} {TEMPLATES['MIT (short)']}", "the license of software",
+             "Licensed under CC BY-SA 4.0.", " ".join(reversed(words_of(mit)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.doc_id, r.license) for r in scan_licenses(df).orderBy("doc_id", "first_word").collect()]
+    assert got == [(0, "MIT"), (1, "MIT (short)"), (1, "MIT (short)"), (3, "CC-BY-SA-4.0 (short)")]
+    assert scan_licenses(awkward).count() == 0 and scan_licenses(nothing).count() == 0
+    assert scan_licenses(df, templates={}).count() == 0
+
+
+def test_seeds_lose_no_match():
+    """Any template with a fifth of its words gone still holds a seed, whichever words go."""
+    scanner = Scanner(TEMPLATES)
+    for name, words in scanner.templates.items():
+        seeds = [i for w in scanner.seeds.values() for n, i in w if n == name]
+        assert len(seeds) > (1 - scanner.coverage) * len(words) - 1e-9
