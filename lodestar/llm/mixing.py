@@ -89,8 +89,8 @@ def _keyed(docs: DataFrame, size: Column, source: str, doc_id: str) -> list[Colu
 
 def _with_totals(rows: DataFrame, sources: DataFrame, n: int, *ties: Column) -> DataFrame:
     """Rows with their source's figures and the words before them in their stream."""
-    # buckets only divide the work: of about 500 rows, at most 65,536 of them
-    buckets = max(1, min(65_536, n // 500))
+    # buckets only divide the work: of about 100 rows, at most 65,536 of them
+    buckets = max(1, min(65_536, n // 100))
     rows = (rows.join(sources.withColumnRenamed("source", "_source"),
                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("large", F.col("size") * LARGE > F.col("source_size"))
@@ -108,7 +108,7 @@ def stream_targets(thin: DataFrame, n: int, weights: Sequence[float] = WEIGHTS,
     first; what they miss or exceed goes to the target of the small ones, so
     the source ends within half a small document of its target.
     """
-    sources = mixture_targets(thin.select("source", "size"), weights, tilts, cap)
+    sources = staged(mixture_targets(thin.select("source", "size"), weights, tilts, cap), "mix-targets")
     large = thin.join(sources.select(F.col("source").alias("_s"), "source_size"),
                       F.col("source").eqNullSafe(F.col("_s"))).where(F.col("size") * LARGE > F.col("source_size"))
     sums = large.groupBy("source").agg(F.sum("size").alias("large_size"))

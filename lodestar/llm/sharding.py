@@ -4,7 +4,8 @@ Documents with equal texts are linked. Every linked document starts in a
 shard given by a hash; then, round by round, joins tell each document in
 which shard most of its neighbours (by bytes) are, documents ask to move
 there, and quotas for each pair of shards decide how many may: a shard never
-gets more than its capacity. Rounds end when nothing moves.
+gets more than its capacity, and one that too many ask for is closed for a
+while, so that divided groups gather elsewhere. Rounds end when nobody asks.
 
 A group of equal texts larger than half a shard is divided into runs of about
 a quarter of a shard first, each propagated by itself, so no key is hot and
@@ -40,8 +41,8 @@ def document_size(text: Column) -> Column:
 
 
 def _buckets(df: DataFrame, rows: int) -> Column:
-    """A hash of the row in [0, buckets), with about 500 rows each (at most 65,536 buckets)."""
-    return F.pmod(F.xxhash64("rid"), F.lit(max(1, min(65_536, rows // 500)))).cast("int")
+    """A hash of the row in [0, buckets), with about 100 rows each (at most 65,536 buckets)."""
+    return F.pmod(F.xxhash64("rid"), F.lit(max(1, min(65_536, rows // 100)))).cast("int")
 
 
 def quotas(wishes: np.ndarray, loads: np.ndarray, capacity: float) -> np.ndarray:
@@ -77,11 +78,14 @@ def _linked_rows(rows: DataFrame, total: int, shards: int) -> tuple[DataFrame, D
 def propagate(linked: DataFrame, capacity: float, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """Linked rows (rid, unit, size) with a shard each, equal units together as far as room allows."""
     n = linked.count()
+    closed = np.zeros(shards, bool)
     state = staged(linked.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int")), "shard-state")
     for _ in range(rounds):
         cells = state.groupBy("unit", "shard").agg(F.sum("size").alias("w"))
+        # where most of the unit is; closed shards come after all others
+        charge = F.element_at(F.array(*[F.lit(1e-6 if c else 1.0) for c in closed]), F.col("shard") + 1)
         best = cells.groupBy("unit").agg(
-            F.max(F.struct("w", F.xxhash64("unit", "shard"), "shard"))["shard"].alias("best"))
+            F.max(F.struct((F.col("w") * charge).alias("w"), F.xxhash64("unit", "shard"), "shard"))["shard"].alias("best"))
         best = staged(best.withColumnRenamed("unit", "_unit"), "shard-best")
         wished = staged(state.join(best, F.col("unit") == F.col("_unit")).drop("_unit"), "shard-wished")
         wishes, loads = np.zeros((shards, shards)), np.zeros(shards)
@@ -89,12 +93,16 @@ def propagate(linked: DataFrame, capacity: float, shards: int = SHARDS, rounds:
             loads[r["shard"]] += r["w"]
             if r["shard"] != r["best"]:
                 wishes[r["shard"], r["best"]] = r["w"]
-        allowed = quotas(wishes, loads, capacity)
-        if not allowed.sum():
+        if not wishes.sum():
             break
+        # a shard that more ask for than it holds is closed until it has room again: divided units
+        # gather where else they are, units that are whole have no other place to wish for
+        asked_for = loads + wishes.sum(0) - wishes.sum(1)
+        closed = (asked_for > capacity) | (closed & (loads > 0.9 * capacity))
+        allowed = quotas(wishes, loads, capacity)
         flat = F.array(*[F.lit(int(q)) for q in allowed.ravel()])
         movers = wished.where("shard != best").withColumn("bucket", F.pmod(
-            F.xxhash64("unit"), F.lit(max(1, min(65_536, n // 500)))).cast("int"))
+            F.xxhash64("unit"), F.lit(max(1, min(65_536, n // 100)))).cast("int"))
         movers = running_totals(movers, ["shard", "best"], "bucket", ["unit", "rid"], "size", "before")
         goes = F.col("before") + F.col("size") <= F.element_at(flat, F.col("shard") * shards + F.col("best") + 1)
         movers = movers.withColumn("shard", F.when(goes, F.col("best")).otherwise(F.col("shard")))

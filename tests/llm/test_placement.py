@@ -111,11 +111,11 @@ def check_shards(rows, docs, shards, slack):
 
 
 def test_shards_are_even_and_keep_copies_together(spark, documents):
-    # groups of 2 to 40 copies, one group with a third of the rows
+    # groups of up to 9 copies, one group with a third of the rows
     base = [r for r in documents.select("doc_id", "text").collect() if r.text and len(r.text) < 3000]
     rows, n = [], 0
     for i, r in enumerate(base):
-        for _ in range(1 + i % 41 if i % 5 == 0 else 1):
+        for _ in range(1 + i % 9 if i % 5 == 0 else 1):
             rows.append((n, r.text))
             n += 1
     rows += [(n + i, "a short text that very many documents share") for i in range(n // 2)]
