@@ -28,7 +28,7 @@ def _session(args) -> SparkSession:
 
 
 def _load_catalog(spark: SparkSession, args) -> dict:
-    from lodestar.sinks.jdbc import write_catalog
+    from lodestar.sinks.jdbc import stored_keys, write_catalog
     from lodestar.sources.text import catalog_scan
 
     opts = {"batchsize": args.batchsize}
@@ -37,11 +37,16 @@ def _load_catalog(spark: SparkSession, args) -> dict:
     for k in ("user", "password", "driver"):
         if getattr(args, k):
             opts[k] = getattr(args, k)
+    key, existing = tuple(args.key or ()), None
+    if args.check_existing:
+        login = {k: opts[k] for k in ("user", "password", "driver") if k in opts}
+        existing = stored_keys(spark, args.url, args.table, key, **login)
     return write_catalog(catalog_scan(spark, args.input), args.url, args.table, args.rejects,
-                         key=tuple(args.key or ()), **opts)
+                         key=key, existing_keys=existing, on_error=args.on_error, load_id=args.load_id, **opts)
 
 
 def _map(spark: SparkSession, args) -> dict:
+    from lodestar.functions.raster import TransverseMercator
     from lodestar.operators.grid import GridSpec
     from lodestar.plans.mineral_map import mineral_map
     from lodestar.sinks.frames import frame_sink
@@ -49,8 +54,10 @@ def _map(spark: SparkSession, args) -> dict:
     pixels = spark.read.parquet(args.pixels)
     m = mineral_map(pixels, GridSpec(args.res, args.width, args.height), overlap=args.overlap,
                     order=tuple(args.order.split(",")), threshold=args.threshold,
-                    pixel_size=args.pixel_size)
-    frame_sink(m.binary, args.out, mode="overwrite" if args.overwrite else "errorifexists")
+                    pixel_size=args.pixel_size,
+                    projection=TransverseMercator(args.central_meridian) if args.lonlat else None)
+    cells = m.dense_cells if args.dense else m.binary
+    frame_sink(cells, args.out, mode="overwrite" if args.overwrite else "errorifexists")
     summary = spark.read.parquet(args.out).groupBy("frame_row", "frame_col").count()
     return {"frames": summary.count(), "out": args.out}
 
@@ -58,8 +65,11 @@ def _map(spark: SparkSession, args) -> dict:
 def _list_scenes(spark: SparkSession, args) -> dict:
     from lodestar.sources.scenes import scene_listing
 
-    return {"scenes": [r["name"] for r in scene_listing(spark, args.dir, args.suffix)
-                       .select("name").orderBy("name").toLocalIterator()]}
+    n = 0
+    for r in scene_listing(spark, args.dir, args.suffix).select("name").toLocalIterator():
+        print(r["name"])
+        n += 1
+    return {"scenes": n}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -73,7 +83,11 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--url", required=True)
     c.add_argument("--table", required=True)
     c.add_argument("--rejects", required=True, help="Parquet folder for rejected lines")
-    c.add_argument("--key", action="append", help="key column(s) for duplicate / existing checks")
+    c.add_argument("--key", action="append", help="key column(s): reject NULL and duplicate keys of the load")
+    c.add_argument("--check-existing", action="store_true", help="also reject keys that the table holds already")
+    c.add_argument("--on-error", choices=("quarantine", "keep"), default="quarantine",
+                   help="keep: store records that fail to decode, with default values")
+    c.add_argument("--load-id", help="name of this load; repeating it overwrites its rejects")
     c.add_argument("--user")
     c.add_argument("--password")
     c.add_argument("--driver")
@@ -91,6 +105,9 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--overlap", default="latest")
     m.add_argument("--order", default="acq,scene", help="comma-separated overlap order columns")
     m.add_argument("--overwrite", action="store_true")
+    m.add_argument("--dense", action="store_true", help="write every cell of every frame, NULL where nothing is")
+    m.add_argument("--lonlat", action="store_true", help="project lon/lat columns first")
+    m.add_argument("--central-meridian", type=float, default=None)
 
     s = sub.add_parser("list-scenes", help="list a directory's scene files")
     s.add_argument("dir")

@@ -36,9 +36,9 @@ def vegetation_mask(b3: ColumnOrName = "b3", b2: ColumnOrName = "b2",
 
 
 def binary_threshold(v: ColumnOrName, threshold: float = DEFAULT_THRESHOLD) -> Column:
-    """1 where ``v >= threshold``, 0 below, NULL for no-data."""
+    """1 where ``v >= threshold``, 0 below, NULL for no-data (NULL or NaN)."""
     v = _col(v)
-    return (F.when(v.isNull(), F.lit(None))
+    return (F.when(v.isNull() | F.isnan(v.cast("double")), F.lit(None))
             .when(v >= F.lit(float(threshold)), F.lit(1))
             .otherwise(F.lit(0))).cast("int")
 
@@ -76,7 +76,7 @@ class TransverseMercator:
         self.m4 = 35 * e2 ** 3 / 3072
 
     def constants(self) -> dict[str, float]:
-        """The double constants, in the form an equivalent SQL text needs."""
+        """The double constants by name."""
         return {"a": self.a, "e2": self.e2, "ep": self.ep, "deg": self.deg, "lon0": self.lon0,
                 "k0": self.k0, "fe": self.fe, "fn": self.fn,
                 "m1": self.m1, "m2": self.m2, "m3": self.m3, "m4": self.m4}

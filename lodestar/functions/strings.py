@@ -16,16 +16,16 @@ ColumnOrName = Column | str
 QUOTE_AWARE_LOOKAHEAD = '(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 # Fixed value: Java's String.trim() strips every char <= U+0020 at both ends.
-_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# A char that marks the separators to split on; lines that already contain it
-# take the (slower, same-result) regex path.
-_MARK = "\x00"
+# Marks the separators to split on. A NUL of the line itself is escaped first,
+# so a mark can only come from a separator.
+_NUL, _MARK, _ESCAPED = "\x00", "\x00\x01", "\x00\x02"
 _REGEX_META = set(".$|()[]{}^?*+\\")
 
 
@@ -46,17 +46,16 @@ def quoted_split(c: ColumnOrName, separator: str = ",") -> Column:
     long quoted polygon.
     """
     c = _col(c)
-    by_regex = F.split(c, separator + QUOTE_AWARE_LOOKAHEAD, -1)
-    if len(separator) != 1 or separator in _REGEX_META or separator == '"':
-        return by_regex
+    if len(separator) != 1 or separator in _REGEX_META or separator in '"\x00\x01\x02':
+        return F.split(c, separator + QUOTE_AWARE_LOOKAHEAD, -1)
     # counted from the end, the index of a segment is the number of quotes
     # after it, so the lambda needs only its own index (nothing per element
     # that would re-split the line)
-    from_end = F.reverse(F.split(c, '"', -1))
+    from_end = F.reverse(F.split(F.replace(c, F.lit(_NUL), F.lit(_ESCAPED)), '"', -1))
     marked = F.transform(from_end, lambda seg, j: F.when(
         (j % 2) == 0, F.replace(seg, F.lit(separator), F.lit(_MARK))).otherwise(seg))
-    linear = F.split(F.array_join(F.reverse(marked), '"'), _MARK, -1)
-    return F.when(F.instr(c, _MARK) > 0, by_regex).otherwise(linear)
+    parts = F.split(F.array_join(F.reverse(marked), '"'), _MARK, -1)
+    return F.transform(parts, lambda p: F.replace(p, F.lit(_ESCAPED), F.lit(_NUL)))
 
 
 def java_trim(c: ColumnOrName) -> Column:

@@ -45,23 +45,32 @@ def export_swir(pixels: DataFrame, keys: Sequence[str] = ("scene", "x", "y")) ->
 
 def coregister(vnir: DataFrame, swir: DataFrame, factor: int = 2,
                scene: str = "scene", x: str = "x", y: str = "y",
-               px: str = "px", py: str = "py") -> DataFrame:
+               px: str = "px", py: str = "py", acq: str = "acq",
+               res: float | None = None) -> DataFrame:
     """Bring VNIR onto the coarser SWIR grid and pair the two per scene and cell.
 
     VNIR pixels are averaged into ``factor x factor`` blocks (15 m -> 30 m
     for ASTER), then inner-joined to SWIR on ``(scene, px, py)``. The
     aggregate is already hash-partitioned on the join keys, so only the SWIR
-    side is shuffled for the join.
+    side is shuffled for the join. The latest acquisition time of a block
+    is carried if VNIR has one; with ``res`` (map units of a fine cell) the
+    block's centre is added as ``x, y``, so the result can be mapped.
     """
+    times = [F.max(acq).alias(acq)] if acq in vnir.columns else []
     vbands = _present(vnir, VNIR_BANDS)
     f = F.lit(float(factor))
     blocks = (vnir.select(scene,
                           F.floor(F.col(x) / f).cast("bigint").alias(px),
-                          F.floor(F.col(y) / f).cast("bigint").alias(py), *vbands)
+                          F.floor(F.col(y) / f).cast("bigint").alias(py), *vbands,
+                          *([acq] if times else []))
               .groupBy(scene, px, py)
-              .agg(*[F.avg(b).alias(b) for b in vbands], F.count(F.lit(1)).alias("n")))
+              .agg(*[F.avg(b).alias(b) for b in vbands], F.count(F.lit(1)).alias("n"), *times))
     sbands = [c for c in swir.columns if c not in (scene, px, py)]
-    return blocks.join(swir.select(scene, px, py, *sbands), [scene, px, py], "inner")
+    both = blocks.join(swir.select(scene, px, py, *sbands), [scene, px, py], "inner")
+    if res is None:
+        return both
+    side = F.lit(float(res) * factor)
+    return both.withColumns({x: (F.col(px) + F.lit(0.5)) * side, y: (F.col(py) + F.lit(0.5)) * side})
 
 
 IndexFn = Callable[[], Column]
@@ -73,9 +82,10 @@ def apply_index(pixels: DataFrame, index: Column | None = None, mask: Column | N
 
     Defaults: the argillic normalized difference of b4/b6 and the vegetation
     mask ``b3 / b2 <= 1.35``. Pixels failing the mask are dropped (no-data);
-    a NULL index (zero denominator) stays as NULL no-data.
+    a NULL (zero denominator) or NaN index is NULL, i.e. no-data.
     """
     index = argillic_index() if index is None else index
     mask = vegetation_mask() if mask is None else mask
     cols = list(keep) if keep is not None else [c for c in pixels.columns]
-    return pixels.filter(mask).select(*cols, index.alias(name))
+    index = index.cast("double")
+    return pixels.filter(mask).select(*cols, F.when(~F.isnan(index), index).alias(name))

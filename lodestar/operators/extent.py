@@ -50,14 +50,27 @@ def parse_extent(text: ColumnOrName, order: str = "plain", prefix: str = "") ->
     """Four extent columns from ``"a b c d"`` text in ``order`` (``plain`` or ``shell``).
 
     Whatever the order claims, the result is normalised so that
-    ``minx <= maxx`` and ``miny <= maxy``.
+    ``minx <= maxx`` and ``miny <= maxy``. A text that is not four numbers
+    gives four NULLs (:func:`extent_error` says why).
     """
     names = ORDERS[order]
-    parts = F.split(_col(text), EXTENT_SEPARATOR)
+    parts = F.split(_col(text), EXTENT_SEPARATOR, -1)
+    good = extent_error(text).isNull()
     raw = {name: parse_double(F.try_element_at(parts, F.lit(i + 1))) for i, name in enumerate(names)}
     x1, x2, y1, y2 = raw["minx"], raw["maxx"], raw["miny"], raw["maxy"]
-    return [F.least(x1, x2).alias(prefix + "minx"), F.greatest(x1, x2).alias(prefix + "maxx"),
-            F.least(y1, y2).alias(prefix + "miny"), F.greatest(y1, y2).alias(prefix + "maxy")]
+    return [F.when(good, F.least(x1, x2)).alias(prefix + "minx"),
+            F.when(good, F.greatest(x1, x2)).alias(prefix + "maxx"),
+            F.when(good, F.least(y1, y2)).alias(prefix + "miny"),
+            F.when(good, F.greatest(y1, y2)).alias(prefix + "maxy")]
+
+
+def extent_error(text: ColumnOrName) -> Column:
+    """Why a text is no extent: ``missing``, ``arity`` (not four parts) or ``number``; NULL if it is one."""
+    t = _col(text)
+    parts = F.split(t, EXTENT_SEPARATOR, -1)
+    return (F.when(t.isNull(), F.lit("missing"))
+            .when(F.size(parts) != 4, F.lit("arity"))
+            .when(F.exists(parts, lambda p: parse_double(p).isNull()), F.lit("number")))
 
 
 def extent_union(extents: DataFrame) -> DataFrame:
@@ -77,14 +90,18 @@ def extent_union(extents: DataFrame) -> DataFrame:
 def extent_format(order: str = "plain", integral: bool = False, prefix: str = "") -> Column:
     """Extent columns as space-separated text in ``order``.
 
-    ``integral`` prints the coordinates as whole numbers (BIGINT text);
-    otherwise Spark's double text (``1.0E7`` style) is used.
+    ``integral`` prints the coordinates as whole numbers (BIGINT text) and
+    fails on a fraction; otherwise Spark's double text (``1.0E7`` style) is
+    used. An extent with a NULL has no text.
     """
     cols = []
     for name in ORDERS[order]:
         c = F.col(prefix + name)
-        cols.append((c.cast("bigint") if integral else c).cast("string"))
-    return F.concat_ws(EXTENT_SEPARATOR, *cols)
+        if integral:
+            c = F.when(c == F.floor(c), c.cast("bigint")).when(c.isNotNull(), F.raise_error(F.concat(
+                F.lit("extent coordinate is not a whole number: "), c.cast("string"))).cast("bigint"))
+        cols.append(c.cast("string"))
+    return F.when(~F.exists(F.array(*cols), lambda c: c.isNull()), F.concat_ws(EXTENT_SEPARATOR, *cols))
 
 
 def require_extent(extent: DataFrame, what: str = "pixels") -> DataFrame:

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.session import shuffle_width
+
 FRAME_KEYS = ("frame_row", "frame_col")
 
 
@@ -113,8 +115,7 @@ def empty_frames(frames: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
     res = F.lit(float(spec.res))
     # frames come out of one task (they are exploded from the one-row
     # extent); spread them so the cells are generated on every core
-    n = frames.sparkSession.sparkContext.defaultParallelism
-    cells = frames.repartition(n, *FRAME_KEYS).select(
+    cells = frames.repartition(shuffle_width(frames.sparkSession), *FRAME_KEYS).select(
         "frame_row", "frame_col", "minx", "maxy",
         F.explode(F.sequence(F.lit(0), F.lit(spec.height - 1))).alias("cell_row"))
     cells = cells.select(
@@ -166,20 +167,42 @@ def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFr
     return cand.join(f, list(FRAME_KEYS), "inner").filter(hit).select(scene, "frame_row", "frame_col", "name")
 
 
+def _inside(g: Column, px: Column, py: Column) -> Column:
+    """The pixel has coordinates and they lie in the extent (never NULL)."""
+    has = px.isNotNull() & py.isNotNull() & ~F.isnan(px.cast("double")) & ~F.isnan(py.cast("double"))
+    return F.coalesce(has & (px >= g.getField("minx")) & (px <= g.getField("maxx"))
+                      & (py >= g.getField("miny")) & (py <= g.getField("maxy")), F.lit(False))
+
+
+def unplaced_pixels(pixels: DataFrame, extent: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """The pixels that no cell of the extent takes, with ``reason``: ``no coordinates`` or ``outside``."""
+    g = grid_scalar(extent)
+    px, py = F.col(x), F.col(y)
+    none = px.isNull() | py.isNull() | F.isnan(px.cast("double")) | F.isnan(py.cast("double"))
+    return (pixels.filter(~_inside(g, px, py))
+            .withColumn("reason", F.when(none, F.lit("no coordinates")).otherwise(F.lit("outside"))))
+
+
 def pixel_to_frame(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridSpec(),
-                   x: str = "x", y: str = "y") -> DataFrame:
+                   x: str = "x", y: str = "y", outside: str = "fail") -> DataFrame:
     """Place each pixel in the grid: ``gx, gy`` (global cell), frame and cell in frame.
 
     Pure arithmetic against the extent, read once as a scalar subquery --
-    no join with the extent or with the frame table. Pixels outside the
-    extent are dropped; a pixel exactly on the max-x or min-y edge goes to
-    the last cell.
+    no join with the extent or with the frame table. A pixel exactly on the
+    max-x or min-y edge goes to the last cell. ``outside`` says what happens
+    to pixels outside the extent or without coordinates: ``fail`` the query,
+    or ``clip`` them (:func:`unplaced_pixels` returns those).
     """
     res = F.lit(float(spec.res))
     g = grid_scalar(extent, spec)
     px, py = F.col(x), F.col(y)
-    inside = ((px >= g.getField("minx")) & (px <= g.getField("maxx"))
-              & (py >= g.getField("miny")) & (py <= g.getField("maxy")))
+    if outside not in ("fail", "clip"):
+        raise ValueError(f"unknown handling of outside pixels {outside!r}; use fail or clip")
+    inside = _inside(g, px, py)
+    if outside == "fail":
+        inside = F.when(inside, F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit("pixel outside the extent: "), F.coalesce(px.cast("string"), F.lit("NULL")), F.lit(" "),
+            F.coalesce(py.cast("string"), F.lit("NULL")))).cast("boolean"))
     gx = F.least(F.floor((px - g.getField("minx")) / res).cast("int"), g.getField("n_cells_x") - 1)
     gy = F.least(F.floor((g.getField("maxy") - py) / res).cast("int"), g.getField("n_cells_y") - 1)
     return pixels.filter(inside).withColumns({"gx": gx, "gy": gy}).withColumns(cell_of(spec))

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +53,14 @@ def mosaic_fill(placed: DataFrame, spec: GridSpec = GridSpec(), policy: str = "l
     """One row per covered cell: ``gx, gy, frame_row, frame_col, cell_row, cell_col, v, n``.
 
     ``placed`` is the output of :func:`~lodestar.operators.grid.pixel_to_frame`
-    (at least ``gx``, ``gy``, the value and the ordering columns). NULL
-    values are no-data and never overwrite a valid pixel.
+    (at least ``gx``, ``gy``, the value and the ordering columns). NULL and
+    NaN values are no-data and never overwrite a valid pixel.
     """
     # one BIGINT key per cell instead of the (gx, gy) pair: the sort before the
     # partial aggregate then runs on a single prefix (radix sort), about a
     # third faster than comparing two keys
     cell = (F.col("gx").cast("bigint") * F.lit(_CELL_SHIFT) + F.col("gy")).alias("_cell")
-    cells = (placed.filter(F.col(value).isNotNull())
+    cells = (placed.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
              .groupBy(cell)
              .agg(overlap_value(policy, value, order).alias("v"), F.count(F.lit(1)).alias("n")))
     cells = cells.select(F.shiftright("_cell", 32).cast("int").alias("gx"),
@@ -76,6 +78,36 @@ def threshold_cells(mosaic: DataFrame, threshold: float = DEFAULT_THRESHOLD) ->
 def frame_summary(binary: DataFrame) -> DataFrame:
     """Per frame: covered cells, hot cells and the highest value."""
     return (binary.groupBy(*FRAME_KEYS)
-            .agg(F.count(F.lit(1)).alias("n_cells"),
+            .agg(F.count("v").alias("n_cells"),
                  F.sum("bit").cast("bigint").alias("hot_cells"),
                  F.max("v").alias("max_v")))
+
+
+def dense_cells(binary: DataFrame, frames: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
+    """Every cell of every frame: ``frame_row, frame_col, cell_row, cell_col, v, bit``, NULL where nothing is.
+
+    The blank cells are made frame by frame in the task that holds the frame's
+    cells (at most ``width * height``), so only covered cells are shuffled.
+    """
+    width, height = spec.width, spec.height
+
+    def fill(frame: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        at = np.arange(width * height)
+        where = cells["cell_row"].to_numpy(np.int64) * width + cells["cell_col"].to_numpy(np.int64)
+        v = pd.Series(None, index=at, dtype="Float64")
+        bit = pd.Series(None, index=at, dtype="Int32")
+        v.iloc[where] = cells["v"].to_numpy()
+        bit.iloc[where] = cells["bit"].to_numpy()
+        return pd.DataFrame({"frame_row": frame["frame_row"].iloc[0], "frame_col": frame["frame_col"].iloc[0],
+                             "cell_row": at // width, "cell_col": at % width, "v": v, "bit": bit})
+
+    covered = binary.select(*FRAME_KEYS, "cell_row", "cell_col", "v", "bit")
+    return (frames.select(*FRAME_KEYS).groupBy(*FRAME_KEYS).cogroup(covered.groupBy(*FRAME_KEYS))
+            .applyInPandas(fill, "frame_row int, frame_col int, cell_row int, cell_col int, v double, bit int"))
+
+
+def dense_summary(summary: DataFrame, frames: DataFrame) -> DataFrame:
+    """:func:`frame_summary` with a row for every frame: 0 cells and 0 hot cells where nothing is."""
+    return (frames.select(*FRAME_KEYS).join(summary, list(FRAME_KEYS), "left")
+            .select(*FRAME_KEYS, F.coalesce("n_cells", F.lit(0)).alias("n_cells"),
+                    F.coalesce("hot_cells", F.lit(0)).cast("bigint").alias("hot_cells"), "max_v"))

@@ -12,31 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.session import spread
-
 Reader = Callable[[str], DataFrame]
 
 
-# Natural key of each driver table, used to spread an under-partitioned scan.
-TABLE_KEYS = {
-    "orders": ("o_orderkey",), "lineitem": ("l_orderkey",), "events": ("event_id",),
-    "pages": ("page_id",), "documents": ("doc_id",), "labels": ("doc_id",),
-    "conversations": ("conv_id",), "customer": ("c_custkey",), "part": ("p_partkey",),
-    "supplier": ("s_suppkey",), "embeddings": ("vec_id",), "benchmark": ("item_id",),
-}
-
-
 def reader(spark: SparkSession, sf_dir: str) -> Reader:
     """``name -> DataFrame`` over ``<sf_dir>/<name>.parquet``."""
     return lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_table(table: Reader, name: str) -> DataFrame:
-    """A table spread over the cores when it arrives as fewer splits than
-    cores -- for inputs whose per-row work (regex decode) outweighs a shuffle."""
-    return spread(table(name), TABLE_KEYS.get(name, ()))
-
-
 def _s(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -56,12 +39,33 @@ def catalog_lines(table: Reader) -> DataFrame:
         F.lit(",img"), _s("o_custkey"), F.lit(",p,name,"), bands, F.lit(',VNIR,"'),
         _s("o_custkey"), F.lit(" "), _s(k), F.lit(","), _s(F.col("o_custkey") + 1), F.lit(" "), _s(k),
         F.lit('"'), cloud)
-    return spread_table(table, "orders").select(k.alias("line_id"), line.alias("line"))
+    return table("orders").select(k.alias("line_id"), line.alias("line"))
+
+
+def keyed_lines(table: Reader) -> DataFrame:
+    """``catalog_lines`` plus second copies of some lines: identical ones (every 7th order) and
+    ones with another level but the same image (every 11th). ``image_id`` is the image of the
+    customer, shared by the customer's orders; a tenth of the customers share one image."""
+    base = catalog_lines(table).join(
+        table("orders").select(F.col("o_orderkey").alias("line_id"), F.col("o_custkey").alias("_cust")), "line_id")
+    hot = F.regexp_replace("line", r",img[0-9]+,", ",imgHOT,")
+    line = F.when(F.col("_cust") % 10 == 0, hot).otherwise(F.col("line"))
+    base = base.select("line_id", line.alias("line"))
+    same = base.filter(F.col("line_id") % 7 == 0)
+    other = base.filter(F.col("line_id") % 11 == 0).select(
+        "line_id", F.replace(F.col("line"), F.lit(",L1,"), F.lit(",L2,")).alias("line"))
+    return base.unionByName(same).unionByName(other)
+
+
+def stored_image_ids(table: Reader) -> DataFrame:
+    """Images that the target table is said to hold already."""
+    return table("customer").filter(F.col("c_custkey") % 17 == 0).select(
+        F.concat(F.lit("img"), _s("c_custkey")).alias("image_id"))
 
 
 def short_lines(table: Reader) -> DataFrame:
     """``event_id, l``: short lines with one quoted comma-bearing field."""
-    return spread_table(table, "events").select(
+    return table("events").select(
         "event_id",
         F.concat(_s("event_id"), F.lit(',"'), _s("event_type"), F.lit(","), _s("user_id"),
                  F.lit('",'), _s("props"), F.lit(","), _s("value")).alias("l"))
@@ -85,6 +89,27 @@ def observations(table: Reader) -> DataFrame:
     )
 
 
+def observations_nodata(table: Reader) -> DataFrame:
+    """``observations`` with no-data: NULL, NaN and zero-denominator (b6 = -b4) pixels."""
+    k = F.col("l_orderkey")
+    return observations(table).withColumn(
+        "b6", F.when(k % 97 == 0, F.lit(None)).when(k % 101 == 0, F.lit(float("nan")))
+        .when(k % 103 == 0, -F.col("b4")).otherwise(F.col("b6")))
+
+
+def strips(table: Reader) -> DataFrame:
+    """``observations`` with narrow scenes (50 km strips), none of which touches every frame."""
+    return observations(table).withColumn("scene", F.floor(F.col("x") / F.lit(50000.0)).cast("int"))
+
+
+def lonlat_pixels(table: Reader) -> DataFrame:
+    """``observations_nodata`` placed by longitude and latitude around the central meridian."""
+    return observations_nodata(table).select(
+        "scene", (F.lit(42) + (F.col("x") % 60000) / F.lit(10000.0)).alias("lon"),
+        (F.col("y") % 85000 / F.lit(1000.0) - F.lit(20.0)).alias("lat"),
+        "acq", "l_orderkey", "b2", "b3", "b4", "b6")
+
+
 def geo_points(table: Reader) -> DataFrame:
     """Longitude/latitude points around the zone's central meridian."""
     return table("lineitem").select(
@@ -98,7 +123,7 @@ def vnir_pixels(table: Reader) -> DataFrame:
     return (table("lineitem")
             .groupBy(F.col("l_linenumber").alias("scene"), F.col("l_partkey").alias("x"),
                      F.col("l_suppkey").alias("y"))
-            .agg(F.sum("l_quantity").cast("bigint").alias("b2"),
+            .agg(F.max("l_shipdate").alias("acq"), F.sum("l_quantity").cast("bigint").alias("b2"),
                  F.sum(F.round(F.col("l_discount") * 100)).cast("bigint").alias("b3")))
 
 
@@ -113,11 +138,16 @@ def swir_pixels(table: Reader) -> DataFrame:
 
 
 def extent_texts(table: Reader) -> DataFrame:
-    """Per scene, its extent as text in plain and shell order."""
+    """Per scene, its extent as text in plain and shell order; some plain texts are malformed
+    (not a number, a doubled blank, too short) and some hold fractions."""
     lo_x, hi_x = _s(F.min("l_partkey")), _s(F.max("l_partkey"))
     lo_y, hi_y = _s(F.min("l_suppkey")), _s(F.max("l_suppkey"))
     return (table("lineitem").groupBy(F.col("l_linenumber").alias("scene"))
-            .agg(F.concat_ws(" ", lo_x, hi_x, lo_y, hi_y).alias("plain"),
+            .agg(F.when(F.col("scene") == 2, F.concat_ws(" ", lo_x, F.lit("bad"), lo_y, hi_y))
+                 .when(F.col("scene") == 4, F.concat_ws(" ", lo_x, F.lit(""), hi_x, lo_y, hi_y))
+                 .when(F.col("scene") == 5, F.concat_ws(" ", lo_x, hi_x, lo_y))
+                 .when(F.col("scene") == 6, F.concat_ws(" ", F.concat(lo_x, F.lit(".25")), hi_x, lo_y, hi_y))
+                 .otherwise(F.concat_ws(" ", lo_x, hi_x, lo_y, hi_y)).alias("plain"),
                  F.concat_ws(" ", lo_x, hi_x, hi_y, lo_y).alias("shell")))
 
 

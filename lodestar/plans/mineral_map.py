@@ -11,12 +11,13 @@ from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from lodestar.functions.raster import DEFAULT_THRESHOLD
+from lodestar.functions.raster import DEFAULT_THRESHOLD, TransverseMercator, project_utm
 from lodestar.operators.bands import apply_index
 from lodestar.operators.extent import extent_union, require_extent, scene_extent
-from lodestar.operators.grid import GridSpec, frame_grid, frame_index, pixel_to_frame
-from lodestar.operators.mosaic import frame_summary, mosaic_fill, threshold_cells
+from lodestar.operators.grid import GridSpec, frame_grid, frame_index, pixel_to_frame, unplaced_pixels
+from lodestar.operators.mosaic import dense_cells, dense_summary, frame_summary, mosaic_fill, threshold_cells
 
 
 class MineralMap:
@@ -25,12 +26,12 @@ class MineralMap:
 
     def __init__(self, pixels: DataFrame, spec: GridSpec, index: Column | None, mask: Column | None,
                  overlap: str, order: Sequence[str], threshold: float, scene: str,
-                 pixel_size: float, extent: DataFrame | None, keep: list[str], index_dir: str):
+                 pixel_size: float, extent: DataFrame | None, keep: list[str], index_dir: str, dense: bool = False):
         self.pixels, self.spec = pixels, spec
         self._index_expr, self._mask_expr = index, mask
         self.overlap, self.order, self.threshold = overlap, tuple(order), threshold
         self.scene, self.pixel_size, self._given_extent = scene, pixel_size, extent
-        self.keep, self.index_dir = keep, index_dir
+        self.keep, self.index_dir, self.dense = keep, index_dir, dense
 
     @cached_property
     def index(self) -> DataFrame:
@@ -60,7 +61,12 @@ class MineralMap:
 
     @cached_property
     def placed(self) -> DataFrame:
-        return pixel_to_frame(self.index, self.extent, self.spec)
+        return pixel_to_frame(self.index, self.extent, self.spec, outside="clip")
+
+    @cached_property
+    def unplaced(self) -> DataFrame:
+        """Index pixels outside the extent or without coordinates, with the reason."""
+        return unplaced_pixels(self.index, self.extent)
 
     @cached_property
     def mosaic(self) -> DataFrame:
@@ -72,7 +78,13 @@ class MineralMap:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return frame_summary(self.binary)
+        summary = frame_summary(self.binary)
+        return dense_summary(summary, self.frames) if self.dense else summary
+
+    @cached_property
+    def dense_cells(self) -> DataFrame:
+        """Every cell of every frame, NULL where no valid pixel is."""
+        return dense_cells(self.binary, self.frames, self.spec)
 
 
 def mineral_map(pixels: DataFrame, spec: GridSpec = GridSpec(), *,
@@ -80,7 +92,9 @@ def mineral_map(pixels: DataFrame, spec: GridSpec = GridSpec(), *,
                 overlap: str = "latest", order: Sequence[str] = ("acq",),
                 threshold: float = DEFAULT_THRESHOLD, scene: str = "scene",
                 pixel_size: float | None = None, extent: DataFrame | None = None,
-                keep: Sequence[str] | None = None, index_dir: str = "") -> MineralMap:
+                keep: Sequence[str] | None = None, index_dir: str = "", dense: bool = False,
+                projection: TransverseMercator | None = None,
+                lon: str = "lon", lat: str = "lat") -> MineralMap:
     """Build the whole mapping plan over a wide pixel table.
 
     ``index``/``mask`` are Column expressions over the band columns
@@ -89,10 +103,18 @@ def mineral_map(pixels: DataFrame, spec: GridSpec = GridSpec(), *,
     ``extent`` may pass a known one-row extent (``minx, maxx, miny, maxy``)
     to skip the extra pass over the pixels; by default it is the union of the
     scenes' pixel footprints, masked pixels included (a scene's raster covers
-    them as no-data).
+    them as no-data). Pixels outside a given extent, or without coordinates,
+    are in ``unplaced``. ``dense`` lists frames without pixels in the summary
+    too. With ``projection`` the pixels' ``lon``/``lat`` are projected to
+    ``x``/``y`` first, to the millimetre.
     """
+    if projection is not None:
+        x, y = project_utm(lon, lat, projection)
+        # pinned below a one-element explode: else every later use of x and y would repeat the series
+        at = F.explode(F.array(F.struct(F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))))
+        pixels = pixels.withColumn("_at", at).withColumns({"x": F.col("_at.x"), "y": F.col("_at.y")}).drop("_at")
     pixel_size = float(spec.res if pixel_size is None else pixel_size)
     keep = list(keep) if keep is not None else [scene, "x", "y", *[c for c in order if c != scene]]
     keep = list(dict.fromkeys(keep))
     return MineralMap(pixels, spec, index, mask, overlap, order, threshold, scene,
-                      pixel_size, extent, keep, index_dir)
+                      pixel_size, extent, keep, index_dir, dense)

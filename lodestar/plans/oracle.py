@@ -7,17 +7,18 @@ driver's tables. Doubles that feed comparisons are written as
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-from lodestar.functions.decode import FLOAT_PATTERN, FLOAT_SUFFIX, INTEGER_PATTERN
-from lodestar.functions.raster import TransverseMercator
-from lodestar.schema import CATALOG_SCHEMA
-
-_SQL_TYPES = {
-    T.StringType: "VARCHAR", T.LongType: "BIGINT", T.IntegerType: "INTEGER",
-    T.ShortType: "SMALLINT", T.ByteType: "TINYINT", T.DoubleType: "DOUBLE",
-    T.FloatType: "FLOAT", T.BooleanType: "BOOLEAN",
-}
+# Everything below is written out here, independently of the engine's modules.
+# Numeric text, the catalog record, and the map projection
+# (WGS 84: a = 6378137, f = 1/298.257223563; UTM zone 38N).
+INTEGER_TEXT = r"^[+-]?[0-9]+$"
+FLOAT_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
+FLOAT_TAIL = r"[fFdD]$"
+RECORD = (("satellite", "VARCHAR"), ("data_url", "VARCHAR"), ("level", "VARCHAR"), ("load_info", "VARCHAR"),
+          ("resolution", "VARCHAR"), ("image_url", "VARCHAR"), ("timestamp", "BIGINT"), ("image_id", "VARCHAR"),
+          ("provider", "VARCHAR"), ("name_en", "VARCHAR"), ("band_count", "INTEGER"), ("sensor", "VARCHAR"),
+          ("boundary", "VARCHAR"), ("cloud", "DOUBLE"))
+UTM = {"a": "6378137.0", "e2": "0.0066943799901413165", "deg": "(pi() / 180)", "lon0": "45.0", "k0": "0.9996",
+       "fe": "500000.0", "fn": "0.0"}
 
 
 def _d(x: float) -> str:
@@ -41,6 +42,15 @@ LINES = """lines as (
   ) as line
   from orders)"""
 
+# second copies: identical lines, and lines with another level; a tenth of the customers share an image
+KEYED = """keyed0 as (select l.line_id, case when o.o_custkey % 10 = 0 then
+    regexp_replace(l.line, ',img[0-9]+,', ',imgHOT,', 'g') else l.line end as line
+  from lines l join orders o on l.line_id = o.o_orderkey),
+keyed1 as (select line_id, line from keyed0
+  union all select line_id, line from keyed0 where line_id % 7 = 0
+  union all select line_id, replace(line, ',L1,', ',L2,') from keyed0 where line_id % 11 = 0),
+keyed as (select *, row_number() over () as rid from keyed1)"""
+
 LINES_L = """lines_l as (
   select event_id, concat(cast(event_id as varchar), ',"', event_type, ',', cast(user_id as varchar), '",',
                           props, ',', cast(value as varchar)) as l
@@ -52,13 +62,18 @@ OBS = """obs as (
          l_extendedprice / 1000 as b4, l_quantity as b6
   from lineitem)"""
 
+NODATA = OBS.replace("obs as", "obs0 as") + """,
+obs as (select * replace (case when l_orderkey % 97 = 0 then null when l_orderkey % 101 = 0 then 'NaN'::DOUBLE
+                               when l_orderkey % 103 = 0 then -b4 else b6 end as b6) from obs0)"""
+
 GEO = """geo as (
   select l_orderkey, l_linenumber, l_partkey, l_suppkey,
          42 + (l_partkey % 600) / 100.0::DOUBLE as lon, (l_suppkey % 85) - 20.0::DOUBLE as lat
   from lineitem)"""
 
 VNIR = """vnir as (
-  select l_linenumber as scene, l_partkey as x, l_suppkey as y, cast(sum(l_quantity) as bigint) as b2,
+  select l_linenumber as scene, l_partkey as x, l_suppkey as y, max(l_shipdate) as acq,
+         cast(sum(l_quantity) as bigint) as b2,
          cast(sum(round(l_discount * 100)) as bigint) as b3
   from lineitem group by 1, 2, 3)"""
 
@@ -68,9 +83,16 @@ SWIR = """swir as (
          cast(sum(l_quantity) as bigint) as b6
   from lineitem group by 1, 2, 3)"""
 
+BLOCKS = """blocks as (select scene, cast(floor(x / 2.0::DOUBLE) as bigint) as px, cast(floor(y / 2.0::DOUBLE) as bigint) as py,
+                  avg(b2) as b2, avg(b3) as b3, count(*) as n, max(acq) as acq from vnir group by 1, 2, 3)"""
+
 EXTENTS = """extents as (
   select l_linenumber as scene,
-         concat(min(l_partkey), ' ', max(l_partkey), ' ', min(l_suppkey), ' ', max(l_suppkey)) as plain,
+         case l_linenumber when 2 then concat(min(l_partkey), ' bad ', min(l_suppkey), ' ', max(l_suppkey))
+           when 4 then concat(min(l_partkey), '  ', max(l_partkey), ' ', min(l_suppkey), ' ', max(l_suppkey))
+           when 5 then concat(min(l_partkey), ' ', max(l_partkey), ' ', min(l_suppkey))
+           when 6 then concat(min(l_partkey), '.25 ', max(l_partkey), ' ', min(l_suppkey), ' ', max(l_suppkey))
+           else concat(min(l_partkey), ' ', max(l_partkey), ' ', min(l_suppkey), ' ', max(l_suppkey)) end as plain,
          concat(min(l_partkey), ' ', max(l_partkey), ' ', max(l_suppkey), ' ', min(l_suppkey)) as shell
   from lineitem group by 1)"""
 
@@ -110,45 +132,34 @@ def _jtrim(t: str) -> str:
     return f"regexp_replace({t}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
 
 
-def _parse(t: str, dtype: T.DataType) -> tuple[str, bool]:
+def _parse(t: str, kind: str) -> tuple[str, bool]:
     """(value SQL, is_numeric) of one field's raw text."""
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+    if kind in ("BIGINT", "INTEGER"):
         s = _nz(t)
-        return (f"(case when regexp_matches({s}, '{INTEGER_PATTERN}') "
-                f"then try_cast({s} as {_SQL_TYPES[type(dtype)]}) end)"), True
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"(case when regexp_matches({s}, '{INTEGER_TEXT}') then try_cast({s} as {kind}) end)", True
+    if kind == "DOUBLE":
         s = _jtrim(_nz(t))
-        return (f"(case when regexp_matches({s}, '{FLOAT_PATTERN}') "
-                f"then try_cast(regexp_replace({s}, '{FLOAT_SUFFIX}', '') as {_SQL_TYPES[type(dtype)]}) end)"), True
-    if isinstance(dtype, T.BooleanType):
-        return f"coalesce(lower({t}) = 'true', false)", False
+        return (f"(case when regexp_matches({s}, '{FLOAT_TEXT}') "
+                f"then try_cast(regexp_replace({s}, '{FLOAT_TAIL}', '') as double) end)"), True
     return t, False
 
 
-def _default(dtype: T.DataType) -> str:
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)):
-        return "0"
-    if isinstance(dtype, T.BooleanType):
-        return "false"
-    return "NULL"
-
-
-def decode_ctes(src: str, text: str, keep: str, schema: T.StructType = CATALOG_SCHEMA) -> str:
+def decode_ctes(src: str, text: str, keep: str) -> str:
     """CTEs ending in ``dec``: keep columns, typed fields, error, error_field, _text."""
-    n = len(schema.fields)
+    n = len(RECORD)
     vals, gates, bad = [], [], []
-    for i, f in enumerate(schema.fields, start=1):
-        v, numeric = _parse(f"p[{i}]", f.dataType)
+    for i, (name, kind) in enumerate(RECORD, start=1):
+        v, numeric = _parse(f"p[{i}]", kind)
         vals.append(f"{v} as _v{i}")
         if numeric:
             vals.append(f"(_v{i} is not null) as _ok{i}")
             gates.append(f"_ok{i}")
-            bad.append(f"case when not _ok{i} then '{f.name}' end")
+            bad.append(f"case when not _ok{i} then '{name}' end")
     outs = []
-    for i, f in enumerate(schema.fields, start=1):
+    for i, (name, kind) in enumerate(RECORD, start=1):
         upto = ["_arity"] + [g for g in gates if int(g[3:]) <= i]
-        outs.append(f"cast(case when {' and '.join(upto)} then _v{i} else {_default(f.dataType)} end "
-                    f"as {_SQL_TYPES[type(f.dataType)]}) as {f.name}")
+        outs.append(f"cast(case when {' and '.join(upto)} then _v{i} "
+                    f"else {'NULL' if kind == 'VARCHAR' else '0'} end as {kind}) as {name}")
     first_bad = f"coalesce({', '.join(bad)})" if bad else "NULL"
     dv_cols = ",\n         ".join(vals)
     return f"""{split_cte('dsp', src, text)},
@@ -160,7 +171,7 @@ dec as (select {keep}, _text, {', '.join(outs)},
   from dv)"""
 
 
-FIELDS = ", ".join(f.name for f in CATALOG_SCHEMA.fields)
+FIELDS = ", ".join(name for name, _ in RECORD)
 STORED = FIELDS + ", 'ADMIN' as owner, 'PUBLIC' as privilege, false as has_data"
 
 # ---- grid over the obs pixels ---------------------------------------------------
@@ -168,9 +179,9 @@ STORED = FIELDS + ", 'ADMIN' as owner, 'PUBLIC' as privilege, false as has_data"
 RES, W, H = 500.0, 250, 200
 
 
-def grid_ctes(index_sql: str, mask_sql: str) -> str:
+def grid_ctes(index_sql: str, mask_sql: str, obs: str = NODATA) -> str:
     """obs -> scene extents (se) -> union (ext) -> shape -> index pixels (ip) -> placed (pl)."""
-    return f"""{OBS},
+    return f"""{obs},
 se as (select scene, min(x) - {_d(RES / 2)} as minx, max(x) + {_d(RES / 2)} as maxx,
               min(y) - {_d(RES / 2)} as miny, max(y) + {_d(RES / 2)} as maxy
        from obs where x is not null and y is not null and not isnan(x) and not isnan(y) group by scene),
@@ -181,7 +192,7 @@ shape as (select *, greatest(1, cast(ceil((maxx - minx) / {_d(RES)}) as int)) as
                     greatest(1, cast(ceil((maxy - miny) / {_d(RES)}) as int)) as ncy,
                     greatest(1, cast(ceil((maxx - minx) / {_d(RES * W)}) as int)) as nfc,
                     greatest(1, cast(ceil((maxy - miny) / {_d(RES * H)}) as int)) as nfr from ext),
-ip as (select scene, x, y, acq, l_orderkey, {index_sql} as v from obs where {mask_sql}),
+ip as (select *, case when not isnan({index_sql}) then {index_sql} end as v from obs where {mask_sql}),
 pl as (select ip.*, least(cast(floor((x - s.minx) / {_d(RES)}) as int), s.ncx - 1) as gx,
               least(cast(floor((s.maxy - y) / {_d(RES)}) as int), s.ncy - 1) as gy
        from ip cross join shape s
@@ -203,8 +214,9 @@ def _bit(thr: float) -> str:
     return f"cast(case when v is null then null when v >= {_d(thr)} then 1 else 0 end as int)"
 
 
-def obs_map(agg: str = LATEST, index_sql: str = ARGILLIC, mask_sql: str = VEG_MASK, thr: float = 0.3) -> str:
-    return f"""with {grid_ctes(index_sql, mask_sql)},
+def obs_map(agg: str = LATEST, index_sql: str = ARGILLIC, mask_sql: str = VEG_MASK, thr: float = 0.3,
+            obs: str = NODATA) -> str:
+    return f"""with {grid_ctes(index_sql, mask_sql, obs)},
 {cells_sql(agg)},
 bin as (select *, {_bit(thr)} as bit from mosaic)"""
 
@@ -221,11 +233,22 @@ frames as (select cast(r as int) as frame_row, cast(c as int) as frame_col,
            from fr)"""
 
 
-def _utm_sql() -> str:
-    k = TransverseMercator().constants()
-    c = {name: _d(v) for name, v in k.items()}
-    return f"""with {GEO},
-g1 as (select *, lat * {c['deg']} as ph, (lon - {c['lon0']}) * {c['deg']} as dl from geo),
+def _utm_constants() -> dict[str, str]:
+    """The series' coefficients, from the eccentricity alone."""
+    c = {k: f"({v})::DOUBLE" for k, v in UTM.items()}
+    e = UTM["e2"] + "::DOUBLE"
+    c["ep"] = f"({e} / (1 - {e}))"
+    c["m1"] = f"(1 - {e} / 4 - 3 * pow({e}, 2) / 64 - 5 * pow({e}, 3) / 256)"
+    c["m2"] = f"(3 * {e} / 8 + 3 * pow({e}, 2) / 32 + 45 * pow({e}, 3) / 1024)"
+    c["m3"] = f"(15 * pow({e}, 2) / 256 + 45 * pow({e}, 3) / 1024)"
+    c["m4"] = f"(35 * pow({e}, 3) / 3072)"
+    return c
+
+
+def utm_ctes(src: str) -> str:
+    """``g8``: the rows of ``src`` (lon, lat) with easting and northing to the millimetre."""
+    c = _utm_constants()
+    return f"""g1 as (select *, lat * {c['deg']} as ph, (lon - {c['lon0']}) * {c['deg']} as dl from {src}),
 g2 as (select *, sin(ph) as sp, cos(ph) as cp, tan(ph) as tp from g1),
 g3 as (select *, {c['a']} / sqrt(1.0::DOUBLE - {c['e2']} * sp * sp) as n, tp * tp as t, {c['ep']} * cp * cp as c,
               dl * cp as aa,
@@ -235,28 +258,59 @@ g4 as (select *, aa * aa as a2 from g3),
 g5 as (select *, a2 * aa as a3 from g4),
 g6 as (select *, a3 * aa as a4 from g5),
 g7 as (select *, a4 * aa as a5 from g6),
-g8 as (select *, a5 * aa as a6 from g7)
-select l_orderkey, l_linenumber, lon, lat,
+g7a as (select *, a5 * aa as a6 from g7),
+g8 as (select *,
   round({c['fe']} + {c['k0']} * n * ((aa + (((1.0::DOUBLE - t) + c) * a3) / 6.0::DOUBLE)
         + ((((5.0::DOUBLE - 18.0::DOUBLE * t) + t * t) + 72.0::DOUBLE * c) - 58.0::DOUBLE * {c['ep']}) * a5 / 120.0::DOUBLE), 3) as easting,
   round({c['fn']} + {c['k0']} * (m + n * tp * ((a2 / 2.0::DOUBLE
         + (((5.0::DOUBLE - t) + 9.0::DOUBLE * c) + 4.0::DOUBLE * c * c) * a4 / 24.0::DOUBLE)
         + ((((61.0::DOUBLE - 58.0::DOUBLE * t) + t * t) + 600.0::DOUBLE * c) - 330.0::DOUBLE * {c['ep']}) * a6 / 720.0::DOUBLE)), 3) as northing
-from g8"""
+  from g7a)"""
+
+
+STRIPS = OBS.replace("obs as", "obs0 as") + """,
+obs as (select * replace (cast(floor(x / 50000.0::DOUBLE) as int) as scene) from obs0)"""
+
+GAP = NODATA.replace("obs as", "obs1 as") + """,
+obs as (select * from obs1 where x < 200000 or x > 800000)"""
+
+LONLAT = NODATA.replace("obs as", "obs1 as") + """,
+geo as (select * exclude (x, y), 42 + (x % 60000) / 10000.0::DOUBLE as lon,
+               (y % 85000) / 1000.0::DOUBLE - 20.0::DOUBLE as lat from obs1),
+""" + utm_ctes("geo") + """,
+obs as (select *, easting as x, northing as y from g8)"""
+
+FROM_BANDS = f"""{VNIR}, {SWIR}, {BLOCKS},
+obs as (select b.*, s.b4, s.b6, (b.px + 0.5::DOUBLE) * 500.0::DOUBLE as x, (b.py + 0.5::DOUBLE) * 500.0::DOUBLE as y
+        from blocks b join swir s using (scene, px, py))"""
+
+DENSE_SUMMARY = """, su as (select frame_row, frame_col, count(*) as n_cells, cast(sum(bit) as bigint) as hot_cells,
+       max(v) as max_v from bin group by frame_row, frame_col)
+select f.frame_row, f.frame_col, coalesce(n_cells, 0) as n_cells, coalesce(hot_cells, 0) as hot_cells, max_v
+from frames f left join su on f.frame_row = su.frame_row and f.frame_col = su.frame_col"""
+
+
+def _extent_number(t: str) -> str:
+    s = _jtrim(t)
+    return (f"(case when regexp_matches({s}, '{FLOAT_TEXT}') "
+            f"then try_cast(regexp_replace({s}, '{FLOAT_TAIL}', '') as double) end)")
+
+
+def _extent_bad(col: str) -> str:
+    parts = f"string_split({col}, ' ')"
+    return (f"(case when {col} is null then 'missing' when len({parts}) <> 4 then 'arity' "
+            f"when {' or '.join(_extent_number(f'{parts}[{i}]') + ' is null' for i in range(1, 5))} then 'number' end)")
 
 
 def _parse_extent_sql(col: str, order: str, prefix: str) -> str:
     names = ("minx", "maxx", "miny", "maxy") if order == "plain" else ("minx", "maxx", "maxy", "miny")
-    parts = {}
-    for i, nm in enumerate(names, start=1):
-        t = f"string_split({col}, ' ')[{i}]"
-        s = _jtrim(t)
-        parts[nm] = (f"(case when regexp_matches({s}, '{FLOAT_PATTERN}') "
-                     f"then try_cast(regexp_replace({s}, '{FLOAT_SUFFIX}', '') as double) end)")
-    return (f"least({parts['minx']}, {parts['maxx']}) as {prefix}minx, "
-            f"greatest({parts['minx']}, {parts['maxx']}) as {prefix}maxx, "
-            f"least({parts['miny']}, {parts['maxy']}) as {prefix}miny, "
-            f"greatest({parts['miny']}, {parts['maxy']}) as {prefix}maxy")
+    v = {nm: _extent_number(f"string_split({col}, ' ')[{i}]") for i, nm in enumerate(names, start=1)}
+    out = []
+    for lo, hi in (("minx", "maxx"), ("miny", "maxy")):
+        for nm, op in ((lo, "<="), (hi, ">")):
+            out.append(f"case when {_extent_bad(col)} is null then case when {v[lo]} {op} {v[hi]} "
+                       f"then {v[lo]} else {v[hi]} end end as {prefix}{nm}")
+    return ", ".join(out)
 
 
 def _lines_split(keep: str = "line_id") -> str:
@@ -301,7 +355,7 @@ select doc_id, flag_text, coalesce(lower(flag_text) = 'true', false) as flag fro
 select line_id, cast(len(p) as int) as n_parts, len(p) = 14 as arity_ok from lsp""",
     "decode_error_policy": f"{_dec()}\nselect line_id, error, error_field from dec",
     "record_encode": f"""{_dec()}
-select line_id, concat_ws(',', {', '.join(f"coalesce(cast({f.name} as varchar), 'null')" for f in CATALOG_SCHEMA.fields)}) as record from dec""",
+select line_id, concat_ws(',', {', '.join(f"coalesce(cast({name} as varchar), 'null')" for name, _ in RECORD)}) as record from dec""",
     "append_constants": f"{_dec()}\nselect line_id, {STORED} from dec",
     "has_length": f"""{_lines_split()}
 select line_id, cast(len(p) as int) as n_parts,
@@ -314,7 +368,7 @@ from pages""",
 select line_id, {_trimq('p[1]')} as satellite, {_trimq('p[13]')} as boundary from lsp""",
     "output_path": f"""with {PAGE_NAMES},
 sf as (select page_id, concat('AST_', cast(page_id as varchar), '_', name, '.hdf') as scene_file from page_names)
-select page_id, scene_file, concat('/data/temp/vnir/', replace(scene_file, '.hdf', '.tif')) as out_path from sf""",
+select page_id, scene_file, concat('/data/out/vnir/', replace(scene_file, '.hdf', '.tif')) as out_path from sf""",
     "token_list": f"""with {TOKENS},
 tl as (select event_id, list_filter(regexp_split_to_array(txt, '\\s+'), lambda t: ends_with(t, '.TIF')) as q from tokens)
 select event_id, cast(unnest(range(1, len(q) + 1)) as int) as pos, unnest(q) as token from tl""",
@@ -332,17 +386,17 @@ from embeddings""",
     "export_vnir": f"with {OBS}\nselect scene, x, y, acq, l_orderkey, b2, b3 from obs",
     "export_swir": f"with {OBS}\nselect scene, x, y, acq, l_orderkey, b4, b6 from obs",
     "coregister": f"""with {VNIR}, {SWIR},
-blocks as (select scene, cast(floor(x / 2.0::DOUBLE) as bigint) as px, cast(floor(y / 2.0::DOUBLE) as bigint) as py,
-                  avg(b2) as b2, avg(b3) as b3, count(*) as n from vnir group by 1, 2, 3)
-select b.scene, b.px, b.py, b.b2, b.b3, b.n, s.b4, s.b6 from blocks b join swir s using (scene, px, py)""",
-    "argillic_index": f"with {OBS}\nselect scene, x, y, acq, l_orderkey, {ARGILLIC} as v from obs where {VEG_MASK}",
-    "project_utm": _utm_sql(),
+{BLOCKS}
+select b.scene, b.px, b.py, b.acq, b.b2, b.b3, b.n, s.b4, s.b6 from blocks b join swir s using (scene, px, py)""",
+    "argillic_index": f"with {NODATA}\nselect scene, x, y, acq, l_orderkey, case when not isnan({ARGILLIC}) then {ARGILLIC} end as v from obs where {VEG_MASK}",
+    "project_utm": f"with {GEO}, {utm_ctes('geo')}\nselect l_orderkey, l_linenumber, lon, lat, easting, northing from g8",
     "scene_extent": f"{obs_map()}\nselect scene, minx, maxx, miny, maxy from se",
     "parse_extent": f"""with {EXTENTS}
-select scene, {_parse_extent_sql('plain', 'plain', '')}, {_parse_extent_sql('shell', 'shell', 's_')} from extents""",
+select scene, {_parse_extent_sql('plain', 'plain', '')}, {_extent_bad('plain')} as error,
+  {_parse_extent_sql('shell', 'shell', 's_')} from extents""",
     "extent_union": f"{obs_map()}\nselect minx, maxx, miny, maxy from ext",
     "extent_format": f"""with {EXTENTS},
-pe as (select scene, {_parse_extent_sql('plain', 'plain', '')} from extents)
+pe as (select scene, {_parse_extent_sql('shell', 'shell', '')} from extents)
 select scene,
   concat_ws(' ', cast(cast(minx as bigint) as varchar), cast(cast(maxx as bigint) as varchar),
                  cast(cast(miny as bigint) as varchar), cast(cast(maxy as bigint) as varchar)) as plain_text,
@@ -361,7 +415,7 @@ from cc""",
     "frame_index": f"""{obs_map()},
 {FRAMES}
 select name, concat('/data/frames/', name, '.TIF') as path, frame_row, frame_col, minx, maxx, miny, maxy from frames""",
-    "scene_frame_join": f"""{obs_map()},
+    "scene_frame_join": f"""{obs_map(obs=STRIPS)},
 {FRAMES}
 select s.scene, f.frame_row, f.frame_col, f.name from se s join frames f
   on s.minx < f.maxx and s.maxx > f.minx and s.miny < f.maxy and s.maxy > f.miny""",
@@ -375,17 +429,52 @@ pb as (select *, cast(floor(gy / {H}) as int) as frame_row, cast(floor(gx / {W})
 select *, gy - frame_row * {H} as cell_row, gx - frame_col * {W} as cell_col from pb""",
     "mosaic_fill": f"{obs_map()}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
     "mosaic_fill_first": f"{obs_map(agg='min_by(v, row(acq, l_orderkey, scene, v))')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
+    "mosaic_fill_max": f"{obs_map(agg='max(v)')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
+    "mosaic_fill_min": f"{obs_map(agg='min(v)')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
+    "mosaic_fill_count": f"{obs_map(agg='cast(count(v) as double)')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
+    "unplaced_pixels": f"""with {OBS},
+px as (select scene, x, case when l_orderkey % 53 = 0 then null else y end as y, acq, l_orderkey from obs),
+b as (select min(x) - 250 as minx, (max(x) + 250) / 2 as maxx, min(y) - 250 as miny, max(y) + 250 as maxy
+      from px where y is not null)
+select px.*, case when y is null then 'no coordinates' else 'outside' end as reason from px cross join b
+where y is null or not (x >= b.minx and x <= b.maxx and y >= b.miny and y <= b.maxy)""",
+    "extent_format_full": f"""with {EXTENTS},
+pe as (select scene, {_parse_extent_sql('plain', 'plain', '')} from extents)
+select scene, minx || ' ' || maxx || ' ' || miny || ' ' || maxy as plain_text,
+       minx || ' ' || maxx || ' ' || maxy || ' ' || miny as shell_text from pe""",
     "mosaic_fill_mean": f"{obs_map(agg='avg(v)')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, round(v, 9) as v, n from mosaic",
     "row_count": f"with {LINES} select count(*) as n from lines",
+    "partition_counts": f"with {LINES} select cast(count(*) as bigint) as n, true as once_each from lines",
+    "scene_listing": "select unnest([" + ", ".join(f"'{t}.parquet'" for t in (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+        "embeddings", "pages", "benchmark", "labels", "conversations")) + "]) as name",
     "sum_reduce": f"""{_dec()}
 select count(*) as attempted, count(error) as rejected, count(case when error is null then 1 end) as accepted from dec""",
     "jdbc_append": f"{_dec()}\nselect {STORED}, line_id from dec where error is null",
-    "tolerant_write": f"""{_dec()}
-select line_id, 'accepted' as status, cast(NULL as varchar) as reason from dec where error is null
-union all
-select line_id, 'rejected' as status, concat_ws(':', error, error_field) as reason from dec where error is not null""",
+    "tolerant_write": f"""with {LINES}, {KEYED},
+{decode_ctes('keyed', 'line', 'line_id, rid')},
+ranked as (select *, row_number() over (partition by image_id order by _text, line_id, rid) as k
+           from dec where error is null and image_id is not null),
+old as (select concat('img', cast(c_custkey as varchar)) as image_id from customer where c_custkey % 17 = 0),
+why as (select line_id, concat_ws(':', error, error_field) as reason from dec where error is not null
+  union all select line_id, 'null key' from dec where error is null and image_id is null
+  union all select line_id, case when k > 1 then 'duplicate key'
+                                 when image_id in (select image_id from old) then 'key exists' end from ranked)
+select line_id, case when reason is null then 'accepted' else 'rejected' end as status, reason from why""",
     "frame_sink": f"{obs_map()}\nselect gx, gy, frame_row, frame_col, v, bit from bin",
+    "frame_sink_dense": f"""{obs_map()},
+{FRAMES},
+cr as (select *, unnest(range(0, {H})) as cy from frames),
+cc as (select *, unnest(range(0, {W})) as cx from cr)
+select cc.frame_row, cc.frame_col, cast(cy as int) as cell_row, cast(cx as int) as cell_col, bin.v, bin.bit
+from cc left join bin on cc.frame_row = bin.frame_row and cc.frame_col = bin.frame_col
+  and cc.cy = bin.cell_row and cc.cx = bin.cell_col""",
     "user_index": f"{obs_map(agg='max(v)', index_sql='(b6 - b4) / nullif(b6 + b4, 0)', mask_sql=f'b2 <= {_d(1.05)}', thr=0.5)}\n{SUMMARY}",
     "load_catalog": f"{_dec()}\nselect {STORED} from dec where error is null",
+    "load_catalog_keep": f"{_dec()}\nselect line_id, {STORED} from dec",
+    "load_catalog_rejects": f"{_dec()}\nselect line_id, _text as line, error, error_field from dec where error is not null",
     "mineral_map": f"{obs_map()}\n{SUMMARY}",
+    "mineral_map_dense": f"{obs_map(obs=GAP)},\n{FRAMES}{DENSE_SUMMARY}",
+    "mineral_map_lonlat": f"{obs_map(obs=LONLAT)},\n{FRAMES}{DENSE_SUMMARY}",
+    "mineral_map_from_bands": f"{obs_map(agg='max_by(v, row(acq, scene, v))', mask_sql='b3 <= b2', obs=FROM_BANDS)}\n{SUMMARY}",
 }

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import decode as D
 from lodestar.functions import strings as S
-from lodestar.functions.raster import normalized_difference, project_utm
+from lodestar.functions.raster import TransverseMercator, normalized_difference, project_utm
 from lodestar.operators.bands import apply_index, coregister, export_swir, export_vnir
-from lodestar.operators.counts import load_report, partition_counts, row_count
-from lodestar.operators.extent import extent_format, extent_union, parse_extent, scene_extent
+from lodestar.operators.counts import partition_counts, row_count, sum_counts
+from lodestar.operators.extent import extent_error, extent_format, extent_union, parse_extent, scene_extent
 from lodestar.operators.grid import (GridSpec, empty_frames, frame_grid, frame_index,
-                                     pixel_to_frame, scene_frame_join)
+                                     pixel_to_frame, scene_frame_join, unplaced_pixels)
 from lodestar.plans import fixtures as X
 from lodestar.plans.catalog import load_catalog
 from lodestar.plans.mineral_map import mineral_map
@@ -56,7 +56,7 @@ def _write_lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _obs_map(spark: SparkSession, sf_dir: str, **kw):
-    return mineral_map(X.observations(_t(spark, sf_dir)), SPEC, order=OBS_ORDER,
+    return mineral_map(X.observations_nodata(_t(spark, sf_dir)), SPEC, order=OBS_ORDER,
                        keep=OBS_KEYS, **kw)
 
 
@@ -67,7 +67,8 @@ def catalog_scan_q(spark, sf_dir):
 
 
 def scene_listing_q(spark, sf_dir):
-    return scene_listing(spark, _write_lines(spark, sf_dir), suffix=".txt").select("name", "length")
+    """The tables of the data folder."""
+    return scene_listing(spark, sf_dir, suffix=".parquet").select("name")
 
 
 # ---- split and decode ----------------------------------------------------
@@ -164,7 +165,7 @@ def output_path_q(spark, sf_dir):
         "page_id", F.concat(F.lit("AST_"), F.col("page_id").cast("string"), F.lit("_"),
                             F.col("name"), F.lit(".hdf")).alias("scene_file"))
     return names.select("page_id", "scene_file",
-                        S.output_path("scene_file", "/data/temp/vnir/").alias("out_path"))
+                        S.output_path("scene_file", "/data/out/vnir/").alias("out_path"))
 
 
 def token_list_q(spark, sf_dir):
@@ -195,17 +196,18 @@ def _tile_stats(batch):
 
     values = batch.column("value")
     flat = values.flatten().to_numpy(zero_copy_only=False).astype("float64")
-    offsets = values.offsets.to_numpy()
-    lengths = np.diff(offsets)
+    lengths = np.diff(values.offsets.to_numpy())
     idx = np.repeat(np.arange(len(lengths)), lengths)
     sums = np.bincount(idx, weights=flat, minlength=len(lengths))
+    empty = lengths == 0
     means = sums / np.maximum(lengths, 1)
     lo = np.full(len(lengths), np.inf)
     hi = np.full(len(lengths), -np.inf)
     np.minimum.at(lo, idx, flat)
     np.maximum.at(hi, idx, flat)
-    return pa.RecordBatch.from_arrays(
-        [batch.column("vec_id"), pa.array(np.round(means, 6)), pa.array(hi - lo)],
+    spread = np.where(empty, 0.0, hi - lo)
+    return pa.RecordBatch.from_arrays(  # an empty tile has neither
+        [batch.column("vec_id"), pa.array(np.round(means, 6), mask=empty), pa.array(spread, mask=empty)],
         names=["vec_id", "mean_value", "value_range"])
 
 
@@ -228,16 +230,16 @@ def export_swir_q(spark, sf_dir):
 def coregister_q(spark, sf_dir):
     t = _t(spark, sf_dir)
     return coregister(X.vnir_pixels(t), X.swir_pixels(t)).select(
-        "scene", "px", "py", "b2", "b3", "n", "b4", "b6")
+        "scene", "px", "py", "acq", "b2", "b3", "n", "b4", "b6")
 
 
 def argillic_index_q(spark, sf_dir):
-    return apply_index(X.observations(_t(spark, sf_dir)), keep=OBS_KEYS)
+    return apply_index(X.observations_nodata(_t(spark, sf_dir)), keep=OBS_KEYS)
 
 
 def user_index_q(spark, sf_dir):
     """A caller's own index, mask and overlap policy through the same plan."""
-    m = mineral_map(X.observations(_t(spark, sf_dir)), SPEC,
+    m = mineral_map(X.observations_nodata(_t(spark, sf_dir)), SPEC,
                     index=normalized_difference("b6", "b4"), mask=F.col("b2") <= F.lit(1.05),
                     overlap="max", order=OBS_ORDER, keep=OBS_KEYS, threshold=0.5)
     return m.summary
@@ -258,7 +260,8 @@ def scene_extent_q(spark, sf_dir):
 
 def parse_extent_q(spark, sf_dir):
     ex = X.extent_texts(_t(spark, sf_dir))
-    return ex.select("scene", *parse_extent("plain", "plain"), *parse_extent("shell", "shell", prefix="s_"))
+    return ex.select("scene", *parse_extent("plain", "plain"), extent_error("plain").alias("error"),
+                     *parse_extent("shell", "shell", prefix="s_"))
 
 
 def extent_union_q(spark, sf_dir):
@@ -266,11 +269,17 @@ def extent_union_q(spark, sf_dir):
 
 
 def extent_format_q(spark, sf_dir):
-    ex = X.extent_texts(_t(spark, sf_dir)).select("scene", *parse_extent("plain", "plain"))
+    ex = X.extent_texts(_t(spark, sf_dir)).select("scene", *parse_extent("shell", "shell"))
     return ex.select("scene", extent_format("plain", integral=True).alias("plain_text"),
                      extent_format("shell", integral=True).alias("shell_text"))
 
 
+def extent_format_full_q(spark, sf_dir):
+    """Fractions are printed in full; an extent that did not parse has no text."""
+    ex = X.extent_texts(_t(spark, sf_dir)).select("scene", *parse_extent("plain", "plain"))
+    return ex.select("scene", extent_format("plain").alias("plain_text"), extent_format("shell").alias("shell_text"))
+
+
 def frame_grid_q(spark, sf_dir):
     return _obs_map(spark, sf_dir).frames
 
@@ -284,7 +293,7 @@ def frame_index_q(spark, sf_dir):
 
 
 def scene_frame_join_q(spark, sf_dir):
-    m = _obs_map(spark, sf_dir)
+    m = mineral_map(X.strips(_t(spark, sf_dir)), SPEC, order=OBS_ORDER, keep=OBS_KEYS)
     return scene_frame_join(m.scene_extents, m.extent, m.frames, SPEC)
 
 
@@ -294,6 +303,15 @@ def pixel_to_frame_q(spark, sf_dir):
     return pixel_to_frame(obs, m.extent, SPEC)
 
 
+def unplaced_pixels_q(spark, sf_dir):
+    """Pixels that a given, smaller extent does not take; some have no coordinates."""
+    obs = X.observations(_t(spark, sf_dir)).select(*OBS_KEYS)
+    obs = obs.withColumn("y", F.when(F.col("l_orderkey") % 53 == 0, F.lit(None)).otherwise(F.col("y")))
+    extent = extent_union(scene_extent(obs, pixel_size=SPEC.res)).select(
+        "minx", (F.col("maxx") / 2).alias("maxx"), "miny", "maxy")
+    return unplaced_pixels(obs, extent)
+
+
 def mosaic_fill_q(spark, sf_dir):
     return _obs_map(spark, sf_dir).mosaic
 
@@ -307,6 +325,18 @@ def mosaic_fill_mean_q(spark, sf_dir):
     return m.withColumn("v", F.round("v", 9))
 
 
+def mosaic_fill_max_q(spark, sf_dir):
+    return _obs_map(spark, sf_dir, overlap="max").mosaic
+
+
+def mosaic_fill_min_q(spark, sf_dir):
+    return _obs_map(spark, sf_dir, overlap="min").mosaic
+
+
+def mosaic_fill_count_q(spark, sf_dir):
+    return _obs_map(spark, sf_dir, overlap="count").mosaic
+
+
 # ---- counts --------------------------------------------------------------------
 
 def row_count_q(spark, sf_dir):
@@ -314,11 +344,16 @@ def row_count_q(spark, sf_dir):
 
 
 def partition_counts_q(spark, sf_dir):
-    return partition_counts(X.catalog_lines(_t(spark, sf_dir)))
+    """Counts of each partition of the scan, with how many partitions and rows they make up."""
+    counts = partition_counts(X.catalog_lines(_t(spark, sf_dir)))
+    return counts.agg(F.sum("n").alias("n"), (F.count_distinct("partition_id") == F.count("*")).alias("once_each"))
 
 
 def sum_reduce_q(spark, sf_dir):
-    return load_report(_decoded(spark, sf_dir))
+    """Attempts and failures of each partition, added up."""
+    total = sum_counts(partition_counts(_decoded(spark, sf_dir), error="error"))
+    return total.select(F.col("n").alias("attempted"), F.col("failed").alias("rejected"),
+                        (F.col("n") - F.col("failed")).alias("accepted"))
 
 
 # ---- sinks -----------------------------------------------------------------------
@@ -330,8 +365,10 @@ def jdbc_append_q(spark, sf_dir):
 
 
 def tolerant_write_q(spark, sf_dir):
-    lines = X.catalog_lines(_t(spark, sf_dir))
-    res = tolerant_write(lines, text_col="line", key=("data_url",), keep=("line_id",))
+    """Lines with failed ones, identical lines, lines that share a key, NULL keys and keys already stored."""
+    t = _t(spark, sf_dir)
+    res = tolerant_write(X.keyed_lines(t), text_col="line", key=("image_id",), keep=("line_id",),
+                         existing_keys=X.stored_image_ids(t))
     status = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
     return res.flagged.select("line_id", status.alias("status"), "reason")
 
@@ -343,6 +380,13 @@ def frame_sink_q(spark, sf_dir):
     return read_frames(spark, path).select("gx", "gy", "frame_row", "frame_col", "v", "bit")
 
 
+def frame_sink_dense_q(spark, sf_dir):
+    """Every cell of every frame, written and read back."""
+    path = unique_dir(spark, "frames-dense")
+    frame_sink(_obs_map(spark, sf_dir).dense_cells, path)
+    return read_frames(spark, path).select("frame_row", "frame_col", "cell_row", "cell_col", "v", "bit")
+
+
 # ---- composed ----------------------------------------------------------------------
 
 def load_catalog_q(spark, sf_dir):
@@ -350,10 +394,39 @@ def load_catalog_q(spark, sf_dir):
     return load_catalog(lines, text_col="value").stored
 
 
+def load_catalog_keep_q(spark, sf_dir):
+    """Every line is stored; failed records hold default values."""
+    return load_catalog(X.catalog_lines(_t(spark, sf_dir)), text_col="line", on_error="keep",
+                        keep=("line_id",)).stored
+
+
+def load_catalog_rejects_q(spark, sf_dir):
+    return load_catalog(X.catalog_lines(_t(spark, sf_dir)), text_col="line", keep=("line_id",)).rejected
+
+
 def mineral_map_q(spark, sf_dir):
     return _obs_map(spark, sf_dir).summary
 
 
+def mineral_map_dense_q(spark, sf_dir):
+    """The summary of all frames, over strips with a gap."""
+    pixels = X.observations_nodata(_t(spark, sf_dir)).filter((F.col("x") < 200000) | (F.col("x") > 800000))
+    return mineral_map(pixels, SPEC, order=OBS_ORDER, keep=OBS_KEYS, dense=True).summary
+
+
+def mineral_map_lonlat_q(spark, sf_dir):
+    return mineral_map(X.lonlat_pixels(_t(spark, sf_dir)), SPEC, order=OBS_ORDER, keep=OBS_KEYS,
+                       projection=TransverseMercator(), dense=True).summary
+
+
+def mineral_map_from_bands_q(spark, sf_dir):
+    """The two band groups, brought together and mapped."""
+    t = _t(spark, sf_dir)
+    both = coregister(X.vnir_pixels(t), X.swir_pixels(t), res=250.0)
+    return mineral_map(both, SPEC, mask=F.col("b3") <= F.col("b2"), order=("acq", "scene"),
+                       keep=("scene", "x", "y", "acq")).summary
+
+
 QUERIES = {
     # sources
     "catalog_scan": catalog_scan_q,
@@ -401,6 +474,11 @@ QUERIES = {
     "mosaic_fill": mosaic_fill_q,
     "mosaic_fill_first": mosaic_fill_first_q,
     "mosaic_fill_mean": mosaic_fill_mean_q,
+    "mosaic_fill_max": mosaic_fill_max_q,
+    "mosaic_fill_min": mosaic_fill_min_q,
+    "mosaic_fill_count": mosaic_fill_count_q,
+    "unplaced_pixels": unplaced_pixels_q,
+    "extent_format_full": extent_format_full_q,
     # aggregations
     "row_count": row_count_q,
     "partition_counts": partition_counts_q,
@@ -409,8 +487,14 @@ QUERIES = {
     "jdbc_append": jdbc_append_q,
     "tolerant_write": tolerant_write_q,
     "frame_sink": frame_sink_q,
+    "frame_sink_dense": frame_sink_dense_q,
     "user_index": user_index_q,
     # composed
     "load_catalog": load_catalog_q,
+    "load_catalog_keep": load_catalog_keep_q,
+    "load_catalog_rejects": load_catalog_rejects_q,
     "mineral_map": mineral_map_q,
+    "mineral_map_dense": mineral_map_dense_q,
+    "mineral_map_lonlat": mineral_map_lonlat_q,
+    "mineral_map_from_bands": mineral_map_from_bands_q,
 }

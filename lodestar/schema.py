@@ -1,7 +1,8 @@
 """Fixed schemas of the catalog record and the stored row.
 
 The field order is the contract: the text decoder assigns split parts to
-fields by position, and the JDBC sink writes them positionally.
+fields by position. The JDBC sink appends to an existing table by column
+name.
 """
 
 from __future__ import annotations

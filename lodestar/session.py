@@ -67,17 +67,6 @@ def unique_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{token}"
 
 
-def spread(df, keys: tuple[str, ...] = (), min_partitions: int | None = None):
-    """Hash-spread an input that arrives in fewer partitions than the cores.
-
-    A small Parquet file with a single row group is scanned by one task, so
-    every narrow step after it (regex decode, index maths) would run on one
-    core. Large inputs already come in many splits and are returned as is;
-    this never adds a shuffle at scale. Hash partitioning on ``keys`` keeps
-    retries deterministic without the sort a round-robin repartition needs.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:  # partition count from the plan; no RDD work runs
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
+def shuffle_width(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions (known while a plan is built, unlike the executors)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,14 +10,16 @@ with a capped number of connections.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.decode import append_constants, decode_lines
 from lodestar.schema import STORED_SCHEMA
+from lodestar.sinks.frames import materialise
 
 STORED_COLUMNS = tuple(f.name for f in STORED_SCHEMA.fields)
 
@@ -67,47 +69,63 @@ class TolerantResult:
 
 
 def tolerant_write(lines: DataFrame, text_col: str = "value", key: Sequence[str] = (),
-                   keep: Sequence[str] = (), existing_keys: DataFrame | None = None) -> TolerantResult:
+                   keep: Sequence[str] = (), existing_keys: DataFrame | None = None,
+                   on_error: str = "quarantine") -> TolerantResult:
     """Flag every catalog line as storable or rejected with a reason.
 
-    Reasons, first match wins: ``arity`` / ``type:<field>`` (decode),
-    ``null key``, ``duplicate key`` (all but one record per key; the kept
-    one has the least raw line, so the choice is deterministic), ``key
+    Reasons, first match wins: ``arity`` / ``type:<field>`` (decode; not with
+    ``on_error="keep"``, where failed records flow on with defaults),
+    ``null key``, ``duplicate key`` (all but one record per key; the kept one
+    has the least raw line, identical lines count as duplicates too), ``key
     exists`` (found in ``existing_keys``).
+
+    The lines are decoded once, into a staged table that numbers them.
     """
-    return flag_rows(decode_lines(lines, text_col=text_col, keep=keep), key, keep, existing_keys)
+    ann = decode_lines(lines, text_col=text_col, keep=keep)
+    return flag_rows(ann, key, keep, existing_keys, on_error)
 
 
 def flag_rows(ann: DataFrame, key: Sequence[str] = (), keep: Sequence[str] = (),
-              existing_keys: DataFrame | None = None) -> TolerantResult:
+              existing_keys: DataFrame | None = None, on_error: str = "quarantine") -> TolerantResult:
     """:func:`tolerant_write` over an annotated decode (``decode_lines`` output).
 
-    The duplicate check is an aggregate per key with a map-side partial
-    step, so a key shared by a third of all rows does not land in one task;
-    joining the winners back is an equi-join that AQE can split on skew.
-    Both sides read ``ann``: pass a staged table (see :func:`write_catalog`)
-    so the lines are decoded once.
+    Only records that can be stored take part in the key check; failed lines
+    and NULL keys, however many, never meet in one task. One survivor per key
+    is a partial aggregate; the survivors are staged with whether their key is
+    already stored, and joined back once. Both sides of that join are read
+    from staged tables, so a key that a third of the lines share is a skewed
+    equi-join that the adaptive planner splits.
     """
+    if on_error not in ("quarantine", "keep"):
+        raise ValueError(f"unknown error mode {on_error!r}; use quarantine or keep")
     keep, key = tuple(keep), tuple(key)
-    reason = F.when(F.col("error").isNotNull(), F.concat_ws(":", "error", "error_field"))
+    failed = F.col("error").isNotNull() if on_error == "quarantine" else F.lit(False)
+    reason = F.when(failed, F.concat_ws(":", "error", "error_field"))
     if key:
+        ann = materialise(ann.withColumn("_rid", F.monotonically_increasing_id()), how="parquet",
+                          name="catalog-numbered")
         null_key = F.lit(False)
         for k in key:
             null_key = null_key | F.col(k).isNull()
+        cand = ann.filter(~failed & ~null_key)
         # the decoded fields are a function of the raw line, so the line (then
-        # the keep columns) orders records fully -- a narrow aggregate buffer
-        rec = F.struct(F.col("_text"), *[F.col(c) for c in keep])
-        cand = ann.filter(F.col("error").isNull() & ~null_key)
-        winners = cand.groupBy(*key).agg(F.min(rec).alias("_win"))
-        ann = ann.join(winners, list(key), "left")
-        reason = (reason.when(null_key, F.lit("null key"))
-                  .when(rec != F.col("_win"), F.lit("duplicate key")))
+        # the keep columns, then the number) orders records fully
+        rec = F.struct(F.col("_text"), *[F.col(c) for c in keep], F.col("_rid"))
+        winners = cand.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).agg(F.min(rec)["_rid"].alias("_win"))
+        exists = F.lit(False)
         if existing_keys is not None:
-            ek = existing_keys.select(*key).distinct().withColumn("_exists", F.lit(True))
-            ann = ann.join(ek, list(key), "left")
-            reason = reason.when(F.col("_exists"), F.lit("key exists"))
-    flagged = append_constants(ann).select(
-        *keep, *STORED_COLUMNS, F.col("_text").alias("line"), reason.alias("reason"))
+            stored = existing_keys.select(*[F.col(k).alias(f"_old{i}") for i, k in enumerate(key)]).distinct()
+            winners = winners.join(stored, [F.col(f"_key{i}") == F.col(f"_old{i}") for i in range(len(key))], "left")
+            exists = F.col("_old0").isNotNull()
+        winners = materialise(winners.withColumn("_exists", exists), how="parquet", name="catalog-keys")
+        checked = cand.join(winners, [F.col(k) == F.col(f"_key{i}") for i, k in enumerate(key)])
+        checked = checked.withColumn("reason", F.when(F.col("_rid") != F.col("_win"), F.lit("duplicate key"))
+                                     .when(F.col("_exists"), F.lit("key exists")))
+        others = ann.filter(failed | null_key).withColumn("reason", reason.otherwise(F.lit("null key")))
+        ann = checked.select(*others.columns).unionByName(others)
+    else:
+        ann = ann.withColumn("reason", reason)
+    flagged = append_constants(ann).select(*keep, *STORED_COLUMNS, F.col("_text").alias("line"), "reason")
     accepted = flagged.filter(F.col("reason").isNull()).select(*keep, *STORED_COLUMNS)
     rejected = flagged.filter(F.col("reason").isNotNull()).select(*keep, "line", "reason")
     return TolerantResult(flagged=flagged, accepted=accepted, rejected=rejected)
@@ -115,21 +133,28 @@ def flag_rows(ann: DataFrame, key: Sequence[str] = (), keep: Sequence[str] = (),
 
 def write_catalog(lines: DataFrame, url: str, table: str, rejects_path: str, *,
                   text_col: str = "value", key: Sequence[str] = (),
-                  existing_keys: DataFrame | None = None, **jdbc_options) -> dict:
+                  existing_keys: DataFrame | None = None, on_error: str = "quarantine",
+                  load_id: str | None = None, **jdbc_options) -> dict:
     """Catalog load into a database.
 
-    Decode once into a staged table in the shared folder, flag duplicates
-    and existing keys from that table, stage the flagged rows, then append
-    the accepted rows over JDBC and keep the rejects as Parquet. Staging
-    makes each step restartable after a lost executor and keeps the regex
-    decode to one pass. Returns the counts."""
-    from lodestar.sinks.frames import materialise
-
-    ann = materialise(decode_lines(lines, text_col=text_col), how="parquet", name="catalog-decoded")
-    res = flag_rows(ann, key=key, existing_keys=existing_keys)
+    Decode and flag duplicates and existing keys, stage the flagged rows, keep
+    the rejects as Parquet, then append the accepted rows over JDBC. Staging
+    makes each step restartable after a lost executor. The rejects go to
+    ``<rejects_path>/load=<load_id>``, which a repeated load with the same id
+    overwrites. Returns the counts and the id."""
+    load_id = load_id or uuid.uuid4().hex
+    res = tolerant_write(lines, text_col=text_col, key=key, existing_keys=existing_keys, on_error=on_error)
     staged = materialise(res.flagged, how="parquet", name="catalog-staged")
-    staged.filter(F.col("reason").isNotNull()).select("line", "reason").write.mode("append").parquet(rejects_path)
+    (staged.filter(F.col("reason").isNotNull()).select("line", "reason")
+     .write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/load={load_id}"))
     written = jdbc_append(staged.filter(F.col("reason").isNull()), url, table, **jdbc_options)
     counts = staged.agg(F.count(F.lit(1)).alias("attempted"),
                         F.count("reason").alias("rejected")).first()
-    return {"attempted": counts["attempted"], "rejected": counts["rejected"], **written}
+    return {"load_id": load_id, "attempted": counts["attempted"], "rejected": counts["rejected"], **written}
+
+
+def stored_keys(spark: SparkSession, url: str, table: str, key: Sequence[str], *, user: str | None = None,
+                password: str | None = None, driver: str | None = None) -> DataFrame:
+    """The key columns already in ``table``, read over JDBC (for ``existing_keys``)."""
+    opts = {k: v for k, v in (("user", user), ("password", password), ("driver", driver)) if v is not None}
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **opts).load().select(*key)

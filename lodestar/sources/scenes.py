@@ -1,4 +1,4 @@
-"""Scene listing: the files of a directory whose names end with a suffix."""
+"""Scene listing: the entries of a directory whose names end with a suffix."""
 
 from __future__ import annotations
 
@@ -15,33 +15,24 @@ def base_name(path: Column | str) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
-def parent_dir(path: Column | str) -> Column:
-    path = F.col(path) if isinstance(path, str) else path
-    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
-
-
 def scene_listing(spark: SparkSession, directory: str, suffix: str = SCENE_SUFFIX) -> DataFrame:
-    """``name, path, length, modification_time`` of the directory's top-level
-    files whose name ends with ``suffix`` (case-sensitive).
-
-    Uses the ``binaryFile`` source but selects metadata only, so file
-    contents are never read. Listing runs in parallel on executors for large
-    directories (``spark.sql.sources.parallelPartitionDiscovery.threshold``).
-    Files in subdirectories are left out. A plain file as ``directory`` is
-    an error. Zero-byte files are not listed (Spark's file scan skips empty
-    files); a scene file is never empty.
+    """``name, path`` of the directory's entries whose name ends with ``suffix`` (case-sensitive).
+
+    One level is listed, by the store's own directory listing; nothing is
+    opened, so empty files are listed too. A plain file as ``directory`` is an
+    error. The store filters the names; like any listing of one directory,
+    theirs passes through the process that asks.
     """
-    root = _qualified_dir(spark, directory)
-    files = (spark.read.format("binaryFile")
-             .option("pathGlobFilter", "*" + _glob_escape(suffix))
-             .option("recursiveFileLookup", "true")
-             .load(directory)
-             .select("path", "length", "modificationTime"))
-    top = F.col("path").endswith(suffix)
-    depth_ok = parent_dir("path") == F.lit(root)
-    return files.filter(top & depth_ok).select(
-        base_name("path").alias("name"), "path", "length",
-        F.col("modificationTime").alias("modification_time"))
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.isFile(root):
+        raise ValueError(f"scene_listing needs a directory, got a file: {directory}")
+    if not fs.exists(root):
+        raise FileNotFoundError(directory)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(fs.makeQualified(root), "*" + _glob_escape(suffix)))
+    rows = [(status.getPath().toString(),) for status in found]
+    return spark.createDataFrame(rows, "path string").select(base_name("path").alias("name"), "path")
 
 
 def _glob_escape(s: str) -> str:
@@ -49,14 +40,3 @@ def _glob_escape(s: str) -> str:
     for ch in s:
         out.append("\\" + ch if ch in "*?[]{}\\" else ch)
     return "".join(out)
-
-
-def _qualified_dir(spark: SparkSession, directory: str) -> str:
-    """The directory as the file source reports it (scheme-qualified, no
-    trailing slash); raises ``ValueError`` for a plain file."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(directory)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.isFile(hpath):
-        raise ValueError(f"scene_listing needs a directory, got a file: {directory}")
-    return fs.makeQualified(hpath).toString().rstrip("/")

@@ -21,13 +21,21 @@ def tile_pixels(tiles: DataFrame, bands: Sequence[str], width: int, height: int,
     """One row per pixel: ``keys, x, y`` (cell centres) and one column per band.
 
     Pixel ``i`` of a tile sits at column ``i % width`` and row ``i // width``
-    from the tile's top-left corner (``origin_x``, ``origin_y``). Values
-    beyond ``width * height`` are ignored; a short array leaves the missing
-    pixels out (no-data). A narrow generator -- no shuffle.
+    from the tile's top-left corner (``origin_x``, ``origin_y``). A short
+    array leaves the missing pixels out (no-data); more values than
+    ``width * height``, or bands of different lengths, fail with the tile's
+    keys. A narrow generator -- no shuffle.
     """
+    sizes = [F.coalesce(F.array_size(b), F.lit(0)) for b in bands]
+    wrong = sizes[0] > width * height
+    for n in sizes[1:]:
+        wrong = wrong | (n != sizes[0])
+    where = F.concat_ws(" ", *[F.concat(F.lit(k + "="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in keys])
     zipped = F.arrays_zip(*[F.col(b).alias(b) for b in bands])
+    # the check is part of the generator's input, so column pruning keeps it
+    zipped = F.when(wrong, F.raise_error(F.concat(F.lit(
+        f"tile does not hold {width} x {height} values in each band: "), where))).otherwise(zipped)
     px = tiles.select(*keys, origin_x, origin_y, F.posexplode(zipped).alias("_pos", "_px"))
-    px = px.filter(F.col("_pos") < F.lit(width * height))
     col = F.col("_pos") % F.lit(width)
     row = F.floor(F.col("_pos") / F.lit(width))
     r = F.lit(float(res))

@@ -37,12 +37,12 @@ def _batch_writer(accepted_path: str, rejected_path: str,
             res = apply_error_policy(batch, "quarantine")
             assert isinstance(res, DecodeResult)
             stored = append_constants(res.accepted)
-            if accepted_sink is not None:
-                accepted_sink(stored, batch_id)
             for df, path in ((stored, accepted_path), (res.rejected, rejected_path)):
                 (df.withColumn("batch_id", F.lit(batch_id)).write
                  .mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(path))
+            if accepted_sink is not None:  # last: a batch that fails before is replayed without it
+                accepted_sink(stored, batch_id)
         finally:
             batch.unpersist()
     return write
@@ -57,7 +57,9 @@ def start_catalog_ingest(spark: SparkSession, source_dir: str, accepted_path: st
     """Start the ingest. ``available_now`` processes what is there and stops.
 
     ``accepted_sink(df, batch_id)`` can also push accepted rows elsewhere,
-    e.g. ``lambda df, _: jdbc_append(df, url, table)``.
+    e.g. ``lambda df, _: jdbc_append(df, url, table)``. It runs after the
+    files; a batch lost after it is replayed and calls it again, so it has to
+    refuse a ``batch_id`` or keys that it has already taken.
     """
     checkpoint = checkpoint or shared_dir(spark, "streams", name)
     writer = (catalog_stream(spark, source_dir, max_files_per_trigger).writeStream

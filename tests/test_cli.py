@@ -20,7 +20,8 @@ def test_cli_map_and_list(spark, capsys):
         with open(os.path.join(root, name), "w") as fh:
             fh.write("scene")
     assert main(["list-scenes", root]) == 0
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"scenes": ["x.hdf"]}
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert lines[-2] == "x.hdf" and json.loads(lines[-1]) == {"scenes": 1}
 
 
 def test_cli_load_catalog_reaches_jdbc(spark):

@@ -3,7 +3,7 @@ scans are pruned; the mosaic shuffles on cells."""
 
 import pytest
 
-import __spark_entry__ as E
+from lodestar.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 SKIP_BUILD = {"catalog_scan", "scene_listing", "frame_sink", "load_catalog"}  # write files when built
@@ -16,31 +16,31 @@ def _plan(df):
 PYTHON_ON_PURPOSE = {"tile_kernel"}  # the caller-kernel escape hatch (mapInArrow)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_BUILD - PYTHON_ON_PURPOSE))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP_BUILD - PYTHON_ON_PURPOSE))
 def test_no_python_udf(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan, f"{name}: {node}"
 
 
 def test_mosaic_reads_extent_as_subquery_without_joins(spark):
-    df = E.queries()["mosaic_fill"](spark, SF)
+    df = QUERIES["mosaic_fill"](spark, SF)
     plan = _plan(df)
     for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "BroadcastHashJoin", "SortMergeJoin"):
         assert node not in plan
     assert "Subquery" in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_BUILD))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP_BUILD))
 def test_no_cross_join(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
 
 
 def test_band_export_prunes_parquet_columns(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
-        plan = _plan(E.queries()["export_vnir"](spark, SF))
+        plan = _plan(QUERIES["export_vnir"](spark, SF))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     read_schema = plan.split("ReadSchema:")[1].split("\n")[0]
@@ -49,7 +49,7 @@ def test_band_export_prunes_parquet_columns(spark):
 
 
 def test_mosaic_groups_by_cell(spark):
-    plan = _plan(E.queries()["mosaic_fill"](spark, SF))
+    plan = _plan(QUERIES["mosaic_fill"](spark, SF))
     # one packed BIGINT cell key (Spark names a computed key _groupingexpression)
     import re
     assert re.search(r"hashpartitioning\(_groupingexpression#\d+L, \d+\)", plan)
@@ -63,17 +63,22 @@ def test_entry_smoke(spark):
 
 
 def test_tile_kernel_runs_on_arrow_batches(spark):
-    plan = _plan(E.queries()["tile_kernel"](spark, SF))
+    plan = _plan(QUERIES["tile_kernel"](spark, SF))
     assert "MapInArrow" in plan and "BatchEvalPython" not in plan
 
 
-def test_spread_adds_no_shuffle_to_large_inputs(spark):
-    from lodestar.session import spread
-    many = spark.range(10_000).repartition(64)
-    assert spread(many, ("id",)) is many            # already split: untouched
-    few = spark.range(10_000).coalesce(1)
-    spread_plan = _plan(spread(few, ("id",)))
-    assert "hashpartitioning(id" in spread_plan      # one split on 8 cores: spread
+def test_row_count_plans_without_a_hash_exchange(spark):
+    plan = _plan(QUERIES["row_count"](spark, SF))
+    assert "hashpartitioning" not in plan and "RoundRobin" not in plan
+
+
+def test_partition_counts_see_the_scan(spark):
+    from lodestar.operators.counts import partition_counts, sum_counts
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    counts = partition_counts(df)
+    assert counts.count() == df.rdd.getNumPartitions()
+    assert sum_counts(counts).first()["n"] == df.count()
+    assert sum_counts(partition_counts(df.filter("false"))).first()["n"] == 0
 
 
 def test_decode_splits_each_line_once(spark):
@@ -82,7 +87,7 @@ def test_decode_splits_each_line_once(spark):
     regex fallback); a pushed-down copy per field would multiply them."""
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     try:
-        plan = _plan(E.queries()["jdbc_append"](spark, SF))
+        plan = _plan(QUERIES["jdbc_append"](spark, SF))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert plan.count("split(") <= 3

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.raster import binary_threshold, project_utm, vegetation_mask
 from lodestar.operators.bands import apply_index, coregister, export_swir, export_vnir
-from lodestar.operators.extent import extent_format, extent_union, parse_extent, scene_extent
+from lodestar.operators.extent import extent_error, extent_format, extent_union, parse_extent, scene_extent
 from lodestar.operators.grid import (GridSpec, empty_frames, frame_grid, pixel_to_frame,
-                                     scene_frame_join)
+                                     scene_frame_join, unplaced_pixels)
+from lodestar.operators.mosaic import dense_cells, dense_summary, frame_summary, mosaic_fill
 from lodestar.plans.mineral_map import mineral_map
 
 SPEC = GridSpec()
@@ -34,12 +35,24 @@ def test_project_utm_check_values(spark, lon, lat, e, n):
 
 
 def test_parse_extent_orders_normalise(spark):
-    df = spark.createDataFrame([("0 10 5 20",), ("0 10 20 5",), ("1 x 2 3",)], "t string")
+    df = spark.createDataFrame([("0 10 5 20",), ("0 10 20 5",), ("1 x 2 3",), ("1  2 3 4",), ("1 2 3",),
+                                ("1 2 3 4 5",), ("",), (None,)], "t string")
     plain = df.select(*parse_extent("t", "plain")).collect()
     shell = df.select(*parse_extent("t", "shell")).collect()
     assert tuple(plain[0]) == (0.0, 10.0, 5.0, 20.0) == tuple(shell[1]) == tuple(plain[1])
     assert tuple(shell[0]) == (0.0, 10.0, 5.0, 20.0)
-    assert plain[2]["maxx"] == 1.0  # the unparseable value is NULL and least/greatest skip it
+    assert all(tuple(r) == (None,) * 4 for r in plain[2:] + shell[2:])
+    assert [r[0] for r in df.select(extent_error("t")).collect()] == [
+        None, None, "number", "arity", "arity", "arity", "arity", "missing"]
+
+
+def test_extent_format_refuses_fractions_when_integral(spark):
+    df = spark.createDataFrame([("1.75 2.5 4.9 3.0",)], "t string").select(*parse_extent("t", "shell"))
+    assert df.select(extent_format("plain")).first()[0] == "1.75 2.5 3.0 4.9"
+    with pytest.raises(Exception, match="not a whole number"):
+        df.select(extent_format("plain", integral=True)).collect()
+    none = spark.createDataFrame([("1 2",)], "t string").select(*parse_extent("t"))
+    assert none.select(extent_format("plain", integral=True)).first()[0] is None
 
 
 def test_extent_union_nan_one_none(spark):
@@ -85,12 +98,40 @@ def test_every_pixel_lands_in_exactly_one_cell_and_edges_clamp(spark):
     e = _extent(spark, 0, 1000, 0, 1000)
     pts = [(0.0, 1000.0), (1000.0, 0.0), (999.9, 0.1), (500.0, 500.0), (1000.1, 5.0)]
     df = spark.createDataFrame(pts, "x double, y double")
-    got = {(r["x"], r["y"]): (r["gx"], r["gy"]) for r in pixel_to_frame(df, e, SPEC).collect()}
+    got = {(r["x"], r["y"]): (r["gx"], r["gy"]) for r in pixel_to_frame(df, e, SPEC, outside="clip").collect()}
     assert got[(0.0, 1000.0)] == (0, 0)
     assert got[(1000.0, 0.0)] == (1, 1)   # max-x / min-y edge -> last cell
     assert got[(999.9, 0.1)] == (1, 1)
     assert got[(500.0, 500.0)] == (1, 1)
     assert (1000.1, 5.0) not in got       # outside the extent
+    with pytest.raises(Exception, match="pixel outside the extent"):
+        pixel_to_frame(df, e, SPEC).collect()
+    odd = spark.createDataFrame(pts + [(None, 1.0), (1.0, float("nan"))], "x double, y double")
+    assert sorted((str(r["x"]), r["reason"]) for r in unplaced_pixels(odd, e).collect()) == [
+        ("1.0", "no coordinates"), ("1000.1", "outside"), ("None", "no coordinates")]
+
+
+def test_no_data_never_beats_a_valid_pixel(spark):
+    rows = [(0, 0, 1, 0.33), (0, 0, 2, float("nan")), (0, 0, 3, None), (1, 0, 1, float("nan"))]
+    df = spark.createDataFrame(rows, "gx int, gy int, acq int, v double")
+    for policy in ("latest", "first", "max", "min", "mean"):
+        got = [(r["gx"], r["v"], r["n"]) for r in mosaic_fill(df, SPEC, policy=policy).collect()]
+        assert got == [(0, 0.33, 1)]
+    bits = df.select(binary_threshold("v")).collect()
+    assert [r[0] for r in bits] == [1, None, None, None]
+
+
+def test_dense_frames_cover_every_cell(spark):
+    spec = GridSpec(10.0, 3, 2)
+    frames = frame_grid(_extent(spark, 0, 60, 0, 20), spec)
+    cells = spark.createDataFrame([(0, 1, 1, 2, 0.5, 1)],
+                                  "frame_row int, frame_col int, cell_row int, cell_col int, v double, bit int")
+    rows = dense_cells(cells, frames, spec).collect()
+    assert len(rows) == 12 and {(r["frame_row"], r["frame_col"]) for r in rows} == {(0, 0), (0, 1)}
+    assert [tuple(r) for r in rows if r["v"] is not None] == [(0, 1, 1, 2, 0.5, 1)]
+    assert sum(r["bit"] is None for r in rows) == 11
+    got = dense_summary(frame_summary(cells), frames).orderBy("frame_col").collect()
+    assert [tuple(r) for r in got] == [(0, 0, 0, 0, None), (0, 1, 1, 1, 0.5)]
 
 
 def test_cells_and_frames_of_large_grid(spark):
@@ -195,15 +236,19 @@ def test_scene_extent_half_pixel(spark):
 def test_tile_pixels_layout(spark):
     from lodestar.sources.tiles import tile_pixels
     tiles = spark.createDataFrame(
-        [("s", 0.0, 20.0, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], [0.0] * 6)],
+        [("s", 0.0, 20.0, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0], [0.0] * 6)],
         "scene string, tile_minx double, tile_maxy double, a array<double>, b array<double>")
     got = sorted((r["x"], r["y"], r["a"], r["b"]) for r in
                  tile_pixels(tiles, ["a", "b"], width=3, height=2, res=10.0).collect())
-    # 3 x 2 tile: values 1..6 row-major from the top-left; the 7th is beyond the tile
+    # 3 x 2 tile: values 1..6 row-major from the top-left
     assert [(x, y, a) for x, y, a, _ in got] == [
         (5.0, 5.0, 4.0), (5.0, 15.0, 1.0), (15.0, 5.0, 5.0), (15.0, 15.0, 2.0),
         (25.0, 5.0, 6.0), (25.0, 15.0, 3.0)]
     assert all(b == 0.0 for *_, b in got)
+    long = tiles.withColumn("a", F.expr("concat(a, array(7.0D))")).withColumn("b", F.expr("concat(b, array(0.0D))"))
+    for wrong in (long, tiles.withColumn("b", F.expr("slice(b, 1, 5)"))):
+        with pytest.raises(Exception, match="tile does not hold 3 x 2"):
+            tile_pixels(wrong, ["a", "b"], width=3, height=2, res=10.0).collect()
 
 
 def test_empty_input_fails_the_map(spark):
