@@ -93,4 +93,39 @@ QUERIES = {
     "op10_minhash": op10_minhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_mix": r"""
+with d as (select doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) as key,
+                  cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+           from documents),
+s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
+n as (select *, row_number() over (order by source asc nulls last) - 1 as no from s),
+w as (select *, (case no % 3 when 0 then 5 when 1 then 2 else 1 end)::double as weight,
+             (case no % 3 when 0 then 0 when 1 then 0.5 else -0.5 end)::double as tilt,
+             3::double * source_size as most from n),
+f as (select *, (sum(source_size) over () - coalesce(sum(most) over (order by most / weight, no
+               rows between unbounded preceding and 1 preceding), 0))
+             / sum(weight) over (order by most / weight, no rows between current row and unbounded following) as level
+      from w),
+l as (select level from f where most / weight >= level order by most / weight, no limit 1),
+t as (select f.* exclude (level), least(most, l.level * weight) as target from f, l),
+x as (select d.*, source_size, target, tilt, d.size * 64 > source_size as large
+      from d join t on d.source is not distinct from t.source),
+c as (select *, coalesce(sum(size) over (partition by source, large order by key, doc_id, size
+                  rows between unbounded preceding and 1 preceding), 0) as before,
+             coalesce(sum(size) filter (large) over (partition by source), 0) as large_size from x),
+g as (select *, case when source_size > 0 then target * large_size / source_size else 0 end as large_target from c),
+h as (select *, (2 * before + size < 2 * large_target)::int + (2 * (large_size + before) + size < 2 * large_target)::int
+             + (2 * (2 * large_size + before) + size < 2 * large_target)::int as large_copies from g),
+k as (select *, greatest(0, least(target - coalesce(sum(size * large_copies) filter (large) over (partition by source), 0),
+                                  3 * (source_size - large_size)))::double as small_target,
+             source_size - large_size as small_size from h),
+m as (select *, case when large then large_copies else (2 * before + size < 2 * small_target)::int
+               + (2 * (small_size + before) + size < 2 * small_target)::int
+               + (2 * (2 * small_size + before) + size < 2 * small_target)::int end as copies,
+             before::double / case when large then large_target else small_target end as u from k)
+select doc_id, size, source_size, target, cast(size * copies as bigint) as taken,
+       case when copies > 0 then least(1, round(2 * u / ((1 - tilt) + sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * u)), 9)) end
+         as position
+from m""",
+}
