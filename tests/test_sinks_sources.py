@@ -115,3 +115,53 @@ def test_hot_duplicate_key_keeps_exactly_one(spark):
     assert sum(1 for r in hot if r["reason"] is None) == 1
     assert sum(1 for r in flagged if r["reason"] == "duplicate key") == n // 3 - 1
     assert res.accepted.count() == n - (n // 3 - 1)
+
+
+def _keyed_line(i, url):
+    return f"S,{url},L1,x,15m,u,{i},img,p,name,3,VNIR,b,1.5"
+
+
+def test_identical_lines_leave_one_survivor(spark):
+    from lodestar.sinks.jdbc import tolerant_write
+    lines = [_keyed_line(1, "a")] * 3 + [_keyed_line(2, "b"), _keyed_line(3, "b"), _keyed_line(4, "c"), "short,line"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    stored = spark.createDataFrame([("c",), ("zzz",)], "data_url string")
+    res = tolerant_write(df, key=("data_url",), existing_keys=stored)
+    assert sorted(r["data_url"] for r in res.accepted.collect()) == ["a", "b"]
+    assert sorted(r["reason"] for r in res.rejected.collect()) == ["arity", "duplicate key", "duplicate key",
+                                                                   "duplicate key", "key exists"]
+    kept = tolerant_write(df, key=("timestamp",), on_error="keep")
+    assert kept.accepted.count() == 5  # 1, 2, 3, 4 and the failed record's default
+
+
+def test_hot_key_and_failed_lines_are_split_over_tasks(spark):
+    from lodestar.sinks.jdbc import tolerant_write
+    old = {k: spark.conf.get(k) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+    try:
+        i = F.col("id")
+        df = spark.range(0, 60_000, 1, 16).select(F.when(i % 3 == 0, F.lit("bad line")).otherwise(F.format_string(
+            "S,%s,L1,x,15m,u,%d,img,p,name,3,VNIR,b,1.5",
+            F.when(i % 3 == 1, F.lit("hot")).otherwise(i.cast("string")), i)).alias("value"))
+        res = tolerant_write(df, key=("data_url",))
+        rows = res.flagged.groupBy("reason").count()
+        assert {r["reason"]: r["count"] for r in rows.collect()} == {
+            "arity": 20_000, "duplicate key": 19_999, None: 20_001}
+        flagged = res.flagged.select("reason", "line")
+        flagged.collect()
+        assert "skew=true" in flagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_empty_scene_files_are_listed(spark, tmp_path):
+    for name in ("b.hdf", "a.hdf", "c.HDF", "d.hdf.txt"):
+        (tmp_path / name).write_text("")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "e.hdf").write_text("x")
+    assert sorted(r["name"] for r in scene_listing(spark, str(tmp_path)).collect()) == ["a.hdf", "b.hdf"]
