@@ -26,6 +26,7 @@ from lodestar.llm.common import NOT_WORD, free_name, shuffle_width
 SHINGLE = 5
 BINS = 256
 DIGIT_BITS = 4
+TRIES = 8
 _SHIFT = 56  # 64 - log2(BINS): the bin is the signed upper byte
 
 
@@ -61,20 +62,28 @@ def bin_digits(hashes: Column, seed: int = 11) -> Column:
     value = F.transform(least, lambda x: F.when(x.bitwiseAND(F.lit(low_bits)) != low_bits,
                                                 x.bitwiseAND(F.lit(low_bits))))
 
-    def taken(v: Column, i: Column, begin: Column, stride: Column) -> Column:
-        """Value of the first bin tried that is not empty; later tries are not evaluated."""
-        return F.coalesce(*[F.get(v, (F.get(begin, i) + t * F.get(stride, i)).bitwiseAND(F.lit(BINS - 1)).cast("int"))
-                            for t in range(BINS)])
+    inverse = [pow(int(x), -1, BINS) for x in step]
 
-    def digit(o: Column, x: Column, i: Column) -> Column:
+    def taken(o: Column, filled_bins: Column, i: Column) -> Column:
+        """Value of the first bin in the order begin, begin + stride, ... that is not empty."""
+        begin, stride, back = (F.get(o[k], i) for k in "bsk")
+        # the first few tries directly; then the filled bin that comes first in that order
+        tries = [F.get(o["v"], (begin + t * stride).bitwiseAND(F.lit(BINS - 1)).cast("int")) for t in range(TRIES)]
+        first = F.array_min(F.transform(filled_bins, lambda j: ((j - begin) * back).bitwiseAND(F.lit(BINS - 1)) * BINS + j))
+        return F.coalesce(*tries, F.get(o["v"], (first % BINS).cast("int")))
+
+    def digit(o: Column, filled_bins: Column, x: Column, i: Column) -> Column:
         # a value that serves several bins gives each another of its digits
-        shared = F.call_function("shiftright", taken(o["v"], i, o["b"], o["s"]),
-                                 (i % (_SHIFT // DIGIT_BITS)) * DIGIT_BITS)
+        shared = F.call_function("shiftright", taken(o, filled_bins, i), (i % (_SHIFT // DIGIT_BITS)) * DIGIT_BITS)
         return F.coalesce(x, shared).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)).cast("int")
 
+    all_bins = F.sequence(F.lit(0), F.lit(BINS - 1))
+    orders = [_longs(values).alias(k) for k, values in (("b", start), ("s", step), ("k", inverse))]
     filled = F.transform(
-        F.array(F.struct(value.alias("v"), _longs(start).alias("b"), _longs(step).alias("s"))),
-        lambda o: F.transform(o["v"], lambda x, i: digit(o, x, i)))[0]
+        F.array(F.struct(value.alias("v"), *orders)),
+        lambda o: F.transform(
+            F.array(F.filter(all_bins, lambda j: F.get(o["v"], j).isNotNull())),
+            lambda bins: F.transform(o["v"], lambda x, i: digit(o, bins, x, i)))[0])[0]
     return F.when(F.size(hashes) == 0, F.array().cast("array<int>")).otherwise(filled)
 
 
@@ -86,19 +95,20 @@ def as_hex(digits: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Bias-corrected estimate (0 to 1) of the Jaccard likeness of two arrays of digits."""
-    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e)) / F.lit(float(BINS))
+    """Bias-corrected estimate (0 to 1) of the Jaccard likeness of two fingerprints (hexadecimal text)."""
+    none = "0" * BINS
+    same = F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x == y), lambda e: e))
     chance = 1.0 / (1 << DIGIT_BITS)
-    return (F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0))
-            .when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0))
-            .otherwise(F.greatest(F.lit(0.0), (same - chance) / (1 - chance))))
+    share = same / F.lit(float(BINS))
+    return (F.when(a == b, F.lit(1.0)).when((a == none) | (b == none), F.lit(0.0))
+            .otherwise(F.greatest(F.lit(0.0), (share - chance) / (1 - chance))))
 
 
-def fingerprints(docs: DataFrame, text: str = "text", digits: str = "digits") -> DataFrame:
-    """``docs`` with the bins' digits (array of 256 ints; empty for a text without words)."""
+def fingerprints(docs: DataFrame, text: str = "text", fingerprint: str = "fingerprint") -> DataFrame:
+    """``docs`` with the fingerprint of ``text`` (all zeros for a text without words)."""
     hashes = free_name(docs, "_hashes")
     return (docs.withColumn(hashes, shingle_hashes(F.col(text)))
-            .withColumn(digits, bin_digits(F.col(hashes))).drop(hashes))
+            .withColumn(fingerprint, as_hex(bin_digits(F.col(hashes)))).drop(hashes))
 
 
 def with_next(docs: DataFrame, doc_id: str, columns: list[str], prefix: str = "next_") -> DataFrame:
@@ -119,14 +129,12 @@ def with_next(docs: DataFrame, doc_id: str, columns: list[str], prefix: str = "n
     i = F.col(doc_id)
     first = i.isNull() if row["nulls"] or least is None else i == F.lit(least)
     if edges:
-        bounds = _longs(edges)
-        # number of edges at or below the id: binary search, unrolled
-        n, place = len(edges), F.lit(0)
-        for bit in reversed(range(n.bit_length())):
-            ahead = place + (1 << bit)
-            place = F.when((ahead <= n) & (F.get(F.col("_edges"), ahead - 1) <= i), ahead).otherwise(place)
-        place = F.coalesce(F.when(i.isNotNull(), place), F.lit(0))
-        docs = docs.withColumn("_edges", bounds).withColumn("_range", place).drop("_edges")
+        bounds, n = _longs(edges), len(edges)
+        steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(n.bit_length()))])
+        # number of edges at or below the id, by binary search (a null id is below all)
+        place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+            (at + step <= n) & (F.get(bounds, at + step - 1) <= i), at + step).otherwise(at))
+        docs = docs.withColumn("_range", place)
         starts = (F.col("_range") > 0) & F.array_contains(bounds, i)
     else:
         docs, starts = docs.withColumn("_range", F.lit(0)), F.lit(False)
@@ -136,11 +144,11 @@ def with_next(docs: DataFrame, doc_id: str, columns: list[str], prefix: str = "n
         F.struct(F.col("_range").alias("r"), F.lit(0).alias("wrap"), F.lit(False).alias("extra")),
         F.when(handed.isNotNull(), F.struct(handed.alias("r"), F.when(first, F.lit(1)).otherwise(F.lit(0)).alias("wrap"),
                                             F.lit(True).alias("extra")))))))
-    ordered = Window.partitionBy(F.col("_to.r")).orderBy(
-        F.col("_to.wrap"), F.col(doc_id).asc_nulls_first(), F.col("_to.extra"), *columns)
-    for c in columns:
-        both = both.withColumn(prefix + c, F.lead(c).over(ordered))
-    return both.where(~F.col("_to.extra")).drop("_to", "_range")
+    both = both.select("*", *[F.col(f"_to.{k}").alias(f"_{k}") for k in ("r", "wrap", "extra")]).drop("_to", "_range")
+    # all successors in one window over plain columns: one exchange carries the texts, once
+    ordered = Window.partitionBy("_r").orderBy("_wrap", F.col(doc_id).asc_nulls_first(), "_extra", *columns)
+    both = both.select("*", *[F.lead(c).over(ordered).alias(prefix + c) for c in columns])
+    return both.where(~F.col("_extra")).drop("_r", "_wrap", "_extra")
 
 
 def fingerprint_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -154,14 +162,13 @@ def fingerprint_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ignored.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_next(fingerprints(rows), "doc_id", ["text", "digits"])
+    rows = with_next(fingerprints(rows), "doc_id", ["text", "fingerprint"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", edited).drop("text", "next_text")
-    rows = fingerprints(rows, "edited", "edited_digits")
-    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                       as_hex(F.col("digits")).alias("fingerprint"),
-                       as_hex(F.col("edited_digits")).alias("edited_fingerprint"),
-                       likeness(F.col("digits"), F.col("edited_digits")).alias("near_edited"),
-                       likeness(F.col("digits"), F.col("next_digits")).alias("near_next"))
+    rows = fingerprints(rows, "edited", "edited_fingerprint")
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                       "edited_fingerprint",
+                       likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                       likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
