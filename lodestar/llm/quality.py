@@ -10,22 +10,21 @@ whole texts.
 
 Scoring runs over all documents in Arrow batches. As the output is linear in
 the average, each feature's contribution to the two classes' difference is
-worked out once (vectors times output layer), and each distinct word's sum is
-kept in a bounded table.
+worked out once (vectors times output layer); a block of texts is hashed and
+summed in numpy arrays.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from itertools import islice
-from operator import eq
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm.token_count import in_blocks
+
 SAMPLE = 6000       # labelled documents used for training, at most
 BUCKETS = 1 << 17
 WIDTH = 16
@@ -41,21 +40,57 @@ def fold(doc_id: Column, folds: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds).cast("int")
 
 
-def word_features(word: str) -> list[int]:
-    """Hashed features of a word: itself and its character n-grams (long words: over all of it)."""
-    marked = f"<{word}>"
-    grams = {marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-    return [zlib.crc32(b"w" + word.encode("utf-8")) % BUCKETS,
-            *(zlib.crc32(g.encode("utf-8")) % BUCKETS for g in sorted(grams))]
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Bits of 64-bit values spread over the whole value."""
+    x = (x ^ (x >> np.uint64(31))) * _MIX
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 #: the marker word, with as many features of its own as a word of middling length
-REPEAT = [zlib.crc32(b"repeat %d" % i) % BUCKETS for i in range(12)]
+REPEAT = (_mixed(np.arange(1, 13, dtype=np.uint64) << np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)
+
 
+def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashed feature, its text) of all texts, and each text's number of repeated words.
 
-def repeats(words: list[str]) -> int:
-    """How many words equal the word before them."""
-    return sum(map(eq, words, islice(words, 1, None)))
+    One entry per word and per character n-gram of a word between its marks;
+    words are separated by blanks. All texts are worked on together.
+    """
+    lined = [" ".join(t.split()) if isinstance(t, str) else "" for t in texts]
+    joined = " " + " ".join(lined) + "    "
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    mark = codes == 32
+    n = len(codes) - 4
+    ends = np.cumsum([len(t) + 1 for t in lined])
+    owner = np.searchsorted(ends, np.arange(len(codes)) - 1, side="right")
+    at = np.flatnonzero(mark[:n] & ~mark[1:n + 1]) + 1  # first characters of the words
+    repeated = np.zeros(len(texts), np.int64)
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), repeated
+    ids, owners = [], []
+    hashed = codes[:n]
+    for size in range(2, max(GRAMS) + 1):
+        hashed = hashed * np.uint64(0x100000001B3) + codes[size - 1:size - 1 + n]
+        if size in GRAMS:  # no mark inside; two marks side by side hold no word
+            good = ~mark[:n] | ~mark[1:n + 1] if size == 2 else ~mark[1:n + 1]
+            for k in range(2, size - 1):
+                good &= ~mark[k:k + n]
+            start = np.flatnonzero(good)
+            ids.append(_mixed(hashed[start] + np.uint64(size << 58)) % np.uint64(BUCKETS))
+            owners.append(owner[start + (mark[start] if size == 2 else 1)])
+    inside = np.flatnonzero(~mark)
+    first = np.searchsorted(inside, at)
+    place = (np.arange(len(inside)) - np.repeat(first, np.diff(np.append(first, len(inside))))).astype(np.uint64)
+    words = np.add.reduceat(_mixed(codes[inside] + (place << np.uint64(21))), first)
+    ids.append(_mixed(words) % np.uint64(BUCKETS))
+    owners.append(owner[at])
+    same = (words[1:] == words[:-1]) & (owner[at[1:]] == owner[at[:-1]])
+    repeated += np.bincount(owner[at[1:]][same], minlength=len(texts))[:len(texts)]
+    return np.concatenate(ids).astype(np.int64), np.concatenate(owners), repeated
 
 
 class SubwordModel:
@@ -66,20 +101,11 @@ class SubwordModel:
         self.vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
         self.output = np.zeros((2, WIDTH), np.float32)
         self.bias = np.zeros(2, np.float32)
-        known: dict[str, list[int]] = {}
         documents = []
         for text in texts:
-            feats: list[int] = []
-            words = (text or "").split()
-            for word in words:
-                found = known.get(word)
-                if found is None:
-                    found = word_features(word)
-                    if len(known) < 50_000:
-                        known[word] = found
-                feats += found
-            feats += REPEAT * repeats(words)
-            ids, counts = np.unique(np.asarray(feats, np.int32), return_counts=True)
+            ids, _, repeated = features([text])
+            ids, counts = np.unique(np.concatenate([ids, np.repeat(REPEAT, repeated[0])]).astype(np.int32),
+                                    return_counts=True)
             documents.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
         epochs = -(-steps // max(1, len(texts)))
         steps, done = max(1, epochs * len(texts)), 0
@@ -108,35 +134,23 @@ class SubwordModel:
         return (self.vectors @ (self.output[1] - self.output[0])).astype(np.float32), float(self.bias[1] - self.bias[0])
 
 
-class _WordSums(dict):
-    """word -> complex(sum of its features' weights, number of features); bounded."""
-
-    def __init__(self, weights: np.ndarray, limit: int = 200_000):
-        super().__init__()
-        self.weights, self.limit = weights, limit
-        self.repeat = complex(float(weights[REPEAT].sum(dtype=np.float64)), len(REPEAT))
-
-    def of(self, words: list[str]) -> complex:
-        return sum(map(self.__getitem__, words), 0j) + repeats(words) * self.repeat
-
-    def __missing__(self, word: str) -> complex:
-        ids = word_features(word)
-        value = complex(float(self.weights[ids].sum(dtype=np.float64)), len(ids))
-        if len(word) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = value
-        return value
+def logits(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndarray:
+    """Log-odds of label 1 for each text: the features' mean weight, and the bias."""
+    out = []
+    for block in in_blocks(texts):
+        ids, owner, repeated = features(block)
+        total = np.bincount(owner, weights[ids], minlength=len(block)) + repeated * weights[REPEAT].sum(dtype=np.float64)
+        count = np.bincount(owner, minlength=len(block)) + repeated * len(REPEAT)
+        out.append(total / np.maximum(count, 1) + bias)
+    return np.concatenate(out) if out else np.zeros(0)
 
 
 def quality_score(text: Column, weights: np.ndarray, bias: float) -> Column:
     """Probability of label 1 for each whole text (null and wordless texts: that of the bias)."""
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        sums = _WordSums(weights)
         for batch in batches:
-            totals = np.array([sums.of(t.split()) if isinstance(t, str) else 0j for t in batch], np.complex128)
-            z = totals.real / np.maximum(totals.imag, 1) + bias
+            z = logits([t if isinstance(t, str) else None for t in batch], weights, bias)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
     return score(text)

@@ -47,16 +47,27 @@ def test_score_is_the_softmax_of_the_average():
     texts, labels = ["good words here", "bad bad bad", "good good words", "bad here bad bad"], [1, 0, 1, 0]
     model = quality.SubwordModel(texts, labels, steps=200)
     weights, bias = model.weights()
-    sums = quality._WordSums(weights)
-    for text, label in zip(texts, labels):
-        words = text.split()
-        feats = [f for w in words for f in quality.word_features(w)] + quality.REPEAT * quality.repeats(words)
+    z = quality.logits(texts, weights, bias)
+    for i, (text, label) in enumerate(zip(texts, labels)):
+        ids, _, repeated = quality.features([text])
+        feats = np.concatenate([ids, np.repeat(quality.REPEAT, repeated[0])])
         p = model._softmax(model.vectors[feats].mean(axis=0))[1]
-        total = sums.of(words)
-        assert abs(1 / (1 + np.exp(-(total.real / total.imag + bias))) - p) < 1e-4
+        assert abs(1 / (1 + np.exp(-z[i])) - p) < 1e-4
         assert (p >= 0.5) == label
 
 
+def test_features_of_a_block_equal_single_texts():
+    texts = ["ab ab  c", "", None, " \n", "x", "Éa 日本語 日本語 日本語", "ab"]
+    ids, owner, repeated = quality.features(texts)
+    for i, t in enumerate(texts):
+        mine, _, again = quality.features([t])
+        assert sorted(ids[owner == i]) == sorted(mine) and repeated[i] == again[0]
+        words = (t or "").split()
+        # a word of n letters: itself, n + 1 pairs, n triples, n - 1 fours with its marks
+        assert len(mine) == sum(1 + len(w) + 1 + len(w) + max(0, len(w) - 1) for w in words)
+    assert repeated.tolist() == [1, 0, 0, 0, 0, 2, 0]
+
+
 def test_language_on_held_out_documents(learned):
     docs, _, model = learned
     rows = (docs.where(quality.fold(F.col("doc_id"), 4) == 2)
