@@ -44,7 +44,7 @@ class TokenIds:
     ids of its pieces, one after the other.
     """
 
-    def __init__(self, path: str, runs: tuple[np.ndarray, np.ndarray], max_pieces: int = 150_000):
+    def __init__(self, path: str, runs: tuple[np.ndarray, np.ndarray], max_pieces: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -58,23 +58,36 @@ class TokenIds:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
 
+    def _encode(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of each piece; a special string, which no piece holds, keeps them apart in one text."""
+        if not self.special:
+            encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+            return zip(pieces, [np.asarray(e.ids, "<u4").tobytes() for e in encoded])
+        between, mark = next(iter(self.special.items()))
+        ids = self.tokenizer.encode_batch_fast([between.join(pieces)], add_special_tokens=False)[0].ids
+        ids = np.asarray(ids, "<u4")
+        cuts = np.flatnonzero(ids == np.frombuffer(mark, "<u4")[0])
+        data = ids.tobytes()
+        starts, ends = (4 * np.append(0, cuts + 1)).tolist(), (4 * np.append(cuts, len(ids))).tolist()
+        return zip(pieces, [data[a:b] for a, b in zip(starts, ends)])
+
     def _look_up(self, pieces: list[str]) -> list[bytes]:
-        table = self.table
-        missing = []
-        for p in set(pieces):
-            if p not in table:
-                known = self.older.get(p)
-                if known is None:
-                    missing.append(p)
-                else:
-                    table[p] = known
-        if missing:
-            for p, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                table[p] = np.asarray(e.ids, "<u4").tobytes()
-        out = [table[p] for p in pieces]
-        if len(table) >= self.max_pieces:
+        found = list(map(self.table.get, pieces))
+        if None not in found:
+            return found
+        table, missing = self.table, []
+        for p in {p for p, ids in zip(pieces, found) if ids is None}:
+            known = self.older.get(p)
+            if known is None:
+                missing.append(p)
+            else:
+                table[p] = known
+        for lo in range(0, len(missing), 20_000):
+            table.update(self._encode(missing[lo:lo + 20_000]))
+        found = list(map(table.get, pieces))
+        if len(table) >= self.max_pieces:  # two generations: what is still in use moves on
             self.older, self.table = {p: v for p, v in table.items() if len(p) <= 64}, {}
-        return out
+        return found
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []

@@ -44,6 +44,7 @@ LETTERS = (LETTER, S, R, L, E)
 N_STATES = 11
 HERE, BACK = 1, 2  # a piece starts at this character / at the one before
 CHUNK = 64
+SETTLE = 8
 BLOCK = 1 << 20
 SEPARATOR = "\n"
 
@@ -119,8 +120,17 @@ def piece_starts(classes: np.ndarray) -> np.ndarray:
     padded[:n] = classes
     grid = np.ascontiguousarray(padded.reshape(rows, CHUNK).T)
     maps = np.repeat(np.arange(N_STATES, dtype=np.uint8)[:, None], rows, axis=1)
-    for column in grid:
+    for column in grid[:SETTLE]:
         maps = NEXT[maps * np.uint8(N_CLASSES) + column]
+    # by now nearly every chunk's map is constant: one state stands for all from here on
+    open_ = np.flatnonzero((maps != maps[0]).any(axis=0))
+    constant, varied = maps[0], maps[:, open_]
+    for column in grid[SETTLE:]:
+        constant = NEXT[constant * np.uint8(N_CLASSES) + column]
+        if len(open_):
+            varied = NEXT[varied * np.uint8(N_CLASSES) + column[open_]]
+    maps = np.repeat(constant[None, :], N_STATES, axis=0)
+    maps[:, open_] = varied
     state = _compose_scan(np.ascontiguousarray(maps.T))
     marks = np.empty((CHUNK, rows), np.uint8)
     for j, column in enumerate(grid):
