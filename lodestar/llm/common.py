@@ -55,7 +55,7 @@ def running_totals(df: DataFrame, group: Sequence[str], bucket: str, order: Sequ
     share of the rows: only one (group, bucket) is ever sorted in one task,
     and the buckets' sums are a table of groups x buckets, whose own running
     sums add up before a join puts them back. ``df`` should be cheap to read
-    twice (staged).
+    twice (staged). Group and bucket are never null.
     """
     keys = [*group, bucket]
     amount = F.col(amount) if isinstance(amount, str) else amount
@@ -64,7 +64,8 @@ def running_totals(df: DataFrame, group: Sequence[str], bucket: str, order: Sequ
     bases = sums.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                         F.coalesce(F.sum("_bucket_sum").over(before), F.lit(0)).alias("_base"))
     within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    match = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    # plain equality, so that the join uses the window's partitioning and moves the rows no second time
+    match = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     cond = match[0]
     for m in match[1:]:
         cond = cond & m

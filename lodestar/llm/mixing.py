@@ -83,7 +83,7 @@ def _copies(before: Column, size: Column, total: Column, target: Column, cap: in
 
 
 def _keyed(docs: DataFrame, size: Column, source: str, doc_id: str) -> list[Column]:
-    return [F.col(source).alias("source"), size.alias("size"), stream_key(F.col(doc_id)).alias("key"),
+    return [F.col(source).alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), stream_key(F.col(doc_id)).alias("key"),
             F.col(doc_id).alias("id")]
 
 
