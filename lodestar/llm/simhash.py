@@ -146,23 +146,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """
     rows = staged(docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text), shingle).alias("fp")),
                   "simhash-prints")
-    return rows.join(components(rows, max_bits), F.col("fp") == F.col("_fp")).drop("_fp")
+    return rows.join(components(rows, max_bits), F.col("fp") == F.col("_fp")).drop("_fp", "_root")
 
 
 def components(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(_fp, component_id) for each distinct fingerprint of staged rows (doc_id, fp)."""
+    """(_fp, _root, component_id) for each distinct fingerprint of staged rows (doc_id, fp).
+
+    ``_root`` is the smallest fingerprint of the component and names it; where
+    doc_ids repeat or lack, unlike components can share a component_id.
+    """
     prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = connected_components(links(prints, "fp", max_bits), "a", "b")
     named = prints.join(roots, F.col("fp") == F.col("id"), "left").select(
         F.col("fp").alias("_fp"), F.coalesce("component", "fp").alias("root"), "least")
     named = staged(named, "simhash-roots")
     ids = staged(named.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component_id")), "simhash-ids")
-    return staged(named.join(ids, F.col("root") == F.col("_root")).select("_fp", "component_id"), "simhash-named")
+    return staged(named.join(ids, F.col("root") == F.col("_root")).select("_fp", "_root", "component_id"), "simhash-named")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: the smallest doc_id's (of repeated rows the first read)."""
+    """One row of each component: the smallest doc_id's (of repeated rows the first read).
+
+    Components are told apart by their fingerprints: unlike rows that share a
+    doc_id stay, and of near rows that all lack one a single row stays.
+    """
     fp, rid = free_name(docs, "_fp_"), free_name(docs, "_rid_")
     # written with the row number, which is thereby fixed
     rows = staged(docs.withColumn(fp, simhash(F.col(text), shingle)).withColumn(rid, F.monotonically_increasing_id()),
@@ -172,7 +180,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     # the members of one fingerprint meet in a partial aggregate, the fingerprints of a component in another
     first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid"))
     best = thin.groupBy("fp").agg(first.alias("first")).join(named, F.col("fp") == F.col("_fp"))
-    root = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), F.col("fp").cast("string")))
-    keep = staged(best.groupBy(root.alias("root")).agg(F.min("first")["rid"].alias("_keep")).select("_keep"),
-                  "simhash-keep")
+    keep = staged(best.groupBy("_root").agg(F.min("first")["rid"].alias("_keep")).select("_keep"), "simhash-keep")
     return rows.join(keep, F.col(rid) == F.col("_keep")).select(*docs.columns)

@@ -57,6 +57,29 @@ def test_components_of_awkward_rows(awkward, nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
 
 
+def test_one_row_of_each_component_with_shared_or_no_ids(spark):
+    def near(n):  # texts with two different fingerprints at most two bits apart
+        base = [f"w{n}x{i}" for i in range(400)]
+        for i in range(400):
+            other = base[:i] + ["changed"] + base[i + 1:]
+            a, b = " ".join(base), " ".join(other)
+            if 1 <= bin(plain_fingerprint(a) ^ plain_fingerprint(b)).count("1") <= 2:
+                return [a, b]
+
+    pairs = [near(n) for n in range(4)]
+    # one doc_id on unlike texts; a component with and one without an id
+    rows = [(5, f"text {i} of its own, unlike number {i * i}") for i in range(20)]
+    rows += [(5, t) for t in pairs[0]] + [(5, t) for t in pairs[1]] + [(9, pairs[2][0]), (None, pairs[2][1])]
+    rows += [(None, t) for t in pairs[3]]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    label = brute_components(prints, close_matrix(prints))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(df).collect()]
+    of = dict(zip((t for _, t in rows), label))
+    assert sorted(of[t] for _, t in kept) == sorted(set(label))
+    assert sorted(i for i, _ in kept if i) == [5] * 22 + [9] and len(kept) == 24
+
+
 def test_words_within_two_bits_share_a_fuzzy_key():
     rng = random.Random(2)
     for bits in (21, 22, 23):
