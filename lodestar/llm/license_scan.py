@@ -12,8 +12,11 @@ occurrence a window of the template's length (and some slack) is aligned:
   matches its common beginning and end.
 
 The share of template words that are matched is the coverage. Of overlapping
-matches the one with the best coverage (then the longer template, then the
-earlier) stays.
+matches the one with the most matched words (then the best coverage, then the
+shorter, then the earlier) stays, so a notice is not lost to a short line that
+it begins with. The other one is aligned anew in the words left free; failing
+that, the first one gives up its words in the other's span if both then cover
+enough and match more words together than the first did alone.
 
 Spark's scan drops texts without any seed before Python sees them; the others
 come whole, in Arrow batches.
@@ -25,6 +28,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -137,10 +141,19 @@ class Scanner:
         """Regular expression (over lower-case text) that every matching text satisfies."""
         return "|".join(sorted(map(re.escape, self.seeds)))
 
+    def _within(self, name: str, words: list[str], lo: int, hi: int) -> tuple[int, int, str, float, int] | None:
+        """(first word, word after the last, template, coverage, matched words) in words[lo:hi], if covered enough."""
+        template = self.templates[name]
+        if (hi - lo) / len(template) < self.coverage:
+            return None
+        pairs = align(template, words[lo:hi])
+        share = len(pairs) / len(template)
+        return (lo + pairs[0][1], lo + pairs[-1][1] + 1, name, share, len(pairs)) if share >= self.coverage else None
+
     def matches(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, first word, word after the last), by place."""
         words = words_of(text)
-        found: dict[tuple[str, int, int], tuple[float, int]] = {}
+        found: set[tuple[int, int, str, float, int]] = set()
         tried: set[tuple[str, int]] = set()
         for at, word in enumerate(words):
             for name, i in self.seeds.get(word, ()):
@@ -150,22 +163,36 @@ class Scanner:
                     continue
                 tried.add((name, begin))
                 slack = len(template) // 4 + 1
-                lo, hi = max(0, begin - slack), begin + len(template) + slack
-                pairs = align(template, words[lo:hi])
-                share = len(pairs) / len(template)
-                if share >= self.coverage:
-                    span = (name, lo + pairs[0][1], lo + pairs[-1][1] + 1)
-                    found[span] = max(found.get(span, (0.0, 0)), (share, len(pairs)))
-        chosen: list[tuple[str, float, int, int, int]] = []
-        taken: list[tuple[int, int]] = []
-        best = sorted(found.items(), key=lambda f: (-f[1][0], -f[1][1], f[0][2] - f[0][1], f[0][1], f[0][0]))
-        for (name, lo, hi), (share, n) in best:
-            k = bisect_left(taken, (lo, hi))
-            if (k and taken[k - 1][1] > lo) or (k < len(taken) and taken[k][0] < hi):
-                continue
-            taken.insert(k, (lo, hi))
-            chosen.append((name, share, n, lo, hi))
-        return sorted(chosen, key=lambda m: m[3])
+                lo, hi = max(0, begin - slack), min(len(words), begin + len(template) + slack)
+                if m := self._within(name, words, lo, hi):
+                    found.add(m)
+
+        def ranked(m: tuple[int, int, str, float, int]) -> tuple:
+            lo, hi, name, share, n = m
+            return -n, -share, hi - lo, lo, name, m
+
+        todo = sorted(map(ranked, found))
+        chosen: list[tuple[int, int, str, float, int]] = []  # by place, no two overlap
+        while todo:
+            m = heappop(todo)[-1]
+            lo, hi, name, _, n = m
+            first, last = bisect_left(chosen, (lo,)), bisect_left(chosen, (hi,))
+            first -= first > 0 and chosen[first - 1][1] > lo
+            over, cut = chosen[first:last], []
+            if over:
+                free = zip([lo, *(c[1] for c in over)], [*(c[0] for c in over), hi])
+                again = [x for a, b in free if (x := self._within(name, words, a, b))]
+                for x in again:
+                    heappush(todo, ranked(x))
+                if again:
+                    continue
+                for c in over:
+                    sides = [x for a, b in ((c[0], lo), (hi, c[1])) if (x := self._within(c[2], words, a, b))]
+                    cut += sorted(sides, key=ranked)[:1]
+                if len(cut) < len(over) or sum(c[4] for c in cut) + n <= sum(c[4] for c in over):
+                    continue
+            chosen[first:last] = sorted([*cut, m])
+        return [(name, share, n, lo, hi) for lo, hi, name, share, n in chosen]
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE,

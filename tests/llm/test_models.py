@@ -157,6 +157,55 @@ def test_licenses_altered_repeated_and_absent(spark, awkward, nothing):
     assert scan_licenses(df, templates={}).count() == 0
 
 
+def plain_scan(text, coverage=0.8):
+    """Every template aligned at every place of the text; of overlapping matches the most words stay."""
+    words, found = words_of(text), set()
+    for name, notice in TEMPLATES.items():
+        template = words_of(notice)
+        slack = len(template) // 4 + 1
+        for begin in range(-len(template), len(words)):
+            lo = max(0, begin - slack)
+            pairs = align(template, words[lo:max(0, begin + len(template) + slack)])
+            if len(pairs) / len(template) >= coverage:
+                a, b = lo + pairs[0][1], lo + pairs[-1][1] + 1
+                found.add((-len(pairs), -len(pairs) / len(template), b - a, a, name, b))
+    chosen = []
+    for n, share, _, a, name, b in sorted(found):
+        if all(b <= c or d <= a for *_, c, d in chosen):
+            chosen.append((name, -share, -n, a, b))
+    return sorted(chosen, key=lambda m: m[3])
+
+
+def test_whole_scan_equals_all_places(spark):
+    apache, rng = TEMPLATES["Apache-2.0"], np.random.default_rng(8)
+    apart = " ".join(f"z{i}" for i in range(60))  # no window reaches the next notice
+    texts = [apache, apache.replace("http:", "https:").replace("this file", "this software"),
+             apache.replace("distributed under", "given under"), apache.replace("the specific language", "the text"),
+             f"{TEMPLATES['Apache-2.0 (short)']} some other words here {apache.replace('either', 'be it')} more words"]
+    for name, notice in TEMPLATES.items():
+        words = notice.split()
+        for _ in range(2):
+            kept = [w for w in words if rng.random() > 0.08]
+            kept.insert(len(kept) // 2, "another")
+            texts.append(f"before that {' '.join(kept)} {apart} {TEMPLATES['MIT (short)']}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = [(i, *m) for i, t in enumerate(texts) for m in plain_scan(t)]
+    got = [tuple(r) for r in scan_licenses(df).orderBy("doc_id", "first_word").collect()]
+    assert got == want
+    assert [(m[0], m[1]) for m in got if m[0] < 5] == [
+        (0, "Apache-2.0"), (1, "Apache-2.0"), (2, "Apache-2.0"), (3, "Apache-2.0"),
+        (4, "Apache-2.0 (short)"), (4, "Apache-2.0")]
+    assert all(0.9 < m[2] < 1 for m in got if m[0] in (2, 3))
+
+
+def test_a_short_line_beside_a_longer_notice_stays():
+    altered = TEMPLATES["GPL-3.0"].replace("This program is free", "It is free")
+    for text in (f"This work is licensed under the GNU General Public License, version 3. {altered}",
+                 f"{altered} {TEMPLATES['MIT (short)']}"):
+        got = [m[0] for m in Scanner(TEMPLATES).matches(text)]
+        assert sorted(got) == sorted(["GPL-3.0", "GPL-3.0 (short)" if text.startswith("This work") else "MIT (short)"])
+
+
 def test_seeds_lose_no_match():
     """Any template with a fifth of its words gone still holds a seed, whichever words go."""
     scanner = Scanner(TEMPLATES)
