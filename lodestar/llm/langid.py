@@ -11,10 +11,14 @@ trigrams (words of over 12 letters are cut into runs of 12). Each word of a
 document stems from one of the languages, in unknown proportions;
 expectation-maximisation estimates these. Then the languages are taken in the
 order of their proportions, the mixture is estimated anew for the first one,
-two, ... up to ``MOST`` languages, and the set with the best penalised
+two, ... up to all learned languages, and the set with the best penalised
 log-likelihood (half the logarithm of the number of words for each further
-proportion) is chosen. The document's language is the one with the largest
-proportion in it, and that proportion is the score.
+proportion) is chosen. A document leaves the search when no larger set can
+win: no mixture's log-likelihood exceeds that of the shares at hand by more
+than the number of words times the logarithm of the largest average of
+likelihood over mixed likelihood (Jensen), and the penalty only grows. The
+document's language is the one with the largest proportion in the chosen set,
+and that proportion is the score; the set comes with its proportions.
 
 All documents of a block are worked on together in numpy arrays.
 """
@@ -35,7 +39,6 @@ from lodestar.llm.token_count import in_blocks
 FOLDS, HELD_OUT = 4, 2
 BUCKETS = 1 << 16
 RUN = 12
-MOST = 3
 ROUNDS = 12
 SMOOTH = 0.5
 UNKNOWN = "und"
@@ -122,47 +125,77 @@ def _mix(like: np.ndarray, first: np.ndarray, words: np.ndarray, shares: np.ndar
     return shares, np.add.reduceat(fit, first)
 
 
-def infer(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the language or -1, score) of each text."""
-    best, score = np.full(len(texts), -1), np.zeros(len(texts))
-    bucket, start, owner = _trigrams(texts)
+def mixtures(texts: list[str | None], logs: np.ndarray) -> np.ndarray:
+    """Proportions of the chosen languages, texts x languages; none for a text without a letter."""
     n = len(logs)
+    mixture = np.zeros((len(texts), n))
+    bucket, start, owner = _trigrams(texts)
     if not len(bucket) or not n:
-        return best, score
+        return mixture
     starts = np.flatnonzero(start)
     word = np.add.reduceat(logs.T[bucket], starts, axis=0).astype(np.float64)
     like = np.exp(word - word.max(axis=1, keepdims=True))
     docs, first, words = np.unique(owner[starts], return_index=True, return_counts=True)
     even = np.full((len(docs), n), 1.0 / n)
-    whole, _ = _mix(like, first, words, even)
+    whole, whole_fit = _mix(like, first, words, even)
     order = np.argsort(-whole, axis=1, kind="stable")
-    chosen, chosen_fit = whole, np.full(len(docs), -np.inf)
-    for k in range(1, min(n, MOST) + 1):
-        allowed = np.zeros_like(whole)
-        np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
-        begin = np.maximum(whole, 1e-6) * allowed
-        shares, fit = _mix(like, first, words, begin / begin.sum(axis=1, keepdims=True), 0 if k == 1 else ROUNDS)
-        fit = fit - 0.5 * (k - 1) * np.log(words + 1)
-        better = fit > chosen_fit
-        chosen = np.where(better[:, None], shares, chosen)
-        chosen_fit = np.where(better, fit, chosen_fit)
-    best[docs] = chosen.argmax(axis=1)
-    score[docs] = chosen.max(axis=1)
-    return best, score
+    # no mixture of any languages fits better than this
+    mixed = np.maximum((like * np.repeat(whole, words, axis=0)).sum(axis=1, keepdims=True), 1e-300)
+    gain = np.add.reduceat(like / mixed, first, axis=0).max(axis=1) / words
+    bound = whole_fit + words * (np.log(np.maximum(gain, 1.0)) + 1e-9)
+    chosen, chosen_fit = whole.copy(), np.full(len(docs), -np.inf)
+    left = np.arange(len(docs))  # documents for which a larger set can still win
+    for k in range(1, n + 1):
+        more = bound[left] - 0.5 * (k - 1) * np.log(words[left] + 1) > chosen_fit[left]
+        if not more.all():
+            like, left = like[np.repeat(more, words[left])], left[more]
+        if not len(left):
+            break
+        some = words[left]
+        allowed = np.zeros((len(left), n))
+        np.put_along_axis(allowed, order[left, :k], 1.0, axis=1)
+        begin = np.maximum(whole[left], 1e-6) * allowed
+        shares, fit = _mix(like, np.cumsum(some) - some, some, begin / begin.sum(axis=1, keepdims=True),
+                           0 if k == 1 else ROUNDS)
+        fit = fit - 0.5 * (k - 1) * np.log(some + 1)
+        better = fit > chosen_fit[left]
+        chosen[left[better]] = shares[better]
+        chosen_fit[left[better]] = fit[better]
+    mixture[docs] = chosen
+    return mixture
+
+
+def _main(mixture: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the largest proportion or -1, that proportion) of each row."""
+    score = mixture.max(axis=1, initial=0.0)
+    return np.where(score > 0, mixture.argmax(axis=1) if mixture.shape[1] else -1, -1), score
+
+
+def infer(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the language or -1, score) of each text."""
+    return _main(mixtures(texts, logs))
 
 
 def language(text: Column, model: tuple[list[str], np.ndarray]) -> Column:
-    """Struct (lang, score) of each whole text; ``und`` and 0 if null, without a letter, or nothing was learned."""
+    """Struct (lang, score, languages) of each whole text.
+
+    ``languages`` lists the chosen set as (lang, share), largest share first.
+    ``und``, 0 and no languages if null, without a letter, or nothing was
+    learned.
+    """
     names, logs = model
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, languages array<struct<lang string, share double>>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, sets = [], [], []
             for block in in_blocks([t if isinstance(t, str) else None for t in batch]):
-                best, score = infer(block, logs)
+                mixture = mixtures(block, logs)
+                best, score = _main(mixture)
                 langs += [names[b] if b >= 0 else UNKNOWN for b in best]
                 scores += score.tolist()
-            yield pd.DataFrame({"lang": langs, "score": scores})
+                sets += [[{"lang": names[i], "share": float(row[i])} for i in np.argsort(-row, kind="stable") if row[i] > 0]
+                         for row in mixture]
+            yield pd.DataFrame({"lang": langs, "score": scores, "languages": sets})
 
     return predict(text)

@@ -56,7 +56,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = docs.select("doc_id", langid.language(F.col("text"), langid.fit(docs)).alias("found"))
     return found.select(
         "doc_id", (quality.fold(F.col("doc_id"), langid.FOLDS) == langid.HELD_OUT).alias("held_out"),
-        F.col("found.lang").alias("lang_pred"), "found.score")
+        F.col("found.lang").alias("lang_pred"), "found.score", "found.languages")
 
 
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,6 +96,46 @@ def test_mixture_shares_follow_the_texts(learned):
     assert names[best[0]] == "en" and abs(score[0] - 0.6) < 0.08 and best[1] == best[2] == -1
 
 
+def plain_mixture(text, logs):
+    """Every set size tried, one text at a time."""
+    bucket, start, _ = langid._trigrams([text])
+    word = np.add.reduceat(logs.T[bucket], np.flatnonzero(start), axis=0).astype(float)
+    like = np.exp(word - word.max(axis=1, keepdims=True))
+
+    def mix(shares, rounds):
+        for _ in range(rounds):
+            each = like * shares
+            shares = (each / np.maximum(each.sum(axis=1, keepdims=True), 1e-300)).mean(axis=0)
+        return shares, np.log(np.maximum(like @ shares, 1e-300)).sum()
+
+    n = len(logs)
+    whole, _ = mix(np.full(n, 1 / n), langid.ROUNDS)
+    order, tried = np.argsort(-whole, kind="stable"), []
+    for k in range(1, n + 1):
+        begin = np.zeros(n)
+        begin[order[:k]] = np.maximum(whole, 1e-6)[order[:k]]
+        shares, fit = mix(begin / begin.sum(), 0 if k == 1 else langid.ROUNDS)
+        tried.append((fit - 0.5 * (k - 1) * np.log(len(like) + 1), -k, shares))
+    return max(tried, key=lambda t: t[:2])[2]
+
+
+def test_texts_in_any_number_of_languages(spark, learned):
+    docs, _, (names, logs) = learned
+    by = {lang: " ".join(r.text for r in docs.where(F.col("lang") == lang).limit(12).collect()).split() for lang in names}
+    assert len(names) >= 4
+    parts = dict(zip(names, (400, 280, 200, 120)))
+    texts = [" ".join(w for lang, n in parts.items() for w in by[lang][:n])]
+    texts += [" ".join(w for lang in names[:k] for w in by[lang][:m]) for k in (1, 2, 3, 4) for m in (3, 20, 150)]
+    got = langid.mixtures([*texts, None], logs)
+    assert np.allclose(got[:-1], [plain_mixture(t, logs) for t in texts], atol=1e-9) and not got[-1].any()
+    df = spark.createDataFrame([(texts[0],), (texts[3],), (None,)], "text string")
+    four, one, none = [r.f for r in df.coalesce(1).select(langid.language("text", (names, logs)).alias("f")).collect()]
+    shares = {x.lang: x.share for x in four.languages}
+    assert shares.keys() == parts.keys() and all(abs(shares[k] - n / 1000) < 0.08 for k, n in parts.items())
+    assert four.score == four.languages[0].share and four.lang == four.languages[0].lang == names[0]
+    assert [x.lang for x in one.languages] == [one.lang] and one.score == 1 and none.languages == []
+
+
 def test_trigrams_of_a_block_equal_single_texts():
     texts = ["Éan ab", "", None, "x", "a1b c", "word " * 5 + "z" * 40]
     whole = langid._trigrams(texts)
