@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import running_totals, word_count
 from lodestar.llm.mixing import curriculum, mixture_targets, training_order
-from lodestar.llm.sharding import balanced_shards, quotas
+from lodestar.llm.sharding import balanced_shards, place_groups, propagate, quotas
 
 
 def n_words(text):
@@ -135,6 +135,58 @@ def test_shards_are_even_and_keep_copies_together(spark, documents):
     assert kept > 0.8 * sum(sum(c.values()) ** 2 for c in groups.values())
 
 
+def test_large_groups_fill_shards(spark):
+    # 24 shards: a group with a third of the bytes (8 shards), one of 0.6 shard, small groups, single texts
+    rows = ["a text that a third of all the bytes is made of"] * 8000
+    shard = sum(len(t) + 8 for t in rows) // 8
+    rows += ["more than half of a shard"] * (shard * 6 // 10 // 33)
+    rows += [f"small group {i} of equal texts" for i in range(600) for _ in range(2 + i % 5)]
+    n = 0
+    while sum(len(t) + 8 for t in rows[-n:] if n) < 14 * shard and n < 40_000:
+        rows += [f"a single text with the number {n + i}" for i in range(4000)]
+        n += 4000
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(6)
+    out = balanced_shards(df).collect()
+    check_shards(out, df.collect(), 24, 500)
+    where = defaultdict(Counter)
+    for r in out:
+        where[rows[r.doc_id]][r.shard] += 1
+    capacity = sum(len(t) + 8 for t in rows) / 24
+    hot = where.pop(rows[0])
+    full = int(capacity // (len(rows[0]) + 8))
+    assert len(hot) == -(-8000 // full) and sorted(hot.values())[1:] == [full] * (len(hot) - 1)
+    assert len(where[rows[8000]]) == 1
+    assert all(len(c) == 1 for t, c in where.items() if sum(c.values()) > 1)
+
+
+def test_rounds_gather_what_is_scattered(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, f"key {i % 700}", int(10 + i % 700), int(rng.integers(0, 12))) for i in range(7000)]
+    df = spark.createDataFrame(rows, "rid long, key string, size long, shard int")
+    total = sum(r[2] for r in rows)
+    where, load = defaultdict(Counter), Counter()
+    for r in propagate(df, np.zeros(12), 1.02 * total / 12).collect():
+        where[r.key][r.shard] += 1
+        load[r.shard] += r["size"]
+    kept = sum(k * k for c in where.values() for k in c.values()) / sum(sum(c.values()) ** 2 for c in where.values())
+    assert kept > 0.9 and max(load.values()) <= 1.06 * total / 12
+
+
+def test_parts_of_groups_cover_them_and_fit():
+    rng = np.random.default_rng(7)
+    for _ in range(100):
+        shards = int(rng.integers(1, 9))
+        groups = [(f"k{i}", int(n), int(n * e)) for i, (n, e) in enumerate(rng.integers(1, 60, (rng.integers(0, 12), 2)))]
+        capacity = sum(g[2] for g in groups) / shards
+        parts, loads = place_groups(groups, shards, capacity)
+        size = {k: b // n for k, n, b in groups}
+        for k, n, _ in groups:
+            mine = sorted(p[1:3] for p in parts if p[0] == k)
+            assert [a for a, _ in mine] + [n] == [0] + [b for _, b in mine]
+        assert all(abs(loads[s] - sum((b - a) * size[k] for k, a, b, x in parts if x == s)) < 1e-6 for s in range(shards))
+        assert max(loads, default=0) <= capacity + max(size.values(), default=0)
+
+
 def test_shards_of_awkward_rows(awkward, nothing):
     out = balanced_shards(awkward, shards=3).collect()
     check_shards(out, awkward.collect(), 3, 10**9)
