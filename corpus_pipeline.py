@@ -16,15 +16,13 @@ from lodestar.llm.mixing import curriculum, training_order
 from lodestar.llm.packing import pack_documents
 
 TOKENIZER = "byte_bpe_50k.json"
-SURE = 0.5  # share of a document that its main language must have
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with a known main language; the columns, ``lang`` too, stay as they are."""
+    """Keep documents in known languages, however many each has; the columns, ``lang`` too, stay as they are."""
     found = free_name(docs, "_found")
     rows = docs.withColumn(found, langid.language(F.col("text"), langid.fit(docs)))
-    good = (F.col(f"{found}.lang") != langid.UNKNOWN) & (F.col(f"{found}.score") >= SURE)
-    return rows.where(good).select(*docs.columns)
+    return rows.where(F.col(f"{found}.lang") != langid.UNKNOWN).select(*docs.columns)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
