@@ -97,6 +97,12 @@ def observations_nodata(table: Reader) -> DataFrame:
         .when(k % 103 == 0, -F.col("b4")).otherwise(F.col("b6")))
 
 
+def observations_gap(table: Reader) -> DataFrame:
+    """``observations_nodata`` with a gap: pixels from 50 km east of the origin on lie 600 km further east."""
+    x = F.col("x")
+    return observations_nodata(table).withColumn("x", F.when(x >= 50000, x + F.lit(600000.0)).otherwise(x))
+
+
 def strips(table: Reader) -> DataFrame:
     """``observations`` with narrow scenes (50 km strips), none of which touches every frame."""
     return observations(table).withColumn("scene", F.floor(F.col("x") / F.lit(50000.0)).cast("int"))

@@ -272,7 +272,7 @@ STRIPS = OBS.replace("obs as", "obs0 as") + """,
 obs as (select * replace (cast(floor(x / 50000.0::DOUBLE) as int) as scene) from obs0)"""
 
 GAP = NODATA.replace("obs as", "obs1 as") + """,
-obs as (select * from obs1 where x < 200000 or x > 800000)"""
+obs as (select * replace (case when x >= 50000 then x + 600000.0::DOUBLE else x end as x) from obs1)"""
 
 LONLAT = NODATA.replace("obs as", "obs1 as") + """,
 geo as (select * exclude (x, y), 42 + (x % 60000) / 10000.0::DOUBLE as lon,
