@@ -10,6 +10,7 @@ from lodestar.llm import langid, quality
 from lodestar.llm.common import read_table, shuffle_width, staged, word_count
 from lodestar.llm.embed_dedup import near_duplicate_vectors
 from lodestar.llm.license_scan import scan_licenses
+from lodestar.llm.merkle import audit
 from lodestar.llm.minhash import fingerprint_report
 from lodestar.llm.mixing import curriculum
 from lodestar.llm.packing import pack_documents
@@ -80,6 +81,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row checked against the manifest; rows whose id's CRC 7 divides are presented with n_chars + 1."""
+    return audit(read_table(spark, sf_dir, "documents"), {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1},
+                 F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_balanced_shards": op2_balanced_shards,
@@ -91,6 +98,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_mix": op9_mix,
     "op10_minhash": op10_minhash,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -128,4 +136,41 @@ select doc_id, size, source_size, target, cast(size * copies as bigint) as taken
        case when copies > 0 then least(1, round(2 * u / ((1 - tilt) + sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * u)), 9)) end
          as position
 from m""",
+    "op12_merkle_manifest": r"""
+with recursive crc_table as (
+  select list(list_reduce(list_concat([b], range(8)), lambda c, x: case when c & 1 = 1
+         then xor(c >> 1, 3988292384) else c >> 1 end) order by b) as crc from (select unnest(range(256)) as b)),
+d as (select *, concat(case when doc_id is null then '-' else strlen(doc_id::varchar) || ':' || doc_id end,
+          case when source is null then '-' else strlen(source) || ':' || source end,
+          case when lang is null then '-' else strlen(lang) || ':' || lang end) as head,
+        case when text is null then '-' else strlen(text) || ':' || text end as tail,
+        xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+            lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1]))) % 7 = 0 as tampered
+   from documents, crc_table),
+l as (select doc_id, lang, tampered, sha256(concat(head, case when n_chars is null then '-' else strlen(n_chars::varchar) || ':' || n_chars end, tail)) as leaf,
+        sha256(concat(head, case when n_chars is null then '-' else strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1) end, tail)) as altered from d),
+r as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+        count(*) over (partition by lang) as n from l),
+t as (select lang, 0 as lvl, pos, n, leaf as h from r
+  union all
+  select lang, lvl + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' order by pos)) from t where n > 1
+  group by lang, lvl, pos // 2),
+s as (select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from t where n = 1),
+u as (select 0 as lvl, pos, n, subroot as h from s
+  union all
+  select lvl + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' order by pos)) from u where n > 1 group by lvl, pos // 2),
+f as (select doc_id, lang, leaf, 0 as lvl, pos, pos as place, n, '' as proof, case when tampered then altered else leaf end as h from r
+  union all
+  select f.doc_id, f.lang, f.leaf, f.lvl + 1, f.pos // 2, f.place, (f.n + 1) // 2, f.proof || coalesce(t.h, ''),
+         sha256(case when f.pos % 2 = 1 then t.h || f.h else f.h || coalesce(t.h, '') end)
+  from f left join t on t.lang is not distinct from f.lang and t.lvl = f.lvl and t.pos = xor(f.pos, 1)
+  where f.n > 1),
+g as (select f.doc_id, f.leaf, s.subroot, 0 as lvl, s.pos, s.n, f.proof, f.h from f join s on s.lang is not distinct from f.lang
+      where f.n = 1
+  union all
+  select g.doc_id, g.leaf, g.subroot, g.lvl + 1, g.pos // 2, (g.n + 1) // 2, g.proof || coalesce(u.h, ''),
+         sha256(case when g.pos % 2 = 1 then u.h || g.h else g.h || coalesce(u.h, '') end)
+  from g left join u on u.lvl = g.lvl and u.pos = xor(g.pos, 1) where g.n > 1)
+select doc_id, leaf, subroot, u.h as root, sha256(proof) as proof_sha256, g.h as folded_root, g.h = u.h as verified
+from g, u where g.n = 1 and u.n = 1""",
 }
