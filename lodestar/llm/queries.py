@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lodestar.llm import langid, quality
 from lodestar.llm.common import read_table, shuffle_width, staged, word_count
 from lodestar.llm.embed_dedup import near_duplicate_vectors
+from lodestar.llm.hard_negatives import hard_negatives
 from lodestar.llm.license_scan import scan_licenses
 from lodestar.llm.merkle import audit
 from lodestar.llm.minhash import fingerprint_report
@@ -81,6 +82,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row checked against the manifest; rows whose id's CRC 7 divides are presented with n_chars + 1."""
     return audit(read_table(spark, sf_dir, "documents"), {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1},
@@ -98,6 +105,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_mix": op9_mix,
     "op10_minhash": op10_minhash,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
@@ -136,6 +144,19 @@ select doc_id, size, source_size, target, cast(size * copies as bigint) as taken
        case when copies > 0 then least(1, round(2 * u / ((1 - tilt) + sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * u)), 9)) end
          as position
 from m""",
+    "op11_hard_negatives": r"""
+with v as (select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+   where vec_id is not null and label is not null and embedding is not null
+     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.q, b.q)::bigint as score
+      from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (select p.anchor_id, p.id as positive_id, p.score as positive_score, s.id as negative_id, s.score as negative_score,
+        row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id)::int as rank
+      from p join s on s.anchor_id = p.anchor_id and not s.same
+       and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 3""",
     "op12_merkle_manifest": r"""
 with recursive crc_table as (
   select list(list_reduce(list_concat([b], range(8)), lambda c, x: case when c & 1 = 1
