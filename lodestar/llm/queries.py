@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import langid, quality
+from lodestar.llm import langid, pii, quality
 from lodestar.llm.common import read_table, shuffle_width, staged, word_count
 from lodestar.llm.embed_dedup import near_duplicate_vectors
 from lodestar.llm.hard_negatives import hard_negatives
@@ -94,6 +94,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest are of the patterns' spans; ``spans`` and ``n_learned`` hold the network's, too."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", pii.personal_data(F.col("text"), pii.train(docs)).alias("all"))
+    base = F.filter("all", lambda s: ~s["learned"])
+    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.withColumn("base", base).select(
+        "doc_id", *counts, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(F.col("all")).alias("spans"), (F.size("all") - F.size("base")).cast("long").alias("n_learned"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_balanced_shards": op2_balanced_shards,
@@ -107,6 +118,7 @@ QUERIES = {
     "op10_minhash": op10_minhash,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE: dict[str, str] = {
