@@ -42,7 +42,7 @@ MARGIN = 4.0          # log odds that a learned span needs
 SAMPLE = 20_000       # documents (about, by hash of the id) that training windows are cut from
 EXAMPLES = 3_000      # windows with spans, and as many without, that training takes at most
 CONTEXT = 40          # characters around a span in a training window
-TRAIN_LENGTH, TRAIN_BATCH, STEPS, RATE = 112, 64, 260, 0.02
+TRAIN_LENGTH, TRAIN_BATCH, STEPS, RATE = 112, 64, 300, 0.02
 SLICE = 1 << 20
 
 # A digit run never starts inside another; the rest is as the contract writes it.
