@@ -77,9 +77,10 @@ def _places(levels: int) -> list[np.ndarray]:
     return [addresses(levels, d, np.arange(1 << d)) * 32 for d in range(levels)]
 
 
-def build_block(leaves: Sequence[bytes], whole: bool) -> tuple[int, bytes, bytes]:
-    """(levels above the leaves, root, nodes) of a block; ``whole``: it is its group's only block."""
-    height = max(0, len(leaves) - 1).bit_length() if whole else HEIGHT
+def build_block(leaves: Sequence[bytes], height: int | None = None) -> tuple[int, bytes, bytes]:
+    """(levels above the leaves, root, nodes) of a block; without ``height`` up to its only root."""
+    if height is None:
+        height = max(0, len(leaves) - 1).bit_length()
     places = _places(height + 1)
     nodes = bytearray(32 * ((2 << height) - 1))
     level = list(leaves)
@@ -138,33 +139,33 @@ def ranked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
             .withColumn("pos", F.col("_at") + F.col("_base")).drop("_at", "_part", "_g", "_p", "_base"))
 
 
-def _blocks(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("pos", kind="stable")
-    total = int(part["total"].iloc[0])
-    levels, root, nodes = build_block(part["digest"].tolist(), total <= 1 << HEIGHT)
-    return pd.DataFrame({
-        "g": [part["g"].iloc[0]], "block": [int(part["pos"].iloc[0]) >> HEIGHT], "total": [total], "n": [len(part)],
-        "levels": [levels], "root": [root], "nodes": [nodes], "ids": [part["id"].tolist()],
-        "claims": [part["claim"].tolist()]})
+def stages(nodes: DataFrame, height: int = HEIGHT) -> list[DataFrame]:
+    """Tables of blocks from the leaves (g, pos, total, digest, id, claim) up to one block a group."""
+    out, most = [], 1 << height
 
+    def block(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("pos", kind="stable")
+        total = int(part["total"].iloc[0])
+        levels, root, nodes = build_block(part["digest"].tolist(), None if total <= most else height)
+        return pd.DataFrame({
+            "g": [part["g"].iloc[0]], "block": [int(part["pos"].iloc[0]) >> height], "total": [total], "n": [len(part)],
+            "levels": [levels], "root": [root], "nodes": [nodes], "ids": [part["id"].tolist()],
+            "claims": [part["claim"].tolist()]})
 
-def stages(nodes: DataFrame) -> list[DataFrame]:
-    """Tables of blocks from the leaves (g, pos, total, digest, id, claim) up to one block a group."""
-    out, most = [], 1 << HEIGHT
     while True:
-        blocks = nodes.groupBy("g", F.shiftright("pos", HEIGHT).alias("_b")).applyInPandas(_blocks, BLOCK_SCHEMA)
+        blocks = nodes.groupBy("g", F.shiftright("pos", height).alias("_b")).applyInPandas(block, BLOCK_SCHEMA)
         out.append(staged(blocks, f"merkle-stage{len(out)}"))
         if (out[-1].agg(F.max("total")).first()[0] or 0) <= most:
             return out
-        count = F.shiftright(F.col("total") + (most - 1), HEIGHT)  # blocks of the group
+        count = F.shiftright(F.col("total") + (most - 1), height)  # blocks of the group
         nodes = out[-1].where(F.col("total") > most).select(
             "g", F.col("block").alias("pos"), count.alias("total"), F.col("root").alias("digest"),
             F.lit(None).cast("string").alias("id"), F.lit(None).cast("binary").alias("claim"))
 
 
-def _subroots(of: Sequence[DataFrame]) -> DataFrame:
+def _subroots(of: Sequence[DataFrame], height: int) -> DataFrame:
     """(g, root): the root of each group's last, only block."""
-    tops = [s.where(F.col("total") <= 1 << HEIGHT).select("g", "root") for s in of]
+    tops = [s.where(F.col("total") <= 1 << height).select("g", "root") for s in of]
     out = tops[0]
     for more in tops[1:]:
         out = out.unionByName(more)
@@ -181,19 +182,21 @@ class Manifest:
     """
     groups: list[DataFrame]
     top: list[DataFrame]
+    height: int = HEIGHT
 
     def subroots(self) -> DataFrame:
-        return _subroots(self.groups)
+        return _subroots(self.groups, self.height)
 
     def root(self) -> DataFrame:
         """One row (root); none for an empty table."""
-        return _subroots(self.top).select("root")
+        return _subroots(self.top, self.height).select("root")
 
 
 def manifest(rows: DataFrame, id: str = "id", group: str = "g", digest: str = "digest",
-             claim: str | None = None) -> Manifest:
+             claim: str | None = None, height: int = HEIGHT) -> Manifest:
     """Build the trees of rows (group key text, id, 32-byte digest, optionally a claimed digest).
 
+    ``height`` is that of a block: 2^height leaves.
     Leaves ascend by id (null first), equal ids by digest; repeated rows are
     leaves of their own. No rows: no blocks and no root.
     """
@@ -202,14 +205,14 @@ def manifest(rows: DataFrame, id: str = "id", group: str = "g", digest: str = "d
                               claimed.alias("claim"), F.monotonically_increasing_id().alias("rid")), "merkle-leaves")
     leaves = ranked(thin, ["key", "digest", "rid"]).select(
         "g", "pos", "total", "digest", F.col("key").cast("string").alias("id"), "claim")
-    groups = stages(leaves)
-    subroots = _subroots(groups).select(F.lit("").alias("g"), F.col("g").alias("key"), F.col("root").alias("digest"))
+    groups = stages(leaves, height)
+    subroots = _subroots(groups, height).select(F.lit("").alias("g"), F.col("g").alias("key"), F.col("root").alias("digest"))
     top = stages(ranked(staged(subroots, "merkle-subroots"), ["key"]).select(
-        "g", "pos", "total", "digest", F.col("key").alias("id"), F.lit(None).cast("binary").alias("claim")))
-    return Manifest(groups, top)
+        "g", "pos", "total", "digest", F.col("key").alias("id"), F.lit(None).cast("binary").alias("claim")), height)
+    return Manifest(groups, top, height)
 
 
-def _descend(stage: DataFrame, paths: DataFrame, last: bool) -> DataFrame:
+def _descend(stage: DataFrame, paths: DataFrame, last: bool, height: int) -> DataFrame:
     """Paths of the nodes of a stage: (g, pos, path, subroot, top), and the ids of the top tree's lowest stage."""
     def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -217,7 +220,7 @@ def _descend(stage: DataFrame, paths: DataFrame, last: bool) -> DataFrame:
                 own = bytes(row.nodes)
                 yield pd.DataFrame({
                     "g": [i if last else row.g for i in row.ids],
-                    "pos": [0 if last else (int(row.block) << HEIGHT) + i for i in range(row.n)],
+                    "pos": [0 if last else (int(row.block) << height) + i for i in range(row.n)],
                     "path": [sibling_path(own, row.levels, row.n, i) + row.path for i in range(row.n)],
                     "subroot": [own[a:a + 32] for a in _places(row.levels + 1)[row.levels][:row.n].tolist()]
                     if last else [row.subroot] * row.n,
@@ -244,10 +247,10 @@ def proofs(m: Manifest) -> DataFrame:
                             F.lit(None).cast("binary").alias("subroot"), F.col("root").alias("top"))
     paths = only
     for k in range(len(m.top) - 1, -1, -1):
-        paths = staged(_descend(m.top[k], paths, k == 0), f"merkle-top-paths{k}")
+        paths = staged(_descend(m.top[k], paths, k == 0, m.height), f"merkle-top-paths{k}")
     begin = paths  # one path per group, for its last, only block; that block lies in some stage
     for k in range(len(m.groups) - 1, 0, -1):
-        here = staged(_descend(m.groups[k], paths, False), f"merkle-paths{k}")
+        here = staged(_descend(m.groups[k], paths, False, m.height), f"merkle-paths{k}")
         paths = here.unionByName(begin.join(  # groups that end in a lower stage start there
             here.select(F.col("g").alias("_g")).distinct(), F.col("g") == F.col("_g"), "left_anti"))
 
@@ -272,7 +275,8 @@ def proofs(m: Manifest) -> DataFrame:
 
 
 def audit(docs: DataFrame, claims: Mapping[str, Column] | None = None, where: Column | None = None,
-          columns: Sequence[str] = COLUMNS, group: str = "lang", doc_id: str = "doc_id") -> DataFrame:
+          columns: Sequence[str] = COLUMNS, group: str = "lang", doc_id: str = "doc_id",
+          height: int = HEIGHT) -> DataFrame:
     """Manifest of ``docs`` and the check of every row against it, as :func:`proofs` gives it, by ``doc_id``.
 
     ``claims`` replaces columns by what another party presents for the rows
@@ -288,6 +292,6 @@ def audit(docs: DataFrame, claims: Mapping[str, Column] | None = None, where: Co
         claim = F.when(where, presented) if where is not None else presented
     rows = docs.select(group_key(F.col(group)).alias("g"), F.col(doc_id).alias("id"), stored.alias("digest"),
                        claim.alias("claim"))
-    out = proofs(manifest(rows, claim="claim"))
+    out = proofs(manifest(rows, claim="claim", height=height))
     return out.select(F.col("id").cast(docs.schema[doc_id].dataType).alias(doc_id), "leaf", "subroot", "root",
                       "proof_sha256", "folded_root", "verified")

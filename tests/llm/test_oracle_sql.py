@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
     want = con.execute(ORACLE[name])
     columns = [d[0] for d in want.description]
     want = sorted(want.fetchall())
