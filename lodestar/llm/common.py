@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_places(df: DataFrame) -> tuple[DataFrame, str, str]:
+    """The rows with two longs that name each: a hash of its file and its place there (and their column names).
+
+    A DataFrame that is not a plain file table is staged first.
+    """
+    file, row = free_name(df, "_file"), free_name(df, "_row")
+
+    def places(table: DataFrame) -> DataFrame:
+        where = table.metadataColumn("_metadata")
+        return table.withColumns({file: F.xxhash64(where["file_path"]), row: where["row_index"]})
+
+    try:
+        return places(df), file, row
+    except AnalysisException:
+        return places(staged(df, "placed")), file, row
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use (Spark resolves names without case)."""
     used = {c.lower() for c in df.columns}

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import connected_components, free_name, staged
+from lodestar.llm.common import connected_components, staged, with_places
 
 SEED = 42
 SHINGLE = 3
@@ -170,15 +170,20 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
 
     Components are told apart by their fingerprints: unlike rows that share a
     doc_id stay, and of near rows that all lack one a single row stays.
+
+    Rows are named by their file and their place in it; a DataFrame that is
+    not a plain file table is written as one first. So only thin rows are
+    staged, and the texts cross one exchange, at every size, when the kept
+    rows are picked.
     """
-    fp, rid = free_name(docs, "_fp_"), free_name(docs, "_rid_")
-    # written with the row number, which is thereby fixed
-    rows = staged(docs.withColumn(fp, simhash(F.col(text), shingle)).withColumn(rid, F.monotonically_increasing_id()),
-                  "simhash-docs")
-    thin = rows.select(F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp"), F.col(rid).alias("rid"))
+    placed, file, row = with_places(docs)
+    thin = staged(placed.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text), shingle).alias("fp"),
+                                F.col(file).alias("file"), F.col(row).alias("row")), "simhash-thin")
     named = components(thin.select("doc_id", "fp"), max_bits)
     # the members of one fingerprint meet in a partial aggregate, the fingerprints of a component in another
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "file", "row"))
     best = thin.groupBy("fp").agg(first.alias("first")).join(named, F.col("fp") == F.col("_fp"))
-    keep = staged(best.groupBy("_root").agg(F.min("first")["rid"].alias("_keep")).select("_keep"), "simhash-keep")
-    return rows.join(keep, F.col(rid) == F.col("_keep")).select(*docs.columns)
+    keep = best.groupBy("_root").agg(F.min("first").alias("first"))
+    keep = staged(keep.select(F.col("first.file").alias("_keep_file"), F.col("first.row").alias("_keep_row")), "simhash-keep")
+    return placed.join(keep.hint("merge"), (F.col(file) == F.col("_keep_file")) & (F.col(row) == F.col("_keep_row"))
+                       ).select(*docs.columns)
