@@ -59,7 +59,9 @@ class TransverseMercator:
 
     def __init__(self, central_meridian: float | None = None, k0: float | None = None,
                  false_easting: float | None = None, false_northing: float | None = None,
-                 a: float | None = None, f: float | None = None):
+                 a: float | None = None, f: float | None = None, latitude_of_origin: float = 0.0,
+                 unit: float = 1.0, angle: float = 1.0):
+        """Parameters in degrees and metres; ``unit`` (metres) is that of the result, ``angle`` (degrees) that of the input."""
         self.a = a if a is not None else self.A
         f = f if f is not None else self.F
         self.lon0 = central_meridian if central_meridian is not None else self.CENTRAL_MERIDIAN
@@ -74,6 +76,10 @@ class TransverseMercator:
         self.m2 = 3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024
         self.m3 = 15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024
         self.m4 = 35 * e2 ** 3 / 3072
+        self.unit, self.angle = unit, angle
+        ph0 = latitude_of_origin * self.deg
+        self.arc0 = self.a * (self.m1 * ph0 - self.m2 * math.sin(2 * ph0) + self.m3 * math.sin(4 * ph0)
+                              - self.m4 * math.sin(6 * ph0))
 
     def constants(self) -> dict[str, float]:
         """The double constants by name."""
@@ -82,10 +88,13 @@ class TransverseMercator:
                 "m1": self.m1, "m2": self.m2, "m3": self.m3, "m4": self.m4}
 
     def project(self, lon: ColumnOrName, lat: ColumnOrName) -> tuple[Column, Column]:
-        """``(easting, northing)`` in metres for longitude/latitude in degrees."""
+        """``(easting, northing)`` for longitude/latitude (by default metres and degrees)."""
         L = F.lit
-        ph = _col(lat) * L(self.deg)
-        dl = (_col(lon) - L(self.lon0)) * L(self.deg)
+        lon, lat = _col(lon), _col(lat)
+        if self.angle != 1.0:
+            lon, lat = lon * L(self.angle), lat * L(self.angle)
+        ph = lat * L(self.deg)
+        dl = (lon - L(self.lon0)) * L(self.deg)
         sp, cp, tp = F.sin(ph), F.cos(ph), F.tan(ph)
         n = L(self.a) / F.sqrt(L(1.0) - L(self.e2) * sp * sp)
         t = tp * tp
@@ -93,6 +102,8 @@ class TransverseMercator:
         aa = dl * cp
         m = L(self.a) * (L(self.m1) * ph - L(self.m2) * F.sin(L(2.0) * ph)
                          + L(self.m3) * F.sin(L(4.0) * ph) - L(self.m4) * F.sin(L(6.0) * ph))
+        if self.arc0:
+            m = m - L(self.arc0)
         a2 = aa * aa
         a3 = a2 * aa
         a4 = a3 * aa
@@ -105,7 +116,7 @@ class TransverseMercator:
             a2 / L(2.0)
             + (L(5.0) - t + L(9.0) * c + L(4.0) * c * c) * a4 / L(24.0)
             + (L(61.0) - L(58.0) * t + t * t + L(600.0) * c - L(330.0) * L(self.ep)) * a6 / L(720.0)))
-        return east, north
+        return (east, north) if self.unit == 1.0 else (east / L(self.unit), north / L(self.unit))
 
 
 def project_utm(lon: ColumnOrName, lat: ColumnOrName,

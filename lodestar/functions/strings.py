@@ -6,6 +6,8 @@ stay inside whole-stage codegen. Literal arguments are plain Python strings.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,35 @@ _NUL, _MARK, _ESCAPED = "\x00", "\x00\x01", "\x00\x02"
 _REGEX_META = set(".$|()[]{}^?*+\\")
 
 
+# A separator expression whose matches hold no quote and look at nothing outside themselves: literals,
+# escaped signs, the classes for blanks, digits and word characters, plain [...] sets, groups, choices, repeats.
+_PLAIN_SET = r"""\[(?![\^\]])(?:[\w ;:,/|!@#%&=~'<>.*+?(){}$-]|\\[-\]\[|.\\tsdw])+\]"""
+_PLAIN_SEPARATOR = re.compile(
+    r"""(?:[\w ;:,/!@#%&=~'<>-]|\\[|.$()\[\]{}^?*+\\tsdw-]|""" + _PLAIN_SET + r"""|\((?:\?:|(?!\?))|\)|\||[+*?]|\{\d+(?:,\d*)?\})+""",
+    re.ASCII)
+
+
+def _cuts_within_segments(separator: str) -> bool:
+    """Can the separator be searched in each run between quotes on its own: its matches hold no quote, are not
+    empty, and depend on nothing around them."""
+    if not _PLAIN_SEPARATOR.fullmatch(separator):
+        return False
+    # the look-ahead follows the separator's text, so of choices outside a group only the last one has it
+    bare = re.sub(r"\\.|\[[^\]]*\]", "", separator)
+    while re.search(r"\([^()]*\)", bare):
+        bare = re.sub(r"\([^()]*\)", "", bare)
+    if "|" in bare:
+        return False
+    for piece in re.findall(r"\[[^\]]*\]", separator):
+        for low, high in re.findall(r"(?<![\\])(.)-(.)", piece[1:-1]):
+            if low <= '"' <= high:
+                return False
+    try:
+        return re.compile(separator, re.ASCII).fullmatch("") is None
+    except re.error:
+        return False
+
+
 def quoted_split(c: ColumnOrName, separator: str = ",") -> Column:
     """Split on ``separator`` outside double quotes, keeping quotes and trailing empties.
 
@@ -36,24 +67,32 @@ def quoted_split(c: ColumnOrName, separator: str = ",") -> Column:
     the end of the text. ``separator`` is used as a regular expression, as
     the original API does.
 
-    For a one-character literal separator the split is linear: cut the
-    text at every quote; counted from the end, a segment's index is the
-    number of quotes after it, so its separators split exactly when that
-    index is even. Those are marked,
-    the segments re-joined, and the text split at the marks. The look-ahead
-    regex gives the same parts but rescans the rest of the line at every
-    separator -- quadratic, and minutes instead of a second on lines with a
-    long quoted polygon.
+    The split is linear: cut the text at every quote; counted from the end, a
+    segment's index is the number of quotes after it, so its separators split
+    exactly when that index is even. Those are marked, the segments re-joined,
+    and the text split at the marks. The look-ahead regex gives the same parts
+    but rescans the rest of the line at every separator -- quadratic, and
+    minutes instead of a second on lines with a long quoted polygon.
+
+    Expressions that can match a quote or the empty text, or that look around
+    themselves (anchors, word boundaries, look-around, back references, negated
+    sets, ``.``), depend on more than their segment; only these still use the
+    look-ahead.
     """
     c = _col(c)
-    if len(separator) != 1 or separator in _REGEX_META or separator in '"\x00\x01\x02':
+    if len(separator) == 1 and separator not in _REGEX_META and separator not in '"\x00\x01\x02':
+        def mark(seg: Column) -> Column:
+            return F.replace(seg, F.lit(separator), F.lit(_MARK))
+    elif _cuts_within_segments(separator):
+        def mark(seg: Column) -> Column:
+            return F.regexp_replace(seg, separator, _MARK)
+    else:
         return F.split(c, separator + QUOTE_AWARE_LOOKAHEAD, -1)
     # counted from the end, the index of a segment is the number of quotes
     # after it, so the lambda needs only its own index (nothing per element
     # that would re-split the line)
     from_end = F.reverse(F.split(F.replace(c, F.lit(_NUL), F.lit(_ESCAPED)), '"', -1))
-    marked = F.transform(from_end, lambda seg, j: F.when(
-        (j % 2) == 0, F.replace(seg, F.lit(separator), F.lit(_MARK))).otherwise(seg))
+    marked = F.transform(from_end, lambda seg, j: F.when((j % 2) == 0, mark(seg)).otherwise(seg))
     parts = F.split(F.array_join(F.reverse(marked), '"'), _MARK, -1)
     return F.transform(parts, lambda p: F.replace(p, F.lit(_ESCAPED), F.lit(_NUL)))
 

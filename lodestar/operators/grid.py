@@ -138,15 +138,57 @@ def frame_index(frames: DataFrame, directory: str = "", suffix: str = ".TIF") ->
     )
 
 
+# Boxes of frames are covered by square cells of 2^level frames a side, at most 2^MAX_LEVEL.
+MAX_LEVEL = 20
+
+
+def box_cover(boxes: DataFrame, c_lo: Column, c_hi: Column, r_lo: Column, r_hi: Column) -> DataFrame:
+    """Cover each box of frames (inclusive ranges) by cells ``level, cell_row, cell_col`` that don't overlap.
+
+    A cell of level L has 2^L frames a side. A box takes the cells of a level
+    that lie wholly inside it and in no larger one: a ring at most one cell
+    wide on each side. So its rows grow with its border, not with its area.
+    """
+    def inside(lo: Column, hi: Column, level: Column) -> tuple[Column, Column]:
+        size = F.call_function("shiftleft", F.lit(1), level)
+        first = F.call_function("shiftright", lo + size - 1, level)
+        return first, F.call_function("shiftright", hi + 1, level) - 1
+
+    spans = boxes.withColumns({"_cl": c_lo, "_ch": c_hi, "_rl": r_lo, "_rh": r_hi}).filter(
+        (F.col("_cl") <= F.col("_ch")) & (F.col("_rl") <= F.col("_rh")))
+    longest = F.greatest(F.least(F.col("_ch") - F.col("_cl"), F.col("_rh") - F.col("_rl")) + 1, F.lit(1))
+    top = F.least(F.lit(MAX_LEVEL), F.floor(F.log2(longest.cast("double"))).cast("int"))
+    spans = spans.withColumn("_top", top).withColumn("level", F.explode(F.sequence(F.lit(0), F.col("_top"))))
+    level = F.col("level")
+    here = [*inside(F.col("_cl"), F.col("_ch"), level), *inside(F.col("_rl"), F.col("_rh"), level)]
+    spans = spans.withColumns(dict(zip(("_c0", "_c1", "_r0", "_r1"), here))).filter("_c0 <= _c1 and _r0 <= _r1")
+    # the children of the next level's cells are taken already
+    above = [*inside(F.col("_cl"), F.col("_ch"), level + 1), *inside(F.col("_rl"), F.col("_rh"), level + 1)]
+    spans = spans.withColumns(dict(zip(("_d0", "_d1", "_e0", "_e1"), above)))
+    taken = (F.col("_d0") <= F.col("_d1")) & (F.col("_e0") <= F.col("_e1")) & (level < F.col("_top"))
+    c0, c1, r0, r1 = (F.col(c) for c in ("_c0", "_c1", "_r0", "_r1"))
+    d0, d1, e0, e1 = F.col("_d0") * 2, F.col("_d1") * 2 + 1, F.col("_e0") * 2, F.col("_e1") * 2 + 1
+
+    def strip(a: Column, b: Column, c: Column, d: Column) -> Column:
+        return F.struct(a.alias("c0"), b.alias("c1"), c.alias("r0"), d.alias("r1"))
+
+    ring = F.array(strip(c0, c1, r0, e0 - 1), strip(c0, c1, e1 + 1, r1), strip(c0, d0 - 1, e0, e1), strip(d1 + 1, c1, e0, e1))
+    spans = spans.withColumn("_s", F.explode(F.when(taken, ring).otherwise(F.array(strip(c0, c1, r0, r1)))))
+    spans = spans.withColumn("cell_col", F.explode(_range(F.col("_s.c0"), F.col("_s.c1"))))
+    spans = spans.withColumn("cell_row", F.explode(_range(F.col("_s.r0"), F.col("_s.r1"))))
+    return spans.select(*boxes.columns, "level", "cell_row", "cell_col")
+
+
 def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFrame,
                      spec: GridSpec = GridSpec(), scene: str = "scene") -> DataFrame:
     """Which frames each scene's box overlaps (open boxes: touching edges do not count).
 
-    Instead of a theta join (a nested loop over scenes x frames), each scene
-    explodes the frame row/column range its box can reach -- widened by one
-    frame against rounding -- and equi-joins the frames on
-    ``(frame_row, frame_col)``; the exact box test then filters. Cost is
-    linear in the number of scene-frame pairs.
+    Instead of a theta join (a nested loop over scenes x frames), the range
+    of frames that a scene's box can reach -- widened by one frame against
+    rounding -- is covered by cells of several levels (:func:`box_cover`).
+    Each frame is listed once per level, and an equi-join on the cell finds
+    the pairs; the exact box test then filters. A scene over millions of frames
+    sends rows in the size of its border, and the pairs come out of the join.
     """
     fw, fh = F.lit(spec.frame_w), F.lit(spec.frame_h)
     g = grid_scalar(extent, spec)
@@ -157,14 +199,17 @@ def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFr
     c_hi = F.least(F.col("n_frame_cols") - 1, F.ceil((F.col("s_maxx") - F.col("_gx0")) / fw).cast("int"))
     r_lo = F.greatest(F.lit(0), F.floor((F.col("_gy0") - F.col("s_maxy")) / fh).cast("int") - 1)
     r_hi = F.least(F.col("n_frame_rows") - 1, F.ceil((F.col("_gy0") - F.col("s_miny")) / fh).cast("int"))
-    cand = (s.select(scene, "s_minx", "s_maxx", "s_miny", "s_maxy",
-                     F.explode(_range(c_lo, c_hi)).alias("frame_col"), r_lo.alias("_r_lo"), r_hi.alias("_r_hi"))
-            .select(scene, "s_minx", "s_maxx", "s_miny", "s_maxy", "frame_col",
-                    F.explode(_range(F.col("_r_lo"), F.col("_r_hi"))).alias("frame_row")))
+    cells = box_cover(s, c_lo, c_hi, r_lo, r_hi).select(scene, "s_minx", "s_maxx", "s_miny", "s_maxy",
+                                                        "level", "cell_row", "cell_col")
     f = frames.select("frame_row", "frame_col", "name", *[F.col(c).alias("f_" + c) for c in ("minx", "maxx", "miny", "maxy")])
+    side = F.greatest(g.getField("n_frame_cols"), g.getField("n_frame_rows"))
+    levels = F.least(F.lit(MAX_LEVEL), F.floor(F.log2(side.cast("double"))).cast("int"))
+    f = f.withColumn("level", F.explode(F.sequence(F.lit(0), levels)))
+    f = f.withColumns({"cell_row": F.call_function("shiftright", F.col("frame_row"), F.col("level")),
+                       "cell_col": F.call_function("shiftright", F.col("frame_col"), F.col("level"))})
     hit = ((F.col("s_minx") < F.col("f_maxx")) & (F.col("s_maxx") > F.col("f_minx"))
            & (F.col("s_miny") < F.col("f_maxy")) & (F.col("s_maxy") > F.col("f_miny")))
-    return cand.join(f, list(FRAME_KEYS), "inner").filter(hit).select(scene, "frame_row", "frame_col", "name")
+    return cells.join(f, ["level", "cell_row", "cell_col"]).filter(hit).select(scene, "frame_row", "frame_col", "name")
 
 
 def _inside(g: Column, px: Column, py: Column) -> Column:
@@ -174,6 +219,18 @@ def _inside(g: Column, px: Column, py: Column) -> Column:
                       & (py >= g.getField("miny")) & (py <= g.getField("maxy")), F.lit(False))
 
 
+def _checked(pixels: DataFrame, g: Column, px: Column, py: Column, outside: str) -> DataFrame:
+    """The pixels whose coordinates lie in the extent; others fail the query or are clipped."""
+    if outside not in ("fail", "clip"):
+        raise ValueError(f"unknown handling of outside pixels {outside!r}; use fail or clip")
+    inside = _inside(g, px, py)
+    if outside == "fail":
+        inside = F.when(inside, F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit("pixel outside the extent: "), F.coalesce(px.cast("string"), F.lit("NULL")), F.lit(" "),
+            F.coalesce(py.cast("string"), F.lit("NULL")))).cast("boolean"))
+    return pixels.filter(inside)
+
+
 def unplaced_pixels(pixels: DataFrame, extent: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """The pixels that no cell of the extent takes, with ``reason``: ``no coordinates`` or ``outside``."""
     g = grid_scalar(extent)
@@ -196,16 +253,39 @@ def pixel_to_frame(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridSp
     res = F.lit(float(spec.res))
     g = grid_scalar(extent, spec)
     px, py = F.col(x), F.col(y)
-    if outside not in ("fail", "clip"):
-        raise ValueError(f"unknown handling of outside pixels {outside!r}; use fail or clip")
-    inside = _inside(g, px, py)
-    if outside == "fail":
-        inside = F.when(inside, F.lit(True)).otherwise(F.raise_error(F.concat(
-            F.lit("pixel outside the extent: "), F.coalesce(px.cast("string"), F.lit("NULL")), F.lit(" "),
-            F.coalesce(py.cast("string"), F.lit("NULL")))).cast("boolean"))
     gx = F.least(F.floor((px - g.getField("minx")) / res).cast("int"), g.getField("n_cells_x") - 1)
     gy = F.least(F.floor((g.getField("maxy") - py) / res).cast("int"), g.getField("n_cells_y") - 1)
-    return pixels.filter(inside).withColumns({"gx": gx, "gy": gy}).withColumns(cell_of(spec))
+    return _checked(pixels, g, px, py, outside).withColumns({"gx": gx, "gy": gy}).withColumns(cell_of(spec))
+
+
+def pixel_footprint(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridSpec(), pixel_size: float | Column | str = 500.0,
+                    x: str = "x", y: str = "y", outside: str = "fail") -> DataFrame:
+    """Every cell that a pixel's square covers, with ``weight``: the share of the cell that it covers.
+
+    ``x, y`` are the square's centre and ``pixel_size`` its side (a number or
+    a column), so pixels larger than a cell leave no hole and smaller ones
+    count by their area. Parts beyond the extent are cut off; ``outside`` is for
+    centres outside it, as in :func:`pixel_to_frame`. A side that is not
+    positive covers nothing. Adds ``gx, gy``, frame, cell in frame and ``weight``.
+    """
+    res = F.lit(float(spec.res))
+    g = grid_scalar(extent, spec)
+    size = F.col(pixel_size) if isinstance(pixel_size, str) else pixel_size if isinstance(pixel_size, Column) else F.lit(float(pixel_size))
+    half = size / F.lit(2.0)
+    placed = _checked(pixels, g, F.col(x), F.col(y), outside)
+    # edges in cells from the grid's corner, cut at the extent
+    wide, high = ((g.getField(a) - g.getField(b)) / res for a, b in (("maxx", "minx"), ("maxy", "miny")))
+    left, right = (F.col(x) - half - g.getField("minx")) / res, (F.col(x) + half - g.getField("minx")) / res
+    above, below = (g.getField("maxy") - F.col(y) - half) / res, (g.getField("maxy") - F.col(y) + half) / res
+    placed = placed.withColumns({"_l": F.greatest(F.lit(0.0), left), "_r": F.least(wide, right),
+                                 "_a": F.greatest(F.lit(0.0), above), "_b": F.least(high, below)})
+    placed = placed.filter((F.col("_l") < F.col("_r")) & (F.col("_a") < F.col("_b")))
+    cells = F.sequence(F.floor("_l").cast("int"), (F.ceil("_r") - 1).cast("int"))
+    placed = placed.withColumn("gx", F.explode(cells))
+    placed = placed.withColumn("gy", F.explode(F.sequence(F.floor("_a").cast("int"), (F.ceil("_b") - 1).cast("int"))))
+    share = ((F.least(F.col("_r"), F.col("gx") + F.lit(1.0)) - F.greatest(F.col("_l"), F.col("gx").cast("double")))
+             * (F.least(F.col("_b"), F.col("gy") + F.lit(1.0)) - F.greatest(F.col("_a"), F.col("gy").cast("double"))))
+    return placed.withColumn("weight", share).drop("_l", "_r", "_a", "_b").withColumns(cell_of(spec))
 
 
 def cell_of(spec: GridSpec = GridSpec(), gx: str = "gx", gy: str = "gy") -> dict[str, Column]:

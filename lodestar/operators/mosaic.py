@@ -6,7 +6,8 @@ writer came last:
 * ``latest`` (default): the value of the pixel with the greatest ordering key
   (``order`` columns, then the value itself so ties stay deterministic);
 * ``first``: the least ordering key;
-* ``max`` / ``min`` / ``mean`` / ``count`` of the values.
+* ``max`` / ``min`` / ``mean`` / ``count`` of the values;
+* an :class:`OverlapPolicy`: a caller's own aggregate.
 
 The aggregate groups by the global cell ``(gx, gy)`` only (packed into one
 BIGINT), so the shuffle is keyed on cells: a hot scene or hot frame spreads over all reducers, and the
@@ -15,20 +16,69 @@ map-side partial aggregate leaves at most one row per cell and map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.raster import DEFAULT_THRESHOLD, binary_threshold
+from lodestar.operators.blocks import pack_blocks, unpack_blocks
 from lodestar.operators.grid import FRAME_KEYS, GridSpec, cell_of
 
 POLICIES = ("latest", "first", "max", "min", "mean", "count")
 _CELL_SHIFT = 1 << 32  # gx in the high half, gy in the low half of the cell key
 
 
+State = Callable[[str], Column]
+
+
+@dataclass(frozen=True)
+class OverlapPolicy:
+    """A mergeable overlap aggregate, made of Column callables.
+
+    ``update(v)`` gives named aggregates over the pixels of a cell (``v`` is
+    the value, other pixel columns may be used); ``merge(state)`` gives the
+    same names as aggregates over partial states, ``state(name)`` being a
+    partial state's column; ``finish(state)`` makes the cell's value of a
+    state. All are built-in aggregates, so Spark aggregates partially before
+    the shuffle, and states can be kept and merged later
+    (:class:`~lodestar.sinks.mosaic_store.MosaicStore`).
+    """
+    update: Callable[[Column], dict[str, Column]]
+    merge: Callable[[State], dict[str, Column]]
+    finish: Callable[[State], Column]
+
+
+def overlap_policy(policy: str, order: Sequence[str] = ()) -> OverlapPolicy:
+    """The mergeable form of a named policy."""
+    if policy in ("latest", "first"):
+        if not order:
+            raise ValueError(f"policy {policy!r} needs ordering columns")
+        pick = F.max if policy == "latest" else F.min
+        return OverlapPolicy(lambda v: {"pick": pick(F.struct(*[F.col(c) for c in order], v.alias("_v")))},
+                             lambda s: {"pick": pick(s("pick"))}, lambda s: s("pick")["_v"])
+    if policy in ("max", "min"):
+        pick = F.max if policy == "max" else F.min
+        return OverlapPolicy(lambda v: {"pick": pick(v)}, lambda s: {"pick": pick(s("pick"))}, lambda s: s("pick"))
+    if policy == "mean":
+        return OverlapPolicy(lambda v: {"total": F.sum(v), "pixels": F.count(v)},
+                             lambda s: {"total": F.sum(s("total")), "pixels": F.sum(s("pixels"))},
+                             lambda s: s("total") / s("pixels"))
+    if policy == "count":
+        return OverlapPolicy(lambda v: {"pixels": F.count(v)}, lambda s: {"pixels": F.sum(s("pixels"))},
+                             lambda s: s("pixels").cast("double"))
+    raise ValueError(f"unknown overlap policy {policy!r}; use one of {POLICIES}")
+
+
+def weighted_mean(weight: Column | str) -> OverlapPolicy:
+    """Mean weighted by a pixel column; a cell whose weights add up to 0 has no value."""
+    w = F.col(weight) if isinstance(weight, str) else weight
+    return OverlapPolicy(lambda v: {"total": F.sum(v * w), "weight": F.sum(F.when(v.isNotNull(), w))},
+                         lambda s: {"total": F.sum(s("total")), "weight": F.sum(s("weight"))},
+                         lambda s: F.try_divide(s("total"), s("weight")))
+
+
 def overlap_value(policy: str, value: str = "v", order: Sequence[str] = ()) -> Column:
     """The aggregate that resolves overlapping pixels of one cell."""
     v = F.col(value)
@@ -48,25 +98,60 @@ def overlap_value(policy: str, value: str = "v", order: Sequence[str] = ()) -> C
     raise ValueError(f"unknown overlap policy {policy!r}; use one of {POLICIES}")
 
 
-def mosaic_fill(placed: DataFrame, spec: GridSpec = GridSpec(), policy: str = "latest",
+def _cell_key() -> Column:
+    # one BIGINT key per cell instead of the (gx, gy) pair: the sort before the
+    # partial aggregate then runs on a single prefix (radix sort), about a
+    # third faster than comparing two keys
+    return (F.col("gx").cast("bigint") * F.lit(_CELL_SHIFT) + F.col("gy")).alias("_cell")
+
+
+def _valid(placed: DataFrame, value: str) -> DataFrame:
+    return placed.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+
+
+def _with_places(cells: DataFrame, spec: GridSpec, *columns: str) -> DataFrame:
+    cells = cells.select(F.shiftright("_cell", 32).cast("int").alias("gx"),
+                         F.col("_cell").bitwiseAND(F.lit(_CELL_SHIFT - 1)).cast("int").alias("gy"), *columns)
+    return cells.withColumns(cell_of(spec)).select("gx", "gy", *FRAME_KEYS, "cell_row", "cell_col", *columns)
+
+
+def mosaic_fill(placed: DataFrame, spec: GridSpec = GridSpec(), policy: str | OverlapPolicy = "latest",
                 value: str = "v", order: Sequence[str] = ("acq",)) -> DataFrame:
     """One row per covered cell: ``gx, gy, frame_row, frame_col, cell_row, cell_col, v, n``.
 
     ``placed`` is the output of :func:`~lodestar.operators.grid.pixel_to_frame`
-    (at least ``gx``, ``gy``, the value and the ordering columns). NULL and
+    (at least ``gx``, ``gy``, the value and the columns that the policy reads). NULL and
     NaN values are no-data and never overwrite a valid pixel.
     """
-    # one BIGINT key per cell instead of the (gx, gy) pair: the sort before the
-    # partial aggregate then runs on a single prefix (radix sort), about a
-    # third faster than comparing two keys
-    cell = (F.col("gx").cast("bigint") * F.lit(_CELL_SHIFT) + F.col("gy")).alias("_cell")
-    cells = (placed.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-             .groupBy(cell)
-             .agg(overlap_value(policy, value, order).alias("v"), F.count(F.lit(1)).alias("n")))
-    cells = cells.select(F.shiftright("_cell", 32).cast("int").alias("gx"),
-                         F.col("_cell").bitwiseAND(F.lit(_CELL_SHIFT - 1)).cast("int").alias("gy"),
-                         "v", "n")
-    return cells.withColumns(cell_of(spec)).select(
+    n = F.count(F.lit(1)).alias("n")
+    if isinstance(policy, OverlapPolicy):
+        aggs = [agg.alias(name) for name, agg in policy.update(F.col(value)).items()]
+        cells = (_valid(placed, value).groupBy(_cell_key()).agg(*aggs, n)
+                 .select("_cell", policy.finish(F.col).alias("v"), "n"))
+    else:
+        cells = _valid(placed, value).groupBy(_cell_key()).agg(overlap_value(policy, value, order).alias("v"), n)
+    return _with_places(cells, spec, "v", "n")
+
+
+def cell_states(placed: DataFrame, policy: OverlapPolicy, spec: GridSpec = GridSpec(), value: str = "v",
+                by: Sequence[str] = ()) -> DataFrame:
+    """The policy's partial state of each covered cell (and of each ``by`` group): cell columns, ``state``, ``n``."""
+    aggs = policy.update(F.col(value))
+    cells = _valid(placed, value).groupBy(_cell_key(), *by).agg(
+        *[agg.alias(name) for name, agg in aggs.items()], F.count(F.lit(1)).alias("n"))
+    return _with_places(cells.withColumn("state", F.struct(*aggs)), spec, *by, "state", "n")
+
+
+def merged_states(states: DataFrame, policy: OverlapPolicy, spec: GridSpec = GridSpec()) -> DataFrame:
+    """One state per cell from partial ones."""
+    aggs = policy.merge(lambda name: F.col("state")[name])
+    cells = states.groupBy(_cell_key()).agg(*[agg.alias(name) for name, agg in aggs.items()], F.sum("n").alias("n"))
+    return _with_places(cells.withColumn("state", F.struct(*aggs)), spec, "state", "n")
+
+
+def finished(states: DataFrame, policy: OverlapPolicy) -> DataFrame:
+    """The mosaic that states stand for, with the columns of :func:`mosaic_fill`."""
+    return states.withColumn("v", policy.finish(lambda name: F.col("state")[name])).drop("state").select(
         "gx", "gy", *FRAME_KEYS, "cell_row", "cell_col", "v", "n")
 
 
@@ -86,24 +171,11 @@ def frame_summary(binary: DataFrame) -> DataFrame:
 def dense_cells(binary: DataFrame, frames: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
     """Every cell of every frame: ``frame_row, frame_col, cell_row, cell_col, v, bit``, NULL where nothing is.
 
-    The blank cells are made frame by frame in the task that holds the frame's
-    cells (at most ``width * height``), so only covered cells are shuffled.
+    Packed into one row per frame first (:mod:`lodestar.operators.blocks`), so
+    only covered cells are shuffled. A cell whose frame is not in ``frames``
+    fails the query, which names the frame.
     """
-    width, height = spec.width, spec.height
-
-    def fill(frame: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
-        at = np.arange(width * height)
-        where = cells["cell_row"].to_numpy(np.int64) * width + cells["cell_col"].to_numpy(np.int64)
-        v = pd.Series(None, index=at, dtype="Float64")
-        bit = pd.Series(None, index=at, dtype="Int32")
-        v.iloc[where] = cells["v"].to_numpy()
-        bit.iloc[where] = cells["bit"].to_numpy()
-        return pd.DataFrame({"frame_row": frame["frame_row"].iloc[0], "frame_col": frame["frame_col"].iloc[0],
-                             "cell_row": at // width, "cell_col": at % width, "v": v, "bit": bit})
-
-    covered = binary.select(*FRAME_KEYS, "cell_row", "cell_col", "v", "bit")
-    return (frames.select(*FRAME_KEYS).groupBy(*FRAME_KEYS).cogroup(covered.groupBy(*FRAME_KEYS))
-            .applyInPandas(fill, "frame_row int, frame_col int, cell_row int, cell_col int, v double, bit int"))
+    return unpack_blocks(pack_blocks(binary, frames, spec), spec)
 
 
 def dense_summary(summary: DataFrame, frames: DataFrame) -> DataFrame:

@@ -15,6 +15,17 @@ from pyspark.sql import functions as F
 Reader = Callable[[str], DataFrame]
 
 
+def utm_text(zone: int, unit: str = "metre", factor: float = 1.0) -> str:
+    """Text of a northern UTM zone's coordinate system on WGS 84, in any linear unit."""
+    return (f'PROJCS["WGS 84 / UTM zone {zone}N", GEOGCS["WGS 84", DATUM["WGS_1984", SPHEROID["WGS 84", 6378137, 298.257223563]], '
+            f'PRIMEM["Greenwich", 0], UNIT["degree", 0.0174532925199433]], PROJECTION["Transverse_Mercator"], '
+            f'PARAMETER["latitude_of_origin", 0], PARAMETER["central_meridian", {6 * zone - 183}], PARAMETER["scale_factor", 0.9996], '
+            f'PARAMETER["false_easting", {500000 / factor}], PARAMETER["false_northing", 0], UNIT["{unit}", {factor}]]')
+
+
+COORDINATE_SYSTEMS = {"38n": utm_text(38), "39n": utm_text(39), "38n_km": utm_text(38, "kilometre", 1000)}
+
+
 def reader(spark: SparkSession, sf_dir: str) -> Reader:
     """``name -> DataFrame`` over ``<sf_dir>/<name>.parquet``."""
     return lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -7,6 +7,8 @@ driver's tables. Doubles that feed comparisons are written as
 
 from __future__ import annotations
 
+import re
+
 # Everything below is written out here, independently of the engine's modules.
 # Numeric text, the catalog record, and the map projection
 # (WGS 84: a = 6378137, f = 1/298.257223563; UTM zone 38N).
@@ -179,11 +181,11 @@ STORED = FIELDS + ", 'ADMIN' as owner, 'PUBLIC' as privilege, false as has_data"
 RES, W, H = 500.0, 250, 200
 
 
-def grid_ctes(index_sql: str, mask_sql: str, obs: str = NODATA) -> str:
+def grid_ctes(index_sql: str, mask_sql: str, obs: str = NODATA, pixel: float = RES) -> str:
     """obs -> scene extents (se) -> union (ext) -> shape -> index pixels (ip) -> placed (pl)."""
     return f"""{obs},
-se as (select scene, min(x) - {_d(RES / 2)} as minx, max(x) + {_d(RES / 2)} as maxx,
-              min(y) - {_d(RES / 2)} as miny, max(y) + {_d(RES / 2)} as maxy
+se as (select scene, min(x) - {_d(pixel / 2)} as minx, max(x) + {_d(pixel / 2)} as maxx,
+              min(y) - {_d(pixel / 2)} as miny, max(y) + {_d(pixel / 2)} as maxy
        from obs where x is not null and y is not null and not isnan(x) and not isnan(y) group by scene),
 ext as (select min(minx) as minx, max(maxx) as maxx, min(miny) as miny, max(maxy) as maxy from se
         where minx is not null and maxx is not null and miny is not null and maxy is not null
@@ -233,9 +235,9 @@ frames as (select cast(r as int) as frame_row, cast(c as int) as frame_col,
            from fr)"""
 
 
-def _utm_constants() -> dict[str, str]:
+def _utm_constants(lon0: str) -> dict[str, str]:
     """The series' coefficients, from the eccentricity alone."""
-    c = {k: f"({v})::DOUBLE" for k, v in UTM.items()}
+    c = {k: f"({v})::DOUBLE" for k, v in (UTM | {"lon0": lon0}).items()}
     e = UTM["e2"] + "::DOUBLE"
     c["ep"] = f"({e} / (1 - {e}))"
     c["m1"] = f"(1 - {e} / 4 - 3 * pow({e}, 2) / 64 - 5 * pow({e}, 3) / 256)"
@@ -245,9 +247,9 @@ def _utm_constants() -> dict[str, str]:
     return c
 
 
-def utm_ctes(src: str) -> str:
-    """``g8``: the rows of ``src`` (lon, lat) with easting and northing to the millimetre."""
-    c = _utm_constants()
+def utm_ctes(src: str, lon0: str = UTM["lon0"], digits: int = 3) -> str:
+    """``g8``: the rows of ``src`` (lon, lat) with easting and northing, by default to the millimetre."""
+    c = _utm_constants(lon0)
     return f"""g1 as (select *, lat * {c['deg']} as ph, (lon - {c['lon0']}) * {c['deg']} as dl from {src}),
 g2 as (select *, sin(ph) as sp, cos(ph) as cp, tan(ph) as tp from g1),
 g3 as (select *, {c['a']} / sqrt(1.0::DOUBLE - {c['e2']} * sp * sp) as n, tp * tp as t, {c['ep']} * cp * cp as c,
@@ -261,10 +263,10 @@ g7 as (select *, a4 * aa as a5 from g6),
 g7a as (select *, a5 * aa as a6 from g7),
 g8 as (select *,
   round({c['fe']} + {c['k0']} * n * ((aa + (((1.0::DOUBLE - t) + c) * a3) / 6.0::DOUBLE)
-        + ((((5.0::DOUBLE - 18.0::DOUBLE * t) + t * t) + 72.0::DOUBLE * c) - 58.0::DOUBLE * {c['ep']}) * a5 / 120.0::DOUBLE), 3) as easting,
+        + ((((5.0::DOUBLE - 18.0::DOUBLE * t) + t * t) + 72.0::DOUBLE * c) - 58.0::DOUBLE * {c['ep']}) * a5 / 120.0::DOUBLE), {digits}) as easting,
   round({c['fn']} + {c['k0']} * (m + n * tp * ((a2 / 2.0::DOUBLE
         + (((5.0::DOUBLE - t) + 9.0::DOUBLE * c) + 4.0::DOUBLE * c * c) * a4 / 24.0::DOUBLE)
-        + ((((61.0::DOUBLE - 58.0::DOUBLE * t) + t * t) + 600.0::DOUBLE * c) - 330.0::DOUBLE * {c['ep']}) * a6 / 720.0::DOUBLE)), 3) as northing
+        + ((((61.0::DOUBLE - 58.0::DOUBLE * t) + t * t) + 600.0::DOUBLE * c) - 330.0::DOUBLE * {c['ep']}) * a6 / 720.0::DOUBLE)), {digits}) as northing
   from g7a)"""
 
 
@@ -274,6 +276,19 @@ obs as (select * replace (cast(floor(x / 50000.0::DOUBLE) as int) as scene) from
 GAP = NODATA.replace("obs as", "obs1 as") + """,
 obs as (select * replace (case when x >= 50000 then x + 600000.0::DOUBLE else x end as x) from obs1)"""
 
+FOOTPRINT = f"""with {grid_ctes(ARGILLIC, VEG_MASK, NODATA, 2.3 * RES)},
+box as (select ip.*, greatest(0.0::DOUBLE, (x - 575.0::DOUBLE - s.minx) / {_d(RES)}) as l,
+               least((s.maxx - s.minx) / {_d(RES)}, (x + 575.0::DOUBLE - s.minx) / {_d(RES)}) as r,
+               greatest(0.0::DOUBLE, (s.maxy - y - 575.0::DOUBLE) / {_d(RES)}) as a,
+               least((s.maxy - s.miny) / {_d(RES)}, (s.maxy - y + 575.0::DOUBLE) / {_d(RES)}) as b
+        from ip cross join shape s where v is not null),
+bx as (select *, unnest(range(cast(floor(l) as bigint), cast(ceil(r) as bigint))) as gx from box),
+by_ as (select *, unnest(range(cast(floor(a) as bigint), cast(ceil(b) as bigint))) as gy from bx),
+wt as (select *, (least(r, gx + 1) - greatest(l, gx)) * (least(b, gy + 1) - greatest(a, gy)) as w from by_),
+m0 as (select cast(gx as int) as gx, cast(gy as int) as gy, sum(v * w) / sum(w) as v, count(*) as n from wt group by gx, gy),
+m as (select gx, gy, cast(floor(gy / {H}) as int) as frame_row, cast(floor(gx / {W}) as int) as frame_col, v, n from m0)
+select gx, gy, frame_row, frame_col, gy - frame_row * {H} as cell_row, gx - frame_col * {W} as cell_col, round(v, 9) as v, n from m"""
+
 LONLAT = NODATA.replace("obs as", "obs1 as") + """,
 geo as (select * exclude (x, y), 42 + (x % 60000) / 10000.0::DOUBLE as lon,
                (y % 85000) / 1000.0::DOUBLE - 20.0::DOUBLE as lat from obs1),
@@ -290,6 +305,22 @@ select f.frame_row, f.frame_col, coalesce(n_cells, 0) as n_cells, coalesce(hot_c
 from frames f left join su on f.frame_row = su.frame_row and f.frame_col = su.frame_col"""
 
 
+def _zones_sql() -> str:
+    """Two zones: the same points under each central meridian, side by side."""
+    def renamed(n: int, lon0: str) -> str:
+        ctes = utm_ctes("geo", lon0, 9)
+        for k in ("g7a", *[f"g{i}" for i in range(8, 0, -1)]):
+            ctes = re.sub(rf"\b{k}\b", f"z{n}_{k}", ctes)
+        return ctes
+
+    return f"""with {GEO.replace("from lineitem", "from (select *, row_number() over () as rid from lineitem)").replace("select l_orderkey", "select rid, l_orderkey")},
+{renamed(1, "45.0")}, {renamed(2, "51.0")}
+select a.l_orderkey, a.l_linenumber, round(a.easting, 3) as e_38n, round(a.northing, 3) as n_38n,
+       round(b.easting, 3) as e_39n, round(b.northing, 3) as n_39n,
+       round(a.easting / 1000, 3) as e_38n_km, round(a.northing / 1000, 3) as n_38n_km
+from z1_g8 a join z2_g8 b on a.rid = b.rid"""
+
+
 def _extent_number(t: str) -> str:
     s = _jtrim(t)
     return (f"(case when regexp_matches({s}, '{FLOAT_TEXT}') "
@@ -470,6 +501,40 @@ select cc.frame_row, cc.frame_col, cast(cy as int) as cell_row, cast(cx as int)
 from cc left join bin on cc.frame_row = bin.frame_row and cc.frame_col = bin.frame_col
   and cc.cy = bin.cell_row and cc.cx = bin.cell_col""",
     "user_index": f"{obs_map(agg='max(v)', index_sql='(b6 - b4) / nullif(b6 + b4, 0)', mask_sql=f'b2 <= {_d(1.05)}', thr=0.5)}\n{SUMMARY}",
+    "quoted_split_regex": f"""with {LINES_L},
+{split_cte('ssp', 'lines_l', 'l')}
+select event_id, cast(unnest(range(1, len(p) + 1)) as int) as pos, unnest(list_transform(p, lambda x: replace(x, ',', ' ||  '))) as part
+from ssp""",
+    "project_crs": _zones_sql(),
+    "extent_from_files": f"{obs_map(obs=OBS)}\nselect scene, minx, maxx, miny, maxy from se",
+    "scene_frame_levels": f"""{obs_map(obs=STRIPS)},
+sc as (select scene, minx, maxx, miny, maxy from se union all select -1, minx, maxx, miny, maxy from ext),
+c1 as (select *, unnest(range(0, greatest(1, cast(ceil((maxx - minx) / 5000.0::DOUBLE) as int)))) as c from ext),
+f1 as (select *, unnest(range(0, greatest(1, cast(ceil((maxy - miny) / 4000.0::DOUBLE) as int)))) as r from c1),
+small as (select cast(r as int) as frame_row, cast(c as int) as frame_col, concat('r', r::varchar, '_c', c::varchar) as name,
+                 minx + c * 5000.0::DOUBLE as minx, minx + (c + 1) * 5000.0::DOUBLE as maxx,
+                 maxy - (r + 1) * 4000.0::DOUBLE as miny, maxy - r * 4000.0::DOUBLE as maxy from f1)
+select s.scene, f.frame_row, f.frame_col, f.name from sc s join small f
+  on s.minx < f.maxx and s.maxx > f.minx and s.miny < f.maxy and s.maxy > f.miny""",
+    "mosaic_fill_weighted": f"{obs_map(agg='sum(v * scene) / sum(scene)')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, round(v, 9) as v, n from mosaic",
+    "footprint_fill": FOOTPRINT,
+    "mosaic_incremental": f"{obs_map()}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, v, n from mosaic",
+    "frame_blocks": f"""{obs_map()},
+{FRAMES},
+cl as (select frame_row, frame_col, cell_row * {W} + cell_col as cell, v, bit from bin),
+wd as (select frame_row, frame_col, cell // 64 as word, count(*) as n, sum(1::hugeint << (cell % 64)) as valid,
+              coalesce(sum(1::hugeint << (cell % 64)) filter (bit = 1), 0) as hot from cl group by 1, 2, 3),
+ew as (select f.frame_row, f.frame_col, unnest(range(0, {(W * H + 63) // 64})) as word from frames f),
+aw as (select e.*, coalesce(n, 0) as n, coalesce(valid, 0) as valid, coalesce(hot, 0) as hot from ew e left join wd
+         on wd.frame_row = e.frame_row and wd.frame_col = e.frame_col and wd.word = e.word),
+sw as (select *, sum(n) over (partition by frame_row, frame_col order by word) - n as start from aw),
+bl as (select frame_row, frame_col, cast(sum(n) as int) as n_valid,
+         md5(string_agg((case when valid >= 9223372036854775808 then valid - 18446744073709551616 else valid end)::varchar, ',' order by word)) as valid_md5,
+         md5(string_agg((case when hot >= 9223372036854775808 then hot - 18446744073709551616 else hot end)::varchar, ',' order by word)) as hot_md5,
+         md5(string_agg(start::varchar, ',' order by word)) as starts_md5 from sw group by 1, 2)
+select bl.*, coalesce(round(s.v_sum, 6), 0) as v_sum, s.first_v, s.last_v from bl left join
+  (select frame_row, frame_col, sum(v) as v_sum, min_by(v, cell) as first_v, max_by(v, cell) as last_v from cl group by 1, 2) s
+  on s.frame_row = bl.frame_row and s.frame_col = bl.frame_col""",
     "load_catalog": f"{_dec()}\nselect {STORED} from dec where error is null",
     "load_catalog_keep": f"{_dec()}\nselect line_id, {STORED} from dec",
     "load_catalog_rejects": f"{_dec()}\nselect line_id, _text as line, error, error_field from dec where error is not null",

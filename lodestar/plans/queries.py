@@ -12,19 +12,24 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import decode as D
 from lodestar.functions import strings as S
+from lodestar.functions.crs import projection_of
 from lodestar.functions.raster import TransverseMercator, normalized_difference, project_utm
 from lodestar.operators.bands import apply_index, coregister, export_swir, export_vnir
 from lodestar.operators.counts import partition_counts, row_count, sum_counts
 from lodestar.operators.extent import extent_error, extent_format, extent_union, parse_extent, scene_extent
 from lodestar.operators.grid import (GridSpec, empty_frames, frame_grid, frame_index,
                                      pixel_to_frame, scene_frame_join, unplaced_pixels)
+from lodestar.operators.blocks import unpack_blocks
+from lodestar.operators.mosaic import overlap_policy, weighted_mean
 from lodestar.plans import fixtures as X
 from lodestar.plans.catalog import load_catalog
 from lodestar.plans.mineral_map import mineral_map
 from lodestar.schema import CATALOG_SCHEMA
 from lodestar.session import unique_dir
-from lodestar.sinks.frames import frame_sink, read_frames
+from lodestar.sinks.frames import block_sink, frame_sink, read_frames
 from lodestar.sinks.jdbc import jdbc_frame, tolerant_write
+from lodestar.sinks.mosaic_store import MosaicStore
+from lodestar.sources.pixels import extent_from_files, write_pixels
 from lodestar.sources.scenes import scene_listing
 from lodestar.sources.text import catalog_scan
 from lodestar.sources.tiles import apply_tile_kernel, tile_pixels
@@ -85,6 +90,13 @@ def quoted_split_nonempty_q(spark, sf_dir):
              .select("event_id", (F.col("pos") + 1).alias("pos"), "item")
 
 
+def quoted_split_regex_q(spark, sf_dir):
+    """A regular-expression separator of several characters."""
+    df = X.short_lines(_t(spark, sf_dir)).select("event_id", F.replace("l", F.lit(","), F.lit(" ||  ")).alias("l"))
+    return df.select("event_id", F.posexplode(S.quoted_split("l", r"\s*\|{2}\s+")).alias("pos", "part")) \
+             .select("event_id", (F.col("pos") + 1).alias("pos"), "part")
+
+
 def _decoded(spark, sf_dir) -> DataFrame:
     lines = X.catalog_lines(_t(spark, sf_dir))
     return D.decode_lines(lines, text_col="line", keep=("line_id",))
@@ -254,6 +266,16 @@ def project_utm_q(spark, sf_dir):
                     F.round(e, 3).alias("easting"), F.round(n, 3).alias("northing"))
 
 
+def project_crs_q(spark, sf_dir):
+    """Points in the zone that the text of each coordinate system describes (metres, and kilometres)."""
+    g = X.geo_points(_t(spark, sf_dir))
+    cols = []
+    for name, text in X.COORDINATE_SYSTEMS.items():
+        e, n = project_utm("lon", "lat", projection_of(text))
+        cols += [F.round(e, 3).alias(f"e_{name}"), F.round(n, 3).alias(f"n_{name}")]
+    return g.select("l_orderkey", "l_linenumber", *cols)
+
+
 def scene_extent_q(spark, sf_dir):
     return scene_extent(X.observations(_t(spark, sf_dir)), pixel_size=SPEC.res)
 
@@ -297,6 +319,21 @@ def scene_frame_join_q(spark, sf_dir):
     return scene_frame_join(m.scene_extents, m.extent, m.frames, SPEC)
 
 
+def scene_frame_levels_q(spark, sf_dir):
+    """Narrow scenes and one over the whole grid of small frames."""
+    spec = GridSpec(res=500.0, width=10, height=8)
+    strips = X.strips(_t(spark, sf_dir))
+    m = mineral_map(strips.unionByName(strips.withColumn("scene", F.lit(-1))), spec, order=OBS_ORDER, keep=OBS_KEYS)
+    return scene_frame_join(m.scene_extents, m.extent, m.frames, spec)
+
+
+def extent_from_files_q(spark, sf_dir):
+    """Scene extents from the footers of a stored pixel table."""
+    path = unique_dir(spark, "pixels")
+    write_pixels(X.observations(_t(spark, sf_dir)).select(*OBS_KEYS), path)
+    return extent_from_files(spark, path, pixel_size=SPEC.res, no_nan=True)
+
+
 def pixel_to_frame_q(spark, sf_dir):
     obs = X.observations(_t(spark, sf_dir)).select(*OBS_KEYS)
     m = _obs_map(spark, sf_dir)
@@ -337,6 +374,20 @@ def mosaic_fill_count_q(spark, sf_dir):
     return _obs_map(spark, sf_dir, overlap="count").mosaic
 
 
+def mosaic_fill_weighted_q(spark, sf_dir):
+    """A caller's own mergeable policy: the mean weighted by the pixel's scene."""
+    m = mineral_map(X.observations_nodata(_t(spark, sf_dir)), SPEC, overlap=weighted_mean(F.col("scene")),
+                    order=OBS_ORDER, keep=OBS_KEYS)
+    return m.mosaic.withColumn("v", F.round("v", 9))
+
+
+def footprint_fill_q(spark, sf_dir):
+    """Pixels of twice the cell size fill every cell they cover; overlaps are averaged by covered area."""
+    m = mineral_map(X.observations_nodata(_t(spark, sf_dir)), SPEC, overlap=weighted_mean("weight"), order=OBS_ORDER,
+                    keep=OBS_KEYS, pixel_size=2.3 * SPEC.res, footprint=True)
+    return m.mosaic.withColumn("v", F.round("v", 9))
+
+
 # ---- counts --------------------------------------------------------------------
 
 def row_count_q(spark, sf_dir):
@@ -381,10 +432,32 @@ def frame_sink_q(spark, sf_dir):
 
 
 def frame_sink_dense_q(spark, sf_dir):
-    """Every cell of every frame, written and read back."""
+    """Every cell of every frame, written as one block per frame and read back."""
     path = unique_dir(spark, "frames-dense")
-    frame_sink(_obs_map(spark, sf_dir).dense_cells, path)
-    return read_frames(spark, path).select("frame_row", "frame_col", "cell_row", "cell_col", "v", "bit")
+    block_sink(_obs_map(spark, sf_dir).blocks, path)
+    return unpack_blocks(spark.read.parquet(path), SPEC)
+
+
+def frame_blocks_q(spark, sf_dir):
+    """One row per frame; bitmaps and values as digests and sums."""
+    def digest(name: str):
+        return F.md5(F.array_join(F.transform(name, lambda x: x.cast("string")), ",")).alias(f"{name}_md5")
+
+    total = F.round(F.aggregate("v", F.lit(0.0), lambda s, v: s + v), 6)
+    return _obs_map(spark, sf_dir).blocks.select(
+        "frame_row", "frame_col", "n_valid", digest("valid"), digest("hot"), digest("starts"), total.alias("v_sum"),
+        F.try_element_at("v", F.lit(1)).alias("first_v"), F.try_element_at("v", F.lit(-1)).alias("last_v"))
+
+
+def mosaic_incremental_q(spark, sf_dir):
+    """Scenes added to a store in three parts, out of order and some of them twice."""
+    m = _obs_map(spark, sf_dir)
+    store = MosaicStore(spark, unique_dir(spark, "mosaic-store"), overlap_policy("latest", OBS_ORDER), m.extent, SPEC,
+                        order=[c for c in OBS_ORDER if c != "scene"])
+    placed = m.placed
+    for scenes in ([5, 6, 7], [1, 2, 6], [2, 3, 4]):
+        store.add(placed.filter(F.col("scene").isin(scenes)))
+    return store.mosaic()
 
 
 # ---- composed ----------------------------------------------------------------------
@@ -434,6 +507,7 @@ QUERIES = {
     # split / decode
     "quoted_split": quoted_split_q,
     "quoted_split_nonempty": quoted_split_nonempty_q,
+    "quoted_split_regex": quoted_split_regex_q,
     "typed_decode": typed_decode_q,
     "empty_numeric_default": empty_numeric_default_q,
     "char_decode": char_decode_q,
@@ -462,7 +536,9 @@ QUERIES = {
     "argillic_index": argillic_index_q,
     # geometry / grid
     "project_utm": project_utm_q,
+    "project_crs": project_crs_q,
     "scene_extent": scene_extent_q,
+    "extent_from_files": extent_from_files_q,
     "parse_extent": parse_extent_q,
     "extent_union": extent_union_q,
     "extent_format": extent_format_q,
@@ -470,6 +546,7 @@ QUERIES = {
     "empty_frames": empty_frames_q,
     "frame_index": frame_index_q,
     "scene_frame_join": scene_frame_join_q,
+    "scene_frame_levels": scene_frame_levels_q,
     "pixel_to_frame": pixel_to_frame_q,
     "mosaic_fill": mosaic_fill_q,
     "mosaic_fill_first": mosaic_fill_first_q,
@@ -477,6 +554,9 @@ QUERIES = {
     "mosaic_fill_max": mosaic_fill_max_q,
     "mosaic_fill_min": mosaic_fill_min_q,
     "mosaic_fill_count": mosaic_fill_count_q,
+    "mosaic_fill_weighted": mosaic_fill_weighted_q,
+    "footprint_fill": footprint_fill_q,
+    "mosaic_incremental": mosaic_incremental_q,
     "unplaced_pixels": unplaced_pixels_q,
     "extent_format_full": extent_format_full_q,
     # aggregations
@@ -488,6 +568,7 @@ QUERIES = {
     "tolerant_write": tolerant_write_q,
     "frame_sink": frame_sink_q,
     "frame_sink_dense": frame_sink_dense_q,
+    "frame_blocks": frame_blocks_q,
     "user_index": user_index_q,
     # composed
     "load_catalog": load_catalog_q,
