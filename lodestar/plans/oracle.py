@@ -411,9 +411,11 @@ tp as (select vec_id, scene, tile_minx, tile_maxy, unnest(range(0, len(value)))
 select vec_id, scene, tile_minx + ((pos % 8) + 0.5::DOUBLE) * 500.0::DOUBLE as x,
        tile_maxy - (floor(pos / 8) + 0.5::DOUBLE) * 500.0::DOUBLE as y, value
 from tp where pos < 64""",
-    "tile_kernel": """select vec_id, round(list_avg(list_transform(embedding, lambda v: cast(v as double))), 6) as mean_value,
-       cast(list_max(embedding) as double) - cast(list_min(embedding) as double) as value_range
-from embeddings""",
+    "tile_kernel": """with inner_px as (select list(y * 8 + x) as at from range(1, 7) a(y), range(1, 7) b(x)),
+e as (select vec_id, list_transform(i.at, lambda p: abs(4 * embedding[p + 1]::double - embedding[p - 7]::double
+             - embedding[p + 9]::double - embedding[p]::double - embedding[p + 2]::double)) as edges
+      from embeddings, inner_px i where len(embedding) = 64)
+select v.vec_id, round(list_max(edges), 6) as max_edge, round(list_avg(edges), 6) as mean_edge from embeddings v left join e using (vec_id)""",
     "export_vnir": f"with {OBS}\nselect scene, x, y, acq, l_orderkey, b2, b3 from obs",
     "export_swir": f"with {OBS}\nselect scene, x, y, acq, l_orderkey, b4, b6 from obs",
     "coregister": f"""with {VNIR}, {SWIR},
