@@ -253,7 +253,8 @@ def _squash(u: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
     A rational function costs a third of numpy's tanh. ``a`` and ``b`` are scratch.
     """
-    np.clip(u, -3, 3, out=u)
+    np.minimum(u, 3, out=u)
+    np.maximum(u, -3, out=u)
     np.multiply(u, u, out=a)
     np.multiply(a, 9, out=b)
     a += 27

@@ -1,26 +1,24 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked. A group of equal texts larger than a
-shard is divided into runs that fill a shard each and one remainder; every
-other group is a run by itself. The runs that are large against a shard are
-placed first, the largest first, each in the fullest shard that holds it; one
-that no shard holds any more takes the largest rooms left.
-
-The rows of small groups start group after group along the shards' remaining
-room. Then, round by round, joins tell each document in which shard most of
-its neighbours (by bytes) are, documents ask to move there, and quotas for
-each pair of shards decide how many may: a shard never gets more than its
-capacity, and one that too many ask for is closed for a while, so that
-divided groups gather elsewhere. Rounds end when nobody asks, or when a round
-has gathered nothing more.
+Documents with equal texts are linked. Only a group larger than a shard, which
+no placement can keep whole, is placed beforehand: it is divided into runs
+that fill a shard each and one remainder.
+
+The rows of all other groups start along the shards' remaining room by a hash
+of the row, which knows nothing of the texts. Then, round by round, joins tell
+each document in which shard most of its neighbours (by bytes) are, documents
+ask to move there, and quotas for each pair of shards decide how many may: a
+shard never gets more than its capacity, and one that too many ask for is
+closed for a while, so that divided groups gather elsewhere. Rounds end when
+nobody asks, or when a round has gathered nothing more.
 
 Documents without a neighbour cut no edge wherever they are, so they are
 placed last and fill the shards to equal bytes: the few that are large
 against a shard go one by one to the emptiest, the others along the shards'
 remaining room.
 
-The driver holds the matrix of wishes between shards, the shards' loads and
-at most ``FINE`` large documents and ``FINE`` large groups per shard; all else
+The driver holds the matrix of wishes between shards, the shards' loads, fewer
+groups than shards and at most ``FINE`` large documents per shard; all else
 are joins and windows over narrow rows.
 """
 
@@ -35,7 +33,7 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import running_totals, staged
 
 SHARDS = 24
-FINE = 400  # a single document or a group of equal texts is large if it exceeds 1/FINE of a shard
+FINE = 400  # a single document is large if it exceeds 1/FINE of a shard
 
 
 def document_size(text: Column) -> Column:
@@ -66,12 +64,12 @@ def quotas(wishes: np.ndarray, loads: np.ndarray, capacity: float) -> np.ndarray
 
 
 def _linked_rows(rows: DataFrame, total: int, shards: int) -> tuple[DataFrame, DataFrame, DataFrame, list]:
-    """(rows of large groups, rows of small groups, single rows, (key, rows, bytes) of each large group)."""
+    """(rows of groups above a shard, rows of the other groups, single rows, (key, rows, bytes) of each group above a shard)."""
     groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1")
     groups = staged(groups.withColumnsRenamed({"key": "_key", "n": "_n", "bytes": "_bytes"}), "shard-groups")
     both = staged(rows.join(groups, F.col("key") == F.col("_key"), "left").drop("_key"), "shard-linked")
-    large = F.col("_bytes") > max(1, total // (shards * FINE))
-    # fewer than shards * FINE groups
+    large = F.col("_bytes") > max(1, total // shards)
+    # fewer groups than shards
     found = [tuple(r) for r in groups.where(large).select("_key", "_n", "_bytes").collect()]
     parts = [both.where(c).drop("_n", "_bytes") for c in (large, ~large, F.col("_n").isNull())]
     return *parts, found
@@ -206,7 +204,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS,
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     large, small, single, groups = _linked_rows(rows, total, shards)
     parts, loads = place_groups(groups, shards, total / shards)
-    small = staged(_pour(small, loads, n, ["key", "rid"]), "shard-state")
+    small = staged(_pour(small, loads, n, ["rid"]), "shard-state")  # by hash: this start does not know the keys
     small = propagate(small, loads, total / shards)
     state = _place_large(large, n, parts).unionByName(small)
     for r in small.groupBy("shard").agg(F.sum("size").alias("w")).collect():
