@@ -124,6 +124,18 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op5_embedding_dedup": """
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+  where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u as (select *, sqrt(list_dot_product(e, e)) as norm from v),
+l as (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+      where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+r as (select vec_id as id, vec_id as reached from embeddings union select r.id, l.b from r join l on l.a = r.reached),
+c as (select id, min(reached) as component_id from r group by id),
+n as (select a as id, count(*) as n_links from l group by a)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from embeddings left join c on c.id = vec_id left join n on n.id = vec_id""",
     "op9_mix": r"""
 with d as (select doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) as key,
                   cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
