@@ -4,7 +4,12 @@ A license template is looked for around seeds. With a coverage of at least
 0.8 asked for, a fifth of a template's words may be missing, so a match holds
 at least one of any fifth-and-one-more of its words; the longest words of the
 template serve as these seeds, which loses nothing. Around each seed
-occurrence a window of the template's length (and some slack) is aligned:
+occurrence a window of the template's length (and some slack) is aligned.
+Where that gives no match, or one without a run of words at the template's
+beginning or end, a wide window is aligned, too, which holds the template with
+as many inserted words as it has itself, wherever they stand (``SPREAD``).
+Windows that hold too few of the template's words, counted with repeats while
+they slide along the text, are left out:
 
 * words that occur once in the window and once in the template are anchors;
 * the longest increasing subsequence of the anchors' places is kept;
@@ -35,6 +40,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COVERAGE = 0.8
+SLACK = 0.25   # of a template's words, on both sides of the window around a seed
+SPREAD = 1.0   # inserted words that a match may hold, as a share of its template's words
+EDGE = 1       # words that a match may lack at its template's beginning or end before a wide window is tried
 _WORD = re.compile(r"[^\W_]+")
 
 # Public license notices, as their licenses word them.
@@ -63,6 +71,14 @@ TEMPLATES = {
         "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
         "GNU General Public License for more details."),
     "GPL-3.0 (short)": "This work is licensed under the GNU General Public License, version 3.",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
+        "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
@@ -70,6 +86,17 @@ TEMPLATES = {
         "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."),
+    "MIT (with warranty)": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+        "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     "MIT (short)": "Released under the MIT License.",
 }
 
@@ -127,8 +154,8 @@ def align(template: list[str], text: list[str]) -> list[tuple[int, int]]:
 class Scanner:
     """Finds templates in texts."""
 
-    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
-        self.coverage = coverage
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE, spread: float = SPREAD):
+        self.coverage, self.spread = coverage, spread
         self.templates = {k: w for k, v in sorted(templates.items()) if (w := words_of(v))}
         self.seeds: dict[str, list[tuple[str, int]]] = {}
         for name, words in self.templates.items():
@@ -150,22 +177,52 @@ class Scanner:
         share = len(pairs) / len(template)
         return (lo + pairs[0][1], lo + pairs[-1][1] + 1, name, share, len(pairs)) if share >= self.coverage else None
 
+    def _windows(self, name: str, spans: list[tuple[int, int]], words: list[str]) -> Iterator[tuple[int, int]]:
+        """Of ascending spans of words, those that hold enough of the template's words."""
+        n, wanted = len(self.templates[name]), Counter(self.templates[name])
+        held, common, left, right = Counter(), 0, 0, 0
+        for lo, hi in spans:
+            lo, hi = max(0, lo), min(len(words), hi)
+            if lo >= right:
+                held, common, left, right = Counter(), 0, lo, lo
+            for word in words[right:hi]:
+                held[word] += 1
+                common += held[word] <= wanted[word]
+            for word in words[left:lo]:
+                common -= held[word] <= wanted[word]
+                held[word] -= 1
+            left, right = lo, hi
+            if common >= self.coverage * n - 1e-9:
+                yield lo, hi
+
+    def _found(self, name: str, begins: list[int], words: list[str]) -> Iterator[tuple[int, int, str, float, int]]:
+        """Matches of a template, from the places where its seeds say that it may begin."""
+        n = len(self.templates[name])
+        slack, whole = int(SLACK * n) + 1, []
+        for lo, hi in self._windows(name, [(b - slack, b + n + slack) for b in begins], words):
+            if m := self._within(name, words, lo, hi):
+                yield m
+                pairs = align(self.templates[name], words[m[0]:m[1]])
+                if pairs[0][0] <= EDGE and pairs[-1][0] >= n - 1 - EDGE:
+                    whole.append(m[0])
+        # wide windows at steps, each for all the places in its step, so that their number is bounded by the text
+        step, wide = max(1, n // 4), int(self.spread * n) + 1
+        spans = [(b - wide, b + step + n + wide) for b in sorted({b // step * step for b in begins})]
+        for lo, hi in self._windows(name, spans, words):
+            k = bisect_left(whole, lo)
+            if (k == len(whole) or whole[k] >= hi) and (m := self._within(name, words, lo, hi)):
+                yield m
+
     def matches(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, first word, word after the last), by place."""
         words = words_of(text)
         found: set[tuple[int, int, str, float, int]] = set()
-        tried: set[tuple[str, int]] = set()
+        begins: dict[str, set[int]] = {}
         for at, word in enumerate(words):
             for name, i in self.seeds.get(word, ()):
-                template = self.templates[name]
-                begin = at - i
-                if (name, begin) in tried:
-                    continue
-                tried.add((name, begin))
-                slack = len(template) // 4 + 1
-                lo, hi = max(0, begin - slack), min(len(words), begin + len(template) + slack)
-                if m := self._within(name, words, lo, hi):
-                    found.add(m)
+                begins.setdefault(name, set()).add(at - i)
+        for name, places in begins.items():
+            found.update(self._found(name, sorted(places), words))
 
         def ranked(m: tuple[int, int, str, float, int]) -> tuple:
             lo, hi, name, share, n = m

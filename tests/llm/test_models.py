@@ -252,3 +252,31 @@ def test_seeds_lose_no_match():
     for name, words in scanner.templates.items():
         seeds = [i for w in scanner.seeds.values() for n, i in w if n == name]
         assert len(seeds) > (1 - scanner.coverage) * len(words) - 1e-9
+
+
+def test_inserted_words_up_to_the_length_of_the_notice():
+    """Wherever they stand, the notice is found with nearly all its words, and with no more of the text than it spans."""
+    scanner = Scanner(TEMPLATES)
+    for name in ("GPL-3.0", "MIT", "Apache-2.0", "ISC", "MIT (with warranty)"):
+        words = TEMPLATES[name].split()
+        for n in (1, 20, 40, 60, len(words) - 10):
+            for cut in (len(words) // 4, len(words) // 2, 3 * len(words) // 4):
+                text = ["pre"] * 40 + words[:cut] + ["zzz"] * n + words[cut:] + ["post"] * 40
+                (m,) = scanner.matches(" ".join(text))
+                assert m[0] == name and m[1] >= 0.98, (name, n, cut, m)
+                assert 38 <= m[3] <= 43 and len(words_of(" ".join(text))) - 43 <= m[4] <= len(words_of(" ".join(text))) - 38
+    # far more inserted words than the notice has: no match
+    half = TEMPLATES["MIT"].split()
+    assert scanner.matches(" ".join(half[:40] + ["zzz"] * 400 + half[40:])) == []
+
+
+def test_notices_back_to_back_are_all_found():
+    got = Scanner(TEMPLATES).matches((TEMPLATES["MIT"] + " ") * 30)
+    assert [m[0] for m in got] == ["MIT"] * 30 and all(m[1] == 1 for m in got)
+
+
+def test_repeated_template_words_cost_little():
+    import time
+    start = time.time()
+    assert Scanner(TEMPLATES).matches("license software " * 60_000) == []
+    assert time.time() - start < 15

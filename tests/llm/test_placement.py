@@ -202,3 +202,17 @@ def test_quotas_never_overfill():
         x = quotas(wishes, loads, 1200.0)
         after = loads + x.sum(0) - x.sum(1)
         assert (x <= wishes).all() and (after <= np.maximum(1200, loads) + n + 1).all()
+
+
+def test_groups_are_gathered_from_a_start_that_does_not_know_them(spark, documents):
+    """Kept links against the most that any placement keeps: all of them, as no group here exceeds a shard."""
+    from itertools import combinations
+    rows = [(i, f"text {i % 40} " * 3) for i in range(200)] + [(1000 + i, f"alone {i} " * 5) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = {r.doc_id: r.shard for r in balanced_shards(docs, 8).collect()}
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t, []).append(i)
+    links = [p for g in groups.values() for p in combinations(g, 2)]
+    kept = sum(out[a] == out[b] for a, b in links)
+    assert len(links) == 400 and kept >= 0.98 * len(links), kept
