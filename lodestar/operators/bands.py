@@ -43,6 +43,31 @@ def export_swir(pixels: DataFrame, keys: Sequence[str] = ("scene", "x", "y")) ->
     return select_bands(pixels, SWIR_BANDS, keys)
 
 
+def vnir_blocks(vnir: DataFrame, factor: int = 2, scene: str = "scene", x: str = "x", y: str = "y",
+                px: str = "px", py: str = "py", acq: str = "acq") -> DataFrame:
+    """VNIR pixels averaged into ``factor x factor`` blocks, with their number ``n`` and latest acquisition time."""
+    times = [F.max(acq).alias(acq)] if acq in vnir.columns else []
+    vbands = _present(vnir, VNIR_BANDS)
+    f = F.lit(float(factor))
+    return (vnir.select(scene, F.floor(F.col(x) / f).cast("bigint").alias(px), F.floor(F.col(y) / f).cast("bigint").alias(py),
+                        *vbands, *([acq] if times else []))
+            .groupBy(scene, px, py)
+            .agg(*[F.avg(b).alias(b) for b in vbands], F.count(F.lit(1)).alias("n"), *times))
+
+
+def unpaired_blocks(vnir: DataFrame, swir: DataFrame, factor: int = 2, scene: str = "scene", x: str = "x", y: str = "y",
+                    px: str = "px", py: str = "py") -> DataFrame:
+    """Cells that :func:`coregister` cannot pair: ``scene, px, py, has`` (``vnir`` or ``swir``), one row per cell.
+
+    Cells with a NULL in their key never pair and are listed on each side.
+    """
+    blocks = vnir_blocks(vnir, factor, scene, x, y, px, py).select(scene, px, py, F.lit(True).alias("_vnir"))
+    cells = swir.select(scene, px, py).distinct().withColumn("_swir", F.lit(True))
+    both = blocks.join(cells, [scene, px, py], "full")
+    return both.filter(F.col("_vnir").isNull() | F.col("_swir").isNull()).select(
+        scene, px, py, F.when(F.col("_vnir").isNull(), F.lit("swir")).otherwise(F.lit("vnir")).alias("has"))
+
+
 def coregister(vnir: DataFrame, swir: DataFrame, factor: int = 2,
                scene: str = "scene", x: str = "x", y: str = "y",
                px: str = "px", py: str = "py", acq: str = "acq",
@@ -54,17 +79,10 @@ def coregister(vnir: DataFrame, swir: DataFrame, factor: int = 2,
     aggregate is already hash-partitioned on the join keys, so only the SWIR
     side is shuffled for the join. The latest acquisition time of a block
     is carried if VNIR has one; with ``res`` (map units of a fine cell) the
-    block's centre is added as ``x, y``, so the result can be mapped.
+    block's centre is added as ``x, y``, so the result can be mapped. Blocks and
+    cells without a partner are left out; :func:`unpaired_blocks` lists them.
     """
-    times = [F.max(acq).alias(acq)] if acq in vnir.columns else []
-    vbands = _present(vnir, VNIR_BANDS)
-    f = F.lit(float(factor))
-    blocks = (vnir.select(scene,
-                          F.floor(F.col(x) / f).cast("bigint").alias(px),
-                          F.floor(F.col(y) / f).cast("bigint").alias(py), *vbands,
-                          *([acq] if times else []))
-              .groupBy(scene, px, py)
-              .agg(*[F.avg(b).alias(b) for b in vbands], F.count(F.lit(1)).alias("n"), *times))
+    blocks = vnir_blocks(vnir, factor, scene, x, y, px, py, acq)
     sbands = [c for c in swir.columns if c not in (scene, px, py)]
     both = blocks.join(swir.select(scene, px, py, *sbands), [scene, px, py], "inner")
     if res is None:

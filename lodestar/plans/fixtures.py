@@ -53,6 +53,13 @@ def catalog_lines(table: Reader) -> DataFrame:
     return table("orders").select(k.alias("line_id"), line.alias("line"))
 
 
+def scene_entries(table: Reader) -> DataFrame:
+    """``o_orderkey, scene_file``: orders dealt to scene files by month; every fifth month's suffix is upper-case."""
+    month = F.date_format("o_orderdate", "yyyyMM")
+    suffix = F.when(month.cast("int") % 5 == 0, F.lit(".HDF")).otherwise(F.lit(".hdf"))
+    return table("orders").select("o_orderkey", F.concat(F.lit("AST_"), month, suffix).alias("scene_file"))
+
+
 def keyed_lines(table: Reader) -> DataFrame:
     """``catalog_lines`` plus second copies of some lines: identical ones (every 7th order) and
     ones with another level but the same image (every 11th). ``image_id`` is the image of the

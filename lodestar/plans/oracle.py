@@ -478,9 +478,13 @@ select scene, minx || ' ' || maxx || ' ' || miny || ' ' || maxy as plain_text,
     "mosaic_fill_mean": f"{obs_map(agg='avg(v)')}\nselect gx, gy, frame_row, frame_col, cell_row, cell_col, round(v, 9) as v, n from mosaic",
     "row_count": f"with {LINES} select count(*) as n from lines",
     "partition_counts": f"with {LINES} select cast(count(*) as bigint) as n, true as once_each from lines",
-    "scene_listing": "select unnest([" + ", ".join(f"'{t}.parquet'" for t in (
-        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-        "embeddings", "pages", "benchmark", "labels", "conversations")) + "]) as name",
+    "scene_listing": """select distinct 'scene_file=AST_' || strftime(o_orderdate, '%Y%m') || '.hdf' as name from orders
+where cast(strftime(o_orderdate, '%Y%m') as int) % 5 <> 0""",
+    "unpaired_blocks": f"""with {VNIR}, {SWIR},
+v as (select distinct scene, cast(floor(x / 2.0::DOUBLE) as bigint) as px, cast(floor(y / 2.0::DOUBLE) as bigint) as py from vnir where x % 7 > 1),
+s as (select scene, px, py from swir where py % 5 > 0)
+select *, 'vnir' as has from (select * from v except select * from s)
+union all select *, 'swir' as has from (select * from s except select * from v)""",
     "sum_reduce": f"""{_dec()}
 select count(*) as attempted, count(error) as rejected, count(case when error is null then 1 end) as accepted from dec""",
     "jdbc_append": f"{_dec()}\nselect {STORED}, line_id from dec where error is null",

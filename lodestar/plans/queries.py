@@ -14,7 +14,7 @@ from lodestar.functions import decode as D
 from lodestar.functions import strings as S
 from lodestar.functions.crs import projection_of
 from lodestar.functions.raster import TransverseMercator, normalized_difference, project_utm
-from lodestar.operators.bands import apply_index, coregister, export_swir, export_vnir
+from lodestar.operators.bands import apply_index, coregister, export_swir, export_vnir, unpaired_blocks
 from lodestar.operators.counts import partition_counts, row_count, sum_counts
 from lodestar.operators.extent import extent_error, extent_format, extent_union, parse_extent, scene_extent
 from lodestar.operators.grid import (GridSpec, empty_frames, frame_grid, frame_index,
@@ -72,8 +72,10 @@ def catalog_scan_q(spark, sf_dir):
 
 
 def scene_listing_q(spark, sf_dir):
-    """The tables of the data folder."""
-    return scene_listing(spark, sf_dir, suffix=".parquet").select("name")
+    """Scene entries of a folder written from the order table; those whose suffix has other letters are not listed."""
+    path = unique_dir(spark, "scenes")
+    X.scene_entries(_t(spark, sf_dir)).write.partitionBy("scene_file").parquet(path)
+    return scene_listing(spark, path).select("name")
 
 
 # ---- split and decode ----------------------------------------------------
@@ -239,6 +241,12 @@ def coregister_q(spark, sf_dir):
         "scene", "px", "py", "acq", "b2", "b3", "n", "b4", "b6")
 
 
+def unpaired_blocks_q(spark, sf_dir):
+    """Blocks and cells without a partner: VNIR lacks every 7th part, SWIR every 5th supplier pair."""
+    t = _t(spark, sf_dir)
+    return unpaired_blocks(X.vnir_pixels(t).filter(F.col("x") % 7 > 1), X.swir_pixels(t).filter(F.col("py") % 5 > 0))
+
+
 def argillic_index_q(spark, sf_dir):
     return apply_index(X.observations_nodata(_t(spark, sf_dir)), keep=OBS_KEYS)
 
@@ -527,6 +535,7 @@ QUERIES = {
     "export_vnir": export_vnir_q,
     "export_swir": export_swir_q,
     "coregister": coregister_q,
+    "unpaired_blocks": unpaired_blocks_q,
     "argillic_index": argillic_index_q,
     # geometry / grid
     "project_utm": project_utm_q,

@@ -7,7 +7,8 @@ import __spark_entry__ as E
 from lodestar.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SKIP_BUILD = {"catalog_scan", "scene_listing", "frame_sink", "load_catalog"}  # write files when built
+SKIP_BUILD = {"catalog_scan", "scene_listing", "frame_sink", "load_catalog", "frame_sink_dense", "mosaic_incremental",
+              "extent_from_files"}  # write files when built
 
 
 def _plan(df):
