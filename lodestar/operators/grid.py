@@ -285,7 +285,9 @@ def pixel_footprint(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridS
     placed = placed.withColumn("gy", F.explode(F.sequence(F.floor("_a").cast("int"), (F.ceil("_b") - 1).cast("int"))))
     share = ((F.least(F.col("_r"), F.col("gx") + F.lit(1.0)) - F.greatest(F.col("_l"), F.col("gx").cast("double")))
              * (F.least(F.col("_b"), F.col("gy") + F.lit(1.0)) - F.greatest(F.col("_a"), F.col("gy").cast("double"))))
-    return placed.withColumn("weight", share).drop("_l", "_r", "_a", "_b").withColumns(cell_of(spec))
+    # what rounding leaves beyond a cell's edge is no cover
+    placed = placed.withColumn("weight", share).filter(F.col("weight") > 1e-9)
+    return placed.drop("_l", "_r", "_a", "_b").withColumns(cell_of(spec))
 
 
 def cell_of(spec: GridSpec = GridSpec(), gx: str = "gx", gy: str = "gy") -> dict[str, Column]:

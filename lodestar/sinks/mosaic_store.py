@@ -8,8 +8,8 @@ not added again.
 
 Layout under the store's path (any file system Spark writes to):
 
-* ``states/<token>``: the states of the frames that one addition wrote;
-* ``frames/<token>``, ``scenes/<token>``: which frames and scenes these are;
+* ``states/token=<token>``: the states of the frames that one addition wrote;
+* ``frames/token=<token>``, ``scenes/token=<token>``: which frames and scenes these are;
 * ``commits/<version>``: a small file that names the token. It is created
   last and only if it does not exist, so an addition counts entirely or not at
   all, and two writers never take the same version.
@@ -96,14 +96,15 @@ class MosaicStore:
     # ---- reading ------------------------------------------------------------
 
     def _all(self, kind: str, tokens: Sequence[str | None]) -> DataFrame | None:
-        """Rows of one kind of the tokens' tables, with ``_version``."""
-        out = None
-        for version, token in enumerate(tokens):
-            if token is None:
-                continue
-            part = self.spark.read.parquet(f"{self.path}/{kind}/{token}").withColumn("_version", F.lit(version))
-            out = part if out is None else out.unionByName(part)
-        return out
+        """Rows of one kind of the tokens' tables, with ``_version``: one scan, whatever the number of additions."""
+        live = [(token, version) for version, token in enumerate(tokens) if token is not None]
+        if not live:
+            return None
+        rows = self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(
+            *[f"{self.path}/{kind}/token={token}" for token, _ in live])
+        # one narrow row per addition, which the driver lists already
+        versions = self.spark.createDataFrame(live, "token string, _version int")
+        return rows.join(F.broadcast(versions), "token").drop("token")
 
     def scenes(self) -> DataFrame | None:
         """Stored scenes with their content (pixels and a hash); None for an empty store."""
@@ -142,7 +143,7 @@ class MosaicStore:
         tokens = self.commits()
         content = F.sum(F.xxhash64("gx", "gy", self.value, *self.order).cast("decimal(38,0)")).cast("string")
         seen = placed.groupBy(F.col(self.scene).alias("scene")).agg(F.count("*").alias("pixels"), content.alias("content"))
-        token = os.urandom(8).hex()
+        token = "t" + os.urandom(8).hex()  # a letter first: the value of a partition folder stays text
         stored = self._all("scenes", tokens)
         if stored is not None:
             old = stored.select(F.col("scene").alias("_s"), F.col("pixels").alias("_p"), F.col("content").alias("_c"))
@@ -152,20 +153,20 @@ class MosaicStore:
             is_new = (F.when(F.col("_p").isNull(), F.lit(True)).when(differs, F.raise_error(other).cast("boolean"))
                       .otherwise(F.lit(False)))
             seen = seen.join(old, same, "left").filter(is_new).drop("_s", "_p", "_c")
-        seen.write.parquet(f"{self.path}/scenes/{token}")
-        new = self.spark.read.parquet(f"{self.path}/scenes/{token}")
+        seen.write.parquet(f"{self.path}/scenes/token={token}")
+        new = self.spark.read.parquet(f"{self.path}/scenes/token={token}")
         if new.isEmpty():
             return None
         fresh = placed.join(new.select(F.col("scene").alias("_s")), F.col(self.scene).eqNullSafe(F.col("_s")), "left_semi")
         states = cell_states(fresh, self.policy, self.spec, self.value)
-        states.write.parquet(f"{self.path}/added/{token}")
-        added = self.spark.read.parquet(f"{self.path}/added/{token}")
-        added.select(*FRAME_KEYS).distinct().write.parquet(f"{self.path}/frames/{token}")
-        frames = self.spark.read.parquet(f"{self.path}/frames/{token}")
+        states.write.parquet(f"{self.path}/added/token={token}")
+        added = self.spark.read.parquet(f"{self.path}/added/token={token}")
+        added.select(*FRAME_KEYS).distinct().write.parquet(f"{self.path}/frames/token={token}")
+        frames = self.spark.read.parquet(f"{self.path}/frames/token={token}")
         before = self.states(tokens, of=frames)
         both = added if before is None else added.unionByName(before)
         (merged_states(both, self.policy, self.spec).sortWithinPartitions(*FRAME_KEYS, "cell_row", "cell_col")
-         .write.parquet(f"{self.path}/states/{token}"))
+         .write.parquet(f"{self.path}/states/token={token}"))
         version = len(tokens)
         while not self._commit(version, token):
             self._check(self.commits()[version], frames, new)
@@ -176,9 +177,9 @@ class MosaicStore:
         """Refuse if the addition ``other`` changed some of these frames or holds some of these scenes."""
         if other is None:
             raise CommitConflict("another addition is being committed; add the scenes again")
-        theirs = self.spark.read.parquet(f"{self.path}/frames/{other}")
+        theirs = self.spark.read.parquet(f"{self.path}/frames/token={other}")
         if not theirs.join(frames, list(FRAME_KEYS), "left_semi").isEmpty():
             raise CommitConflict(f"addition {other} changed the same frames meanwhile; add the scenes again")
-        theirs = self.spark.read.parquet(f"{self.path}/scenes/{other}").select(F.col("scene").alias("_s"))
+        theirs = self.spark.read.parquet(f"{self.path}/scenes/token={other}").select(F.col("scene").alias("_s"))
         if not theirs.join(scenes, F.col("scene").eqNullSafe(F.col("_s")), "left_semi").isEmpty():
             raise CommitConflict(f"addition {other} holds the same scenes; add the scenes again")

@@ -69,7 +69,7 @@ def test_untouched_frames_are_not_written_again(spark, extent, tmp_path):
     touched = {(r.frame_row, r.frame_col) for r in part(placed, 4).select("frame_row", "frame_col").distinct().collect()}
     versions = {(r.frame_row, r.frame_col): r.version for r in store.frame_versions().collect()}
     assert {f for f, v in versions.items() if v == 1} <= touched and any(v == 0 for v in versions.values())
-    written = {(r.frame_row, r.frame_col) for r in spark.read.parquet(f"{store.path}/states/{store.commits()[1]}").collect()}
+    written = {(r.frame_row, r.frame_col) for r in spark.read.parquet(f"{store.path}/states/token={store.commits()[1]}").collect()}
     assert written <= touched
     assert all(os.path.getmtime(f) == t for f, t in files.items()) and store.commits()[0] == first
 
