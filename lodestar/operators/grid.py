@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lodestar.session import shuffle_width
 
 FRAME_KEYS = ("frame_row", "frame_col")
+FRAME_RUN = 1024  # frames that are listed together
 
 
 @dataclass(frozen=True)
@@ -88,13 +89,18 @@ def frame_grid(extent: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
     with the covered area, never with the number of pixels.
     """
     fw, fh = F.lit(spec.frame_w), F.lit(spec.frame_h)
-    shape = grid_shape(extent, spec)
-    cols = shape.select(
-        "minx", "maxy", "n_frame_rows",
-        F.explode(F.sequence(F.lit(0), F.col("n_frame_cols") - 1)).alias("frame_col"))
-    frames = cols.select(
-        "minx", "maxy", "frame_col",
-        F.explode(F.sequence(F.lit(0), F.col("n_frame_rows") - 1)).alias("frame_row"))
+    # the one-row extent lists runs of frames; spread, they list their frames on every core
+    shape = grid_shape(extent, spec).withColumn(
+        "_n", F.col("n_frame_cols").cast("bigint") * F.col("n_frame_rows"))
+    runs = shape.select(
+        "minx", "maxy", "n_frame_cols", "_n",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(FRAME_RUN)))).alias("_run"))
+    first = F.col("_run") * FRAME_RUN
+    runs = runs.repartition(shuffle_width(extent.sparkSession), "_run").select(
+        "minx", "maxy", "n_frame_cols",
+        F.explode(F.sequence(first, F.least(first + FRAME_RUN, F.col("_n")) - 1)).alias("_at"))
+    frames = runs.select("minx", "maxy", (F.col("_at") % F.col("n_frame_cols")).cast("int").alias("frame_col"),
+                         F.expr("_at div n_frame_cols").cast("int").alias("frame_row"))
     return frames.select(
         "frame_row", "frame_col",
         frame_name().alias("name"),
@@ -140,9 +146,13 @@ def frame_index(frames: DataFrame, directory: str = "", suffix: str = ".TIF") ->
 
 # Boxes of frames are covered by square cells of 2^level frames a side, at most 2^MAX_LEVEL.
 MAX_LEVEL = 20
+# Scenes meet frames in blocks of 2^BLOCK_LEVEL frames a side; a cell of blocks lists at most 4^COVER_LEVEL of them.
+BLOCK_LEVEL = 3
+COVER_LEVEL = 5
 
 
-def box_cover(boxes: DataFrame, c_lo: Column, c_hi: Column, r_lo: Column, r_hi: Column) -> DataFrame:
+def box_cover(boxes: DataFrame, c_lo: Column, c_hi: Column, r_lo: Column, r_hi: Column,
+              max_level: int = MAX_LEVEL) -> DataFrame:
     """Cover each box of frames (inclusive ranges) by cells ``level, cell_row, cell_col`` that don't overlap.
 
     A cell of level L has 2^L frames a side. A box takes the cells of a level
@@ -157,7 +167,7 @@ def box_cover(boxes: DataFrame, c_lo: Column, c_hi: Column, r_lo: Column, r_hi:
     spans = boxes.withColumns({"_cl": c_lo, "_ch": c_hi, "_rl": r_lo, "_rh": r_hi}).filter(
         (F.col("_cl") <= F.col("_ch")) & (F.col("_rl") <= F.col("_rh")))
     longest = F.greatest(F.least(F.col("_ch") - F.col("_cl"), F.col("_rh") - F.col("_rl")) + 1, F.lit(1))
-    top = F.least(F.lit(MAX_LEVEL), F.floor(F.log2(longest.cast("double"))).cast("int"))
+    top = F.least(F.lit(max_level), F.floor(F.log2(longest.cast("double"))).cast("int"))
     spans = spans.withColumn("_top", top).withColumn("level", F.explode(F.sequence(F.lit(0), F.col("_top"))))
     level = F.col("level")
     here = [*inside(F.col("_cl"), F.col("_ch"), level), *inside(F.col("_rl"), F.col("_rh"), level)]
@@ -185,10 +195,12 @@ def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFr
 
     Instead of a theta join (a nested loop over scenes x frames), the range
     of frames that a scene's box can reach -- widened by one frame against
-    rounding -- is covered by cells of several levels (:func:`box_cover`).
-    Each frame is listed once per level, and an equi-join on the cell finds
-    the pairs; the exact box test then filters. A scene over millions of frames
-    sends rows in the size of its border, and the pairs come out of the join.
+    rounding -- is put in blocks of 2^BLOCK_LEVEL frames a side. These are covered
+    by cells of several levels (:func:`box_cover`), which are spread and list their
+    blocks. Each frame is listed once, in its block; an equi-join on the block,
+    finds the pairs and the exact box test then filters. A scene over
+    millions of frames sends one row per block, from every core. Spark cannot
+    see how many frames an extent makes, so the join is never a broadcast.
     """
     fw, fh = F.lit(spec.frame_w), F.lit(spec.frame_h)
     g = grid_scalar(extent, spec)
@@ -199,17 +211,23 @@ def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFr
     c_hi = F.least(F.col("n_frame_cols") - 1, F.ceil((F.col("s_maxx") - F.col("_gx0")) / fw).cast("int"))
     r_lo = F.greatest(F.lit(0), F.floor((F.col("_gy0") - F.col("s_maxy")) / fh).cast("int") - 1)
     r_hi = F.least(F.col("n_frame_rows") - 1, F.ceil((F.col("_gy0") - F.col("s_miny")) / fh).cast("int"))
-    cells = box_cover(s, c_lo, c_hi, r_lo, r_hi).select(scene, "s_minx", "s_maxx", "s_miny", "s_maxy",
-                                                        "level", "cell_row", "cell_col")
+    s = s.withColumns({"c_lo": c_lo, "c_hi": c_hi, "r_lo": r_lo, "r_hi": r_hi}).filter("c_lo <= c_hi and r_lo <= r_hi")
+
+    def block(c: str) -> Column:
+        return F.shiftright(c, BLOCK_LEVEL)
+
+    cells = box_cover(s, block("c_lo"), block("c_hi"), block("r_lo"), block("r_hi"), COVER_LEVEL)
+    cells = cells.repartition(shuffle_width(scene_extents.sparkSession), "level", "cell_row", "cell_col")
+    for c in ("cell_row", "cell_col"):
+        start = F.call_function("shiftleft", F.col(c), F.col("level"))
+        side = F.call_function("shiftleft", F.lit(1), F.col("level"))
+        cells = cells.withColumn(c.replace("cell", "block"), F.explode(F.sequence(start, start + side - 1)))
+    cells = cells.select(scene, "s_minx", "s_maxx", "s_miny", "s_maxy", "block_row", "block_col")
     f = frames.select("frame_row", "frame_col", "name", *[F.col(c).alias("f_" + c) for c in ("minx", "maxx", "miny", "maxy")])
-    side = F.greatest(g.getField("n_frame_cols"), g.getField("n_frame_rows"))
-    levels = F.least(F.lit(MAX_LEVEL), F.floor(F.log2(side.cast("double"))).cast("int"))
-    f = f.withColumn("level", F.explode(F.sequence(F.lit(0), levels)))
-    f = f.withColumns({"cell_row": F.call_function("shiftright", F.col("frame_row"), F.col("level")),
-                       "cell_col": F.call_function("shiftright", F.col("frame_col"), F.col("level"))})
+    f = f.withColumns({"block_row": block("frame_row"), "block_col": block("frame_col")})
     hit = ((F.col("s_minx") < F.col("f_maxx")) & (F.col("s_maxx") > F.col("f_minx"))
            & (F.col("s_miny") < F.col("f_maxy")) & (F.col("s_maxy") > F.col("f_miny")))
-    return cells.join(f, ["level", "cell_row", "cell_col"]).filter(hit).select(scene, "frame_row", "frame_col", "name")
+    return cells.hint("merge").join(f, ["block_row", "block_col"]).filter(hit).select(scene, "frame_row", "frame_col", "name")
 
 
 def _inside(g: Column, px: Column, py: Column) -> Column:
