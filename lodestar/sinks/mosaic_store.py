@@ -123,7 +123,8 @@ class MosaicStore:
             return None
         if of is not None:
             live = live.join(of.select(*FRAME_KEYS), list(FRAME_KEYS), "left_semi")
-        live = live.withColumnRenamed("version", "_version")
+        # one narrow row per frame, far fewer than cells: broadcast, so that no state is dealt anew
+        live = F.broadcast(live.withColumnRenamed("version", "_version"))
         return self._all("states", tokens).join(live, [*FRAME_KEYS, "_version"], "left_semi").drop("_version")
 
     def mosaic(self) -> DataFrame | None:
