@@ -21,6 +21,7 @@ from lodestar.session import shuffle_width
 
 FRAME_KEYS = ("frame_row", "frame_col")
 FRAME_RUN = 1024  # frames that are listed together
+FOOTPRINT_BLOCK = 32  # side in cells of the neighbourhoods in which footprints are listed
 
 
 @dataclass(frozen=True)
@@ -284,7 +285,8 @@ def pixel_footprint(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridS
     a column), so pixels larger than a cell leave no hole and smaller ones
     count by their area. Parts beyond the extent are cut off; ``outside`` is for
     centres outside it, as in :func:`pixel_to_frame`. A side that is not
-    positive covers nothing. Adds ``gx, gy``, frame, cell in frame and ``weight``.
+    positive covers nothing. Adds ``gx, gy``, frame, cell in frame, ``weight`` and
+    the cell's neighbourhood ``near_x, near_y``, by which the rows are dealt.
     """
     res = F.lit(float(spec.res))
     g = grid_scalar(extent, spec)
@@ -298,9 +300,16 @@ def pixel_footprint(pixels: DataFrame, extent: DataFrame, spec: GridSpec = GridS
     placed = placed.withColumns({"_l": F.greatest(F.lit(0.0), left), "_r": F.least(wide, right),
                                  "_a": F.greatest(F.lit(0.0), above), "_b": F.least(high, below)})
     placed = placed.filter((F.col("_l") < F.col("_r")) & (F.col("_a") < F.col("_b")))
-    cells = F.sequence(F.floor("_l").cast("int"), (F.ceil("_r") - 1).cast("int"))
-    placed = placed.withColumn("gx", F.explode(cells))
-    placed = placed.withColumn("gy", F.explode(F.sequence(F.floor("_a").cast("int"), (F.ceil("_b") - 1).cast("int"))))
+    # a pixel goes to each neighbourhood it touches and becomes cells there: an aggregate by neighbourhood
+    # and cell needs no further exchange, so pixels are dealt, not the many cells that they cover
+    columns = F.floor("_l").cast("int"), (F.ceil("_r") - 1).cast("int")
+    rows = F.floor("_a").cast("int"), (F.ceil("_b") - 1).cast("int")
+    for at, (lo, hi) in (("near_x", columns), ("near_y", rows)):
+        placed = placed.withColumn(at, F.explode(F.sequence(*[F.floor(c / F.lit(FOOTPRINT_BLOCK)).cast("int") for c in (lo, hi)])))
+    placed = placed.repartition(shuffle_width(pixels.sparkSession), "near_x", "near_y")
+    for at, near, (lo, hi) in (("gx", "near_x", columns), ("gy", "near_y", rows)):
+        start = F.col(near) * FOOTPRINT_BLOCK
+        placed = placed.withColumn(at, F.explode(F.sequence(F.greatest(lo, start), F.least(hi, start + FOOTPRINT_BLOCK - 1))))
     share = ((F.least(F.col("_r"), F.col("gx") + F.lit(1.0)) - F.greatest(F.col("_l"), F.col("gx").cast("double")))
              * (F.least(F.col("_b"), F.col("gy") + F.lit(1.0)) - F.greatest(F.col("_a"), F.col("gy").cast("double"))))
     # what rounding leaves beyond a cell's edge is no cover
