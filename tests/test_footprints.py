@@ -211,3 +211,17 @@ def test_nan_coordinates_are_not_written(spark, tmp_path):
     px = spark.createDataFrame([(0, float("nan"), 2.0, 1.0)], SCHEMA)
     with pytest.raises(Exception, match="NaN in x"):
         write_pixels(px, str(tmp_path / "p"))
+
+
+def test_footprints_are_dealt_as_pixels(spark):
+    """The mosaic's aggregate needs no exchange of the cells; a footprint over several neighbourhoods is whole."""
+    from lodestar.operators.mosaic import mosaic_fill, weighted_mean
+    ext = extent_df(spark, 0.0, 1000.0, 0.0, 1000.0)
+    spec = GridSpec(res=10.0, width=4, height=3)
+    pixels = spark.createDataFrame([(320.0, 680.0, 1.0), (320.0, 680.0, 3.0), (505.0, 505.0, 5.0)], "x double, y double, v double")
+    mosaic = mosaic_fill(pixel_footprint(pixels, ext, spec, 40.0), spec, weighted_mean("weight"))
+    got = {(r.gx, r.gy): (r.v, r.n) for r in mosaic.collect()}
+    assert {k for k, v in got.items() if v == (2.0, 2)} == {(x, y) for x in range(30, 34) for y in range(30, 34)}
+    assert sorted(v for v in got.values() if v[1] == 1) == [(5.0, 1)] * 25
+    plan = mosaic._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(near_x" in plan and "hashpartitioning(_cell" not in plan

@@ -180,3 +180,20 @@ def test_unknown_policies_are_refused():
         overlap_policy("median")
     with pytest.raises(ValueError):
         overlap_policy("latest")
+
+
+def test_reading_deals_no_state_anew(spark, extent, tmp_path):
+    """The list of live frames comes to the states; they cross no exchange to be read."""
+    placed = pixels(spark, extent, BOXES).cache()
+    store = new_store(spark, tmp_path, extent)
+    for scenes in ((1, 4), (2, 3)):
+        store.add(part(placed, *scenes))
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")  # as for tables above the threshold
+    try:
+        states = store.states()
+        assert "SortMergeJoin" not in states._jdf.queryExecution().executedPlan().toString()
+        assert rows(store.mosaic()) == rows(mosaic_fill(placed, SPEC, "latest", order=ORDER))
+    finally:
+        spark.conf.set(conf, old)
