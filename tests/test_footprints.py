@@ -106,7 +106,8 @@ def test_one_huge_scene_sends_few_rows(spark):
 def test_frames_are_dealt_once_and_never_broadcast(spark):
     """Spark takes an extent's frames for one row; a broadcast of them would pass them all through the driver."""
     from lodestar.operators.grid import frame_grid
-    ext = extent_df(spark, 0.0, 40 * 300.0, 0.0, 30 * 300.0)
+    from lodestar.operators.extent import extent_union
+    ext = extent_union(extent_df(spark, 0.0, 40 * 300.0, 0.0, 30 * 300.0))
     scenes = spark.createDataFrame([(1, 41.0, 11000.0, 31.0, 8000.0)], "scene int, minx double, maxx double, miny double, maxy double")
     frames = frame_grid(ext, SPEC)
     assert frames.rdd.getNumPartitions() > 1
