@@ -42,6 +42,7 @@ RUN = 12
 ROUNDS = 12
 SMOOTH = 0.5
 UNKNOWN = "und"
+BLOCK = 1 << 17  # characters worked on together; each takes about 200 bytes of arrays
 
 
 @lru_cache(maxsize=1)
@@ -82,7 +83,7 @@ def trigram_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for batch in batches:
             for name, part in batch.groupby("lang", sort=False)["text"]:
                 total = sums.setdefault(name, np.zeros(BUCKETS, np.int64))
-                for block in in_blocks(part.tolist()):
+                for block in in_blocks(part.tolist(), BLOCK):
                     total += np.bincount(_trigrams(block)[0], minlength=BUCKETS)
         for name, total in sums.items():
             seen = np.flatnonzero(total)
@@ -165,6 +166,12 @@ def mixtures(texts: list[str | None], logs: np.ndarray) -> np.ndarray:
     return mixture
 
 
+def blockwise(texts: list[str | None], logs: np.ndarray) -> Iterator[np.ndarray]:
+    """``mixtures`` of runs of the texts, each of about BLOCK characters."""
+    for block in in_blocks(texts, BLOCK):
+        yield mixtures(block, logs)
+
+
 def _main(mixture: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of the largest proportion or -1, that proportion) of each row."""
     score = mixture.max(axis=1, initial=0.0)
@@ -189,8 +196,7 @@ def language(text: Column, model: tuple[list[str], np.ndarray]) -> Column:
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             langs, scores, sets = [], [], []
-            for block in in_blocks([t if isinstance(t, str) else None for t in batch]):
-                mixture = mixtures(block, logs)
+            for mixture in blockwise([t if isinstance(t, str) else None for t in batch], logs):
                 best, score = _main(mixture)
                 langs += [names[b] if b >= 0 else UNKNOWN for b in best]
                 scores += score.tolist()

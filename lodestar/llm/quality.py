@@ -33,6 +33,7 @@ STEPS = 12_000      # training steps; a smaller sample is gone through more ofte
 RATE = 0.5
 FOLDS, HELD_OUT = 5, 0
 CUT = 0.3
+BLOCK = 1 << 17     # characters worked on together; each takes about 200 bytes of arrays
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -137,7 +138,7 @@ class SubwordModel:
 def logits(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndarray:
     """Log-odds of label 1 for each text: the features' mean weight, and the bias."""
     out = []
-    for block in in_blocks(texts):
+    for block in in_blocks(texts, BLOCK):
         ids, owner, repeated = features(block)
         total = np.bincount(owner, weights[ids], minlength=len(block)) + repeated * weights[REPEAT].sum(dtype=np.float64)
         count = np.bincount(owner, minlength=len(block)) + repeated * len(REPEAT)

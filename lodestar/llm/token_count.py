@@ -357,13 +357,13 @@ def segments_of(texts: list[str | None], specials: list[str]) -> tuple[list[str]
     return parts, np.asarray(owner, np.int64), found
 
 
-def in_blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Runs of texts of about BLOCK characters together (a longer one alone)."""
+def in_blocks(texts: list[str | None], block: int = BLOCK) -> Iterator[list[str | None]]:
+    """Runs of texts of about ``block`` characters together (a longer one alone)."""
     held, size = [], 0
     for t in texts:
         held.append(t)
         size += len(t or "") + 1
-        if size >= BLOCK:
+        if size >= block:
             yield held
             held, size = [], 0
     if held:

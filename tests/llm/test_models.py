@@ -1,5 +1,6 @@
 import json
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -280,3 +281,18 @@ def test_repeated_template_words_cost_little():
     start = time.time()
     assert Scanner(TEMPLATES).matches("license software " * 60_000) == []
     assert time.time() - start < 15
+
+
+def test_scoring_needs_little_memory_beside_the_texts():
+    texts = ["some words of a text that says the same things again and again " * 8] * 3000  # 1.5 million characters
+    rng = np.random.default_rng(3)
+    logs = np.log(rng.dirichlet(np.ones(langid.BUCKETS), 4)).astype(np.float32)
+    langid._letters()
+    for work in (lambda: quality.logits(texts, np.ones(quality.BUCKETS, np.float32), 0.0),
+                 lambda: [langid._main(m) for m in langid.blockwise(texts, logs)]):
+        tracemalloc.start()
+        try:
+            work()
+            assert tracemalloc.get_traced_memory()[1] < 50e6
+        finally:
+            tracemalloc.stop()
