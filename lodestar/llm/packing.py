@@ -36,15 +36,69 @@ CLOSING_ID = 0
 PIECES = ("doc_id {}, piece int, start long, length long, ids_crc32 long, part int, nth long")
 
 
+SLOT_BITS = 20        # of the short pieces' table: 24 bytes a slot
+MAX_IDS = 1 << 21     # ids that the table's slots hold together
+SHORT = 15            # bytes of a short piece
+
+
+class ShortPieces:
+    """Ids of pieces of at most ``SHORT`` bytes, looked up for many pieces at once.
+
+    Two words hold a piece's bytes and length, so equal words are equal
+    pieces. A hash of them names the only slot that a piece may take: a newer
+    piece replaces an older one, which changes no result, as a piece that is
+    not found is encoded again.
+    """
+
+    def __init__(self) -> None:
+        self.low, self.high = (np.zeros(1 << SLOT_BITS, np.uint64) for _ in range(2))  # no piece has length 0
+        self.first, self.count = (np.zeros(1 << SLOT_BITS, np.int32) for _ in range(2))
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    @staticmethod
+    def words(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(low, high, slot) of pieces of ``data``: bytes 0 to 7; bytes 8 to 14 and the length; the slot."""
+        padded = data + bytes(16)
+        at = np.ndarray(len(data) + 8, "<u8", padded, strides=(1,))
+        bits = (8 * np.minimum(lengths, 8)).astype(np.uint64)
+        full = np.uint64(0xFFFFFFFFFFFFFFFF)
+        low = at[starts] & np.where(bits > 0, full >> (np.uint64(64) - np.maximum(bits, 8)), np.uint64(0))
+        more = np.maximum(lengths, 8) - 8
+        high = np.where(more > 0, at[starts + 8] & ((np.uint64(1) << (8 * np.minimum(more, 7)).astype(np.uint64)) - np.uint64(1)),
+                        np.uint64(0)) | (np.minimum(lengths, SHORT).astype(np.uint64) << np.uint64(56))
+        mixed = (low ^ (high * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        return low, high, (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def add(self, low: np.ndarray, high: np.ndarray, slot: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        """Store pieces of different slots with ``count`` ids each, ``ids`` one after the other."""
+        if self.used + len(ids) > MAX_IDS:
+            self.high[:], self.used = 0, 0
+        if len(ids) > MAX_IDS:
+            return
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids[:self.used], np.zeros(max(len(ids), self.used), np.uint32))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.low[slot], self.high[slot] = low, high
+        self.first[slot], self.count[slot] = self.used + np.cumsum(count) - count, count
+        self.used += len(ids)
+
+
+def _runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each run of ``count`` places, one run after the other."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
 class TokenIds:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, by the tokenizers library.
 
     The library encodes each distinct piece of text (as its own splitter cuts
     them) once per bounded generation of a table; the ids of a text are the
-    ids of its pieces, one after the other.
+    ids of its pieces, one after the other. Short pieces are looked up in
+    arrays first, a block of text at once.
     """
 
-    def __init__(self, path: str, runs: tuple[np.ndarray, np.ndarray], max_pieces: int = 300_000):
+    def __init__(self, path: str, runs: tuple[np.ndarray, np.ndarray], max_pieces: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -53,6 +107,7 @@ class TokenIds:
         self.max_pieces = max_pieces
         self.table: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.short = ShortPieces()
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {t.content: np.uint32(i).tobytes() for i, t in added.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
@@ -89,6 +144,31 @@ class TokenIds:
             self.older, self.table = {p: v for p, v in table.items() if len(p) <= 64}, {}
         return found
 
+    def _block_ids(self, block: str, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the pieces ``block[a:b]`` one after the other, how many each piece has)."""
+        data, starts, ends = block.encode("utf-8"), a, b
+        if len(data) != len(block):  # places in bytes
+            codes = np.frombuffer(block.encode("utf-32-le"), np.uint32)
+            at = np.concatenate([[0], np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF).astype(np.int64) + (codes > 0xFFFF))])
+            starts, ends = at[a], at[b]
+        lengths, short = ends - starts, self.short
+        low, high, slot = short.words(data, starts, lengths)
+        known = (short.low[slot] == low) & (short.high[slot] == high) & (lengths <= SHORT)
+        first, count = short.first[slot].astype(np.int64), short.count[slot].astype(np.int64)
+        rest = np.flatnonzero(~known)
+        if not len(rest):
+            return short.ids[_runs(first, count)], count
+        found = self._look_up([block[i:j] for i, j in zip(a[rest].tolist(), b[rest].tolist())])
+        more = np.frombuffer(b"".join(found), "<u4")
+        count[rest] = n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first[rest] = short.used + np.cumsum(n) - n
+        ids = np.append(short.ids[:short.used], more)[_runs(first, count)]
+        _, new = np.unique(np.where(lengths[rest] <= SHORT, slot[rest], -1), return_index=True)
+        new = new[lengths[rest[new]] <= SHORT]  # one piece of each slot
+        at = rest[new]
+        short.add(low[at], high[at], slot[at], n[new], more[_runs(np.cumsum(n)[new] - n[new], n[new])])
+        return ids, count
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         for block in in_blocks(texts):
@@ -99,11 +179,14 @@ class TokenIds:
                 owner += [i] * len(cut[0::2])
                 lead += [b"", *(self.special[s] for s in cut[1::2])]
             held = [[x] for x in lead]
-            for pieces, part in self.splitter.pieces(parts):
-                found = self._look_up(pieces)
-                bounds = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
-                for a, b in zip(bounds, bounds[1:]):
-                    held[part[a]].append(b"".join(found[a:b]))
+            for run, a, b, part in self.splitter.bounds(parts):
+                if not len(part):
+                    continue
+                ids, count = self._block_ids(run, a, b)
+                data, edges = ids.astype("<u4").tobytes(), 4 * np.append(0, np.cumsum(count))
+                bounds = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+                for p, i, j in zip(part[bounds[:-1]].tolist(), edges[bounds[:-1]].tolist(), edges[bounds[1:]].tolist()):
+                    held[p].append(data[i:j])
             whole: list[list[bytes]] = [[] for _ in block]
             for i, pieces in zip(owner, held):
                 whole[i] += pieces

@@ -187,8 +187,8 @@ class Splitter:
         first, cls = runs
         self.lut = np.repeat(cls, np.diff(np.append(first, 0x110000)))
 
-    def pieces(self, segments: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
-        """Blocks of (pieces, index of the segment that each belongs to)."""
+    def bounds(self, segments: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+        """Blocks of (text, first character and end of each piece in it, the segment that each belongs to)."""
         joined = SEPARATOR.join(segments) + SEPARATOR
         ends = np.cumsum([len(s) + 1 for s in segments]) - 1
         pos, size, n = 0, BLOCK, len(joined)
@@ -206,12 +206,15 @@ class Splitter:
             else:
                 stop = len(block)
             real = classes[at] != END
-            bounds = np.append(at, stop)
-            a, b = bounds[:-1][real].tolist(), bounds[1:][real].tolist()
-            owner = np.searchsorted(ends, at[real] + pos)
-            yield [block[i:j] for i, j in zip(a, b)], owner
+            cuts = np.append(at, stop)
+            yield block, cuts[:-1][real], cuts[1:][real], np.searchsorted(ends, at[real] + pos)
             pos, size = pos + stop, BLOCK
 
+    def pieces(self, segments: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Blocks of (pieces, index of the segment that each belongs to)."""
+        for block, a, b, owner in self.bounds(segments):
+            yield [block[i:j] for i, j in zip(a.tolist(), b.tolist())], owner
+
 
 def _byte_of_char() -> dict[str, int]:
     """The printable characters that stand for the 256 bytes in byte-level vocabularies."""

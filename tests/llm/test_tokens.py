@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from lodestar.llm import packing
 from lodestar.llm.packing import PackingPlan, TokenIds, pack_documents
 from lodestar.llm.token_count import (CHUNK, N_STATES, NEXT, N_CLASSES, TokenCounter, _compose_scan, probe_classes,
                                       token_counts)
@@ -140,3 +141,27 @@ def test_plan_finds_exact_complements():
         plan = PackingPlan({x: 9 for x in lengths}, 64)
         assert sum(n for n, _ in plan.groups) == 9
     assert len(PackingPlan({1: 10**12}, 64).groups) <= 2
+
+
+def test_known_short_pieces_are_looked_up_together(library, documents, monkeypatch):
+    texts = [r.text for r in documents.limit(200).collect()] + random_texts(500, 23) + TRICKY
+    texts += ["x" * n + " " + "é" * n for n in range(1, 20)] + ["\x00", "\x00\x00", "a\x00"]
+    encoder = TokenIds(PATH, probe_classes(PATH))
+    ids = lambda t: [b.tolist() for b in (np.frombuffer(x, "<u4") for x in encoder.ids(t))]
+    truth = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert ids(texts) == truth
+    seen, plain = [], encoder._look_up
+    monkeypatch.setattr(encoder, "_look_up", lambda pieces: seen.extend(pieces) or plain(pieces))
+    assert ids(texts) == truth
+    n_pieces = sum(len(p) for p, _ in encoder.splitter.pieces([t or "" for t in texts]))
+    assert len(seen) < n_pieces / 20  # one by one: the long pieces, and the few that share a slot
+
+
+def test_full_slots_change_nothing(library, documents, monkeypatch):
+    monkeypatch.setattr(packing, "SLOT_BITS", 4)
+    monkeypatch.setattr(packing, "MAX_IDS", 30)
+    texts = [r.text for r in documents.limit(50).collect()] + random_texts(300, 29)
+    encoder = TokenIds(PATH, probe_classes(PATH), max_pieces=50)
+    for some in (texts, texts[::-1]):
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(some)]
+        assert got == [e.ids for e in library.encode_batch([t or "" for t in some], add_special_tokens=False)]
