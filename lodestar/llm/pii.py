@@ -11,7 +11,8 @@ tag per character: outside, or one of the kinds. The CRF's transitions tie
 neighbouring tags; it is trained by its likelihood (forward-backward) with
 Adam, all in numpy.
 
-A text of any length is cut into overlapping windows. Each is decoded
+A text of any length is cut into overlapping windows; those that cannot bear
+on a valid span are not read (``learned_spans``). Each is decoded
 (Viterbi) on its own and proposes spans with the margin by which the span
 beats leaving its characters outside. Pieces of one span that windows cut are
 joined, and the set of non-overlapping spans with the greatest total margin is
@@ -501,37 +502,84 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-def learned_spans(model: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """(kind, start, end) that the network finds in each text, whatever the patterns find."""
-    found: list[list] = [[] for _ in texts]
-    step = WINDOW - OVERLAP
+def window_starts(length: int) -> range:
+    """Where the windows of a text of this length start; they cover all of it."""
+    return range(0, max(1, length - OVERLAP) if length else 0, WINDOW - OVERLAP)
+
+
+def hinted_windows(codes: np.ndarray) -> list[int]:
+    """Starts of the windows in which a span may show that it is ``valid``: an ``@``, a digit, or ``at`` at a word's edge.
+
+    No span is valid without one of them. (A span's own edge can cut a word,
+    but not on both sides of ``at``: a span of nothing else has no dot.)
+    """
+    letter_a, letter_t, digit, under = (CLASSES[ord(c)] for c in "at0_")
+    hint = (codes == digit) | (codes == CLASSES[ord("@")])
+    edge = np.ones(len(codes) + 2, bool)  # beside each character, the text's ends too; non-ASCII ones count as edges
+    edge[1:-1] = ((codes > digit) & (codes != under)) | (codes == PAD)
+    pair = (codes[:-1] == letter_a) & (codes[1:] == letter_t) & (edge[:-3] | edge[3:])
+    hint[:-1] |= pair
+    at = np.flatnonzero(hint)
+    starts = np.array(window_starts(len(codes)), np.int64)
+    return starts[np.searchsorted(at, starts + WINDOW) > np.searchsorted(at, starts)].tolist()
+
+
+def read_windows(model: Tagger, texts: list[str], wanted: dict[int, list[int]]) -> Iterator[tuple[int, int, tuple]]:
+    """(text, window's start, proposed span) of the wanted windows of some texts.
+
+    A span is (kind, start, end, margin, cut at its start, cut at its end).
+    """
     block, places = np.zeros((BATCH, WINDOW), np.uint8), []
 
-    def flush() -> None:
+    def flush() -> Iterator[tuple[int, int, tuple]]:
         rows = block[:len(places)]
         used = max((min(n - at, WINDOW) for _, at, n in places), default=0)
         for row, kind, start, end, margin in proposals(model, np.ascontiguousarray(rows[:, :used].T)):
             k, at, n = places[row]
             cut_left, cut_right = start == 0 and at > 0, end == WINDOW and at + WINDOW < n
-            found[k].append((kind, at + start, at + end, margin, cut_left, cut_right))
+            yield k, at, (kind, at + start, at + end, margin, cut_left, cut_right)
         block[:] = PAD
         places.clear()
 
     # short texts after one another: windows of like length share a batch
-    for k in sorted(range(len(texts)), key=lambda i: len(texts[i])):
+    for k in sorted(wanted, key=lambda i: len(texts[i])):
         codes, n = classes_of(texts[k]), len(texts[k])
-        for at in range(0, max(1, n - OVERLAP) if n else 0, step):
+        for at in wanted[k]:
             part = codes[at:at + WINDOW]
             block[len(places), :len(part)] = part
             places.append((k, at, n))
             if len(places) == BATCH:
-                flush()
+                yield from flush()
     if places:
-        flush()
+        yield from flush()
+
+
+def learned_spans(model: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+    """(kind, start, end) that the network finds in each text, whatever the patterns find.
+
+    The network reads the windows in which a span can be valid, and each
+    window beside them that a proposed span reaches into, until none is left.
+    What it would propose elsewhere is not valid and overlaps nothing that is
+    proposed here, so the spans are those of reading all windows.
+    """
+    found: list[list] = [[] for _ in texts]
+    read: list[set[int]] = [set() for _ in texts]
+    todo = {k: hinted_windows(classes_of(text)) for k, text in enumerate(texts)}
+    while todo := {k: sorted(starts) for k, starts in todo.items() if starts}:
+        for k, starts in todo.items():
+            read[k].update(starts)
+        beside: dict[int, set[int]] = {}
+        for k, at, span in read_windows(model, texts, todo):
+            found[k].append((at, span))
+            for other in (at - WINDOW + OVERLAP, at + WINDOW - OVERLAP):
+                if (span[1] < other + WINDOW and span[2] > other and other not in read[k]
+                        and other in window_starts(len(texts[k]))):
+                    beside.setdefault(k, set()).add(other)
+        todo = beside
     out = []
     for text, spans in zip(texts, found):
         kept = []
-        for kind, start, end, margin in reconciled(spans):
+        for kind, start, end, margin in reconciled([span for _, span in sorted(spans, key=lambda s: s[0])]):
             start, end = _trimmed(text, start, end)
             if margin > MARGIN and valid(kind, text[start:end]):
                 kept.append((kind, start, end))

@@ -141,3 +141,46 @@ def test_awkward_rows(spark, awkward, nothing, model):
 
 def test_examples_without_spans_train_nothing():
     assert pii.fit_tagger(pd.DataFrame({"window": ["abc"], "spans": [[]]})) is None
+
+
+def stirred_texts(n, seed):
+    rng = np.random.default_rng(seed)
+    parts = ["words ", "that ", "an ", "nothing here, ", "at ", "é", "hat", "AT", "dot ", ". ", "12", "4.5 ", "x@y.z ", "_at_", "\n", "(at) "]
+    weight = np.array([40, 3, 30, 30, 1, 3, 1, 1, 5, 8, 1, 1, 1, 1, 5, 1], float)
+    return ["".join(rng.choice(parts, int(rng.integers(0, 700)), p=weight / weight.sum())) for _ in range(n)]
+
+
+def test_reading_some_windows_finds_what_all_windows_hold(monkeypatch):
+    monkeypatch.setattr(pii, "MARGIN", 0.0)
+    n = 0
+    for seed in range(6):
+        eager = pii.new_tagger(pii.HIDDEN, np.random.default_rng(seed))  # untrained: it proposes short and long spans
+        eager.bias[:] = np.random.default_rng(seed).uniform(0, 1, pii.N_TAGS)
+        eager.moves[:] = np.eye(pii.N_TAGS, dtype=np.float32) * 0.3 * seed
+        texts = [*stirred_texts(40, seed), "", "at", "a", "hat. dot", "a" * 383 + "t ." + "b" * 400]
+        some = pii.learned_spans(eager, texts)
+        with monkeypatch.context() as every:
+            every.setattr(pii, "hinted_windows", lambda codes: list(pii.window_starts(len(codes))))
+            assert some == pii.learned_spans(eager, texts)
+        n += sum(map(len, some))
+    assert n > 10
+
+
+def test_hints_are_in_every_valid_span():
+    for text in stirred_texts(40, 9):
+        rng = np.random.default_rng(len(text))
+        for _ in range(60):
+            start = int(rng.integers(0, max(1, len(text))))
+            part = text[start:start + int(rng.integers(1, 40))]
+            if any(pii.valid(kind, part) for kind in range(4)):
+                windows = pii.hinted_windows(pii.classes_of(text))
+                assert any(at < start + len(part) and at + pii.WINDOW > start for at in windows)
+
+
+def test_windows_without_a_possible_span_are_not_read(model, monkeypatch):
+    rows, plain = [], pii.emissions
+    monkeypatch.setattr(pii, "emissions", lambda m, x: rows.append(x.shape[1]) or plain(m, x))
+    text = "some words of no such kind, one after the other. " * 2000
+    data = " write to jim.doe (at) example dot org please "
+    pii.learned_spans(model, [text, text[:50_000] + data + text[50_000:]])
+    assert 0 < sum(rows) < 12  # of 612 windows
