@@ -6,7 +6,7 @@ rows count downwards, frame columns to the right. Every frame holds
 ``width x height`` cells of ``res`` map units.
 
 Nothing here builds lists on the driver: frames come from
-``explode(sequence(...))`` over the one-row extent, and pixels are placed by
+``explode(sequence(...))`` over blocks of the one-row extent, and pixels are placed by
 arithmetic against that row, read as a scalar subquery -- no join at all.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lodestar.session import shuffle_width
 
 FRAME_KEYS = ("frame_row", "frame_col")
-FRAME_RUN = 1024  # frames that are listed together
+BLOCK_LEVEL = 5  # frames are listed, and meet scenes, in blocks of 2^BLOCK_LEVEL frames a side
 FOOTPRINT_BLOCK = 32  # side in cells of the neighbourhoods in which footprints are listed
 
 
@@ -83,33 +83,50 @@ def frame_name(row: Column | str = "frame_row", col: Column | str = "frame_col")
     return F.concat(F.lit("r"), row.cast("string"), F.lit("_c"), col.cast("string"))
 
 
+def grid_blocks(extent: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
+    """One row per block of 2^BLOCK_LEVEL frames a side: ``block_row, block_col``, the grid's corner and frame counts.
+
+    Dealt by block to every core.
+    """
+    shape = grid_shape(extent, spec).select("minx", "maxy", "n_frame_cols", "n_frame_rows")
+    n = {c: (F.shiftright(F.col(f"n_frame_{c}") - 1, BLOCK_LEVEL) + 1).cast("bigint") for c in ("rows", "cols")}
+    blocks = shape.withColumn("_wide", n["cols"]).withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), n["rows"] * F.col("_wide") - 1)))
+    blocks = blocks.withColumns({"block_row": F.expr("_at div _wide").cast("int"), "block_col": (F.col("_at") % F.col("_wide")).cast("int")})
+    return blocks.drop("_at", "_wide").repartition(shuffle_width(extent.sparkSession), "block_row", "block_col")
+
+
+def _frame_columns(spec: GridSpec, prefix: str = "") -> list[Column]:
+    """Keys, name and bounds (``prefix`` before these) of the frame at ``frame_row, frame_col`` of the grid at ``minx, maxy``."""
+    fw, fh = F.lit(spec.frame_w), F.lit(spec.frame_h)
+    return [
+        F.col("frame_row"), F.col("frame_col"),
+        frame_name().alias("name"),
+        (F.col("minx") + F.col("frame_col") * fw).alias(prefix + "minx"),
+        (F.col("minx") + (F.col("frame_col") + 1) * fw).alias(prefix + "maxx"),
+        (F.col("maxy") - (F.col("frame_row") + 1) * fh).alias(prefix + "miny"),
+        (F.col("maxy") - F.col("frame_row") * fh).alias(prefix + "maxy"),
+    ]
+
+
 def frame_grid(extent: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
     """One row per frame: ``frame_row, frame_col, name, minx, maxx, miny, maxy``.
 
     The frame count is ``ceil(w / frame_w) * ceil(h / frame_h)`` -- it grows
     with the covered area, never with the number of pixels.
     """
-    fw, fh = F.lit(spec.frame_w), F.lit(spec.frame_h)
-    # the one-row extent lists runs of frames; spread, they list their frames on every core
-    shape = grid_shape(extent, spec).withColumn(
-        "_n", F.col("n_frame_cols").cast("bigint") * F.col("n_frame_rows"))
-    runs = shape.select(
-        "minx", "maxy", "n_frame_cols", "_n",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(FRAME_RUN)))).alias("_run"))
-    first = F.col("_run") * FRAME_RUN
-    runs = runs.repartition(shuffle_width(extent.sparkSession), "_run").select(
-        "minx", "maxy", "n_frame_cols",
-        F.explode(F.sequence(first, F.least(first + FRAME_RUN, F.col("_n")) - 1)).alias("_at"))
-    frames = runs.select("minx", "maxy", (F.col("_at") % F.col("n_frame_cols")).cast("int").alias("frame_col"),
-                         F.expr("_at div n_frame_cols").cast("int").alias("frame_row"))
-    return frames.select(
-        "frame_row", "frame_col",
-        frame_name().alias("name"),
-        (F.col("minx") + F.col("frame_col") * fw).alias("minx"),
-        (F.col("minx") + (F.col("frame_col") + 1) * fw).alias("maxx"),
-        (F.col("maxy") - (F.col("frame_row") + 1) * fh).alias("miny"),
-        (F.col("maxy") - F.col("frame_row") * fh).alias("maxy"),
-    )
+    # the one-row extent lists blocks of frames; spread, they list their frames on every core
+    blocks = grid_blocks(extent, spec)
+    side = F.lit(1 << BLOCK_LEVEL)
+    frames = blocks.withColumns({"_high": F.least(side, F.col("n_frame_rows") - F.col("block_row") * side),
+                                 "_wide": F.least(side, F.col("n_frame_cols") - F.col("block_col") * side)})
+    frames = frames.withColumn("_at", F.explode(F.sequence(F.lit(0), F.col("_high") * F.col("_wide") - 1)))
+    frames = frames.select("minx", "maxy", (F.col("block_row") * side + F.expr("_at div _wide").cast("int")).alias("frame_row"),
+                           (F.col("block_col") * side + F.col("_at") % F.col("_wide")).alias("frame_col"))
+    frames = frames.select(*_frame_columns(spec))
+    # an operator that joins these very frames may join their blocks first (see scene_frame_join); what is
+    # derived from the frames, such as some of them, is a new DataFrame without this mark
+    frames._grid = (extent, spec, blocks)
+    return frames
 
 
 def empty_frames(frames: DataFrame, spec: GridSpec = GridSpec()) -> DataFrame:
@@ -147,8 +164,7 @@ def frame_index(frames: DataFrame, directory: str = "", suffix: str = ".TIF") ->
 
 # Boxes of frames are covered by square cells of 2^level frames a side, at most 2^MAX_LEVEL.
 MAX_LEVEL = 20
-# Scenes meet frames in blocks of 2^BLOCK_LEVEL frames a side; a cell of blocks lists at most 4^COVER_LEVEL of them.
-BLOCK_LEVEL = 3
+# A cell of blocks lists at most 4^COVER_LEVEL of them.
 COVER_LEVEL = 5
 
 
@@ -198,10 +214,14 @@ def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFr
     of frames that a scene's box can reach -- widened by one frame against
     rounding -- is put in blocks of 2^BLOCK_LEVEL frames a side. These are covered
     by cells of several levels (:func:`box_cover`), which are spread and list their
-    blocks. Each frame is listed once, in its block; an equi-join on the block,
-    finds the pairs and the exact box test then filters. A scene over
-    millions of frames sends one row per block, from every core. Spark cannot
-    see how many frames an extent makes, so the join is never a broadcast.
+    blocks. An equi-join on the block finds the pairs and the exact box test then
+    filters. A scene over millions of frames sends one row per block, from every
+    core. Spark cannot see how many frames an extent makes, so the join is never a broadcast.
+
+    Where ``frames`` is the :func:`frame_grid` of this extent, its blocks are joined
+    before they list their frames, so that blocks are dealt and sorted, not
+    frames, and a pair lists only frames in the scene's range. Other frames
+    (some of a grid's) are dealt by their block.
     """
     fw, fh = F.lit(spec.frame_w), F.lit(spec.frame_h)
     g = grid_scalar(extent, spec)
@@ -223,12 +243,23 @@ def scene_frame_join(scene_extents: DataFrame, extent: DataFrame, frames: DataFr
         start = F.call_function("shiftleft", F.col(c), F.col("level"))
         side = F.call_function("shiftleft", F.lit(1), F.col("level"))
         cells = cells.withColumn(c.replace("cell", "block"), F.explode(F.sequence(start, start + side - 1)))
-    cells = cells.select(scene, "s_minx", "s_maxx", "s_miny", "s_maxy", "block_row", "block_col")
-    f = frames.select("frame_row", "frame_col", "name", *[F.col(c).alias("f_" + c) for c in ("minx", "maxx", "miny", "maxy")])
-    f = f.withColumns({"block_row": block("frame_row"), "block_col": block("frame_col")})
+    box = ("s_minx", "s_maxx", "s_miny", "s_maxy")
+    cells = cells.select(scene, *box, "c_lo", "c_hi", "r_lo", "r_hi", "block_row", "block_col").hint("merge")
+    on = ["block_row", "block_col"]
+    of_extent, of_spec, blocks = frames.__dict__.get("_grid", (None, None, None))
+    if of_extent is extent and of_spec == spec:
+        met = cells.join(blocks, on)
+        for c, lo, hi in (("row", "r_lo", "r_hi"), ("col", "c_lo", "c_hi")):
+            start = F.col(f"block_{c}") * (1 << BLOCK_LEVEL)
+            last = start + ((1 << BLOCK_LEVEL) - 1)
+            met = met.withColumn(f"frame_{c}", F.explode(_range(F.greatest(F.col(lo), start), F.least(F.col(hi), last))))
+        met = met.select(scene, *box, *_frame_columns(spec, "f_"))
+    else:
+        f = frames.select("frame_row", "frame_col", "name", *[F.col(c).alias("f_" + c) for c in ("minx", "maxx", "miny", "maxy")])
+        met = cells.join(f.withColumns({c: block(c.replace("block", "frame")) for c in on}), on)
     hit = ((F.col("s_minx") < F.col("f_maxx")) & (F.col("s_maxx") > F.col("f_minx"))
            & (F.col("s_miny") < F.col("f_maxy")) & (F.col("s_maxy") > F.col("f_miny")))
-    return cells.hint("merge").join(f, ["block_row", "block_col"]).filter(hit).select(scene, "frame_row", "frame_col", "name")
+    return met.filter(hit).select(scene, "frame_row", "frame_col", "name")
 
 
 def _inside(g: Column, px: Column, py: Column) -> Column:
